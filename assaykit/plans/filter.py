@@ -72,16 +72,16 @@ def filter_by_cohort(
     small = fits_broadcast(stats["key_bytes"], broadcast_limit)
     refuse_existing(spark, [*targets.values(), summary_target], overwrite)
 
-    directory_uri = storage.uri(source_dir)
+    directory = storage.qualify(source_dir)
     footers = read_footers(spark, sources)
     with staging(spark, target_dir) as stage:
-        groups = _schema_groups(footers, sources, storage.qualify(source_dir))
+        groups = _schema_groups(footers, sources, directory)
         staged, stored = {}, None
         for number, group in enumerate(groups):
-            rows = with_origin(scan(spark, group), directory_uri)
+            rows = with_origin(scan(spark, group), directory)
             key_columns(rows, source_dir)
             kept = keep_cohort(rows, distinct_keys(cohort), broadcast_keys=small)
-            order = origin_order(group, directory_uri)
+            order = origin_order(group)
             if not small:
                 kept = kept.repartitionByRange(*order)
             data = f"{stage}/data-{number}"
@@ -99,7 +99,7 @@ def filter_by_cohort(
                 part = spark.read.schema(f"{SOURCE} string").parquet(data).groupBy(SOURCE).count()
                 stored = part if stored is None else stored.unionAll(part)
 
-        summary = _summary(spark, footers, stored, storage.qualify(source_dir))
+        summary = _summary(spark, footers, stored, directory)
         write_csv(summary, f"{stage}/summary")
         moves = [(staged[name], target) for name, target in targets.items()]
         publish(spark, stage, [*moves, (f"{stage}/summary", summary_target)])

@@ -61,7 +61,7 @@ def split_by_item(
     if check_schemas:
         require_same_schema(spark, sources)
     storage = Storage(spark)
-    raw = with_origin(scan(spark, sources), storage.uri(input_dir))
+    raw = with_origin(scan(spark, sources), storage.qualify(input_dir))
     require_columns(raw.columns, RAW_REQUIRED, input_dir)
 
     # The dictionary is job configuration: its rows become the output names.
@@ -81,7 +81,7 @@ def split_by_item(
             if len(found) <= PRUNED_CODES:
                 wanted = prune_codes(raw, [row.itemcode for row in found])
             selected = select_items(wanted, numbered, carry=[ITEM])
-            order = [F.col(ITEM), *origin_order(sources, storage.uri(input_dir))]
+            order = [F.col(ITEM), *origin_order(sources)]
             if total_order:
                 placed = selected.repartitionByRange(*order)
             else:

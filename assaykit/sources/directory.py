@@ -35,24 +35,26 @@ def scan(spark: SparkSession, sources: Sequence[Entry]) -> DataFrame:
     return reader.schema(reader.parquet(paths[0]).schema).parquet(*paths)
 
 
-def source_name(directory_uri: str, file_path: Column) -> Column:
-    """The still percent-encoded name directly under the directory that a path lies in."""
-    depth = directory_uri.rstrip("/").count("/") + 2
+def source_name(directory: str, file_path: Column) -> Column:
+    """The name directly under a qualified directory that a path lies in, encoded as the path is."""
+    if directory.startswith("file:"):
+        file_path = F.replace(file_path, F.lit("file:///"), F.lit("file:/"))
+    depth = directory.rstrip("/").count("/") + 2
     return F.substring_index(F.substring_index(file_path, "/", depth), "/", -1)
 
 
-def with_origin(df: DataFrame, directory_uri: str) -> DataFrame:
+def with_origin(df: DataFrame, directory: str) -> DataFrame:
     """Add source name, file and row number, which together give the input order."""
     path = F.col("_metadata.file_path")
     return df.select(
         "*",
-        source_name(directory_uri, path).alias(SOURCE),
+        source_name(directory, path).alias(SOURCE),
         path.alias(FILE),
         F.col("_metadata.row_index").alias(ROW),
     )
 
 
-def origin_order(sources: Sequence[Entry], directory_uri: str) -> list[Column]:
+def origin_order(sources: Sequence[Entry]) -> list[Column]:
     """Sort keys for input order; names are decoded only if some name is encoded."""
     encoded = any(re.search(r"[^\w.\-]", entry.name) for entry in sources)
     plain = decode_path if encoded else (lambda col: col)

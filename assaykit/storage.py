@@ -40,11 +40,6 @@ class Storage:
         fs, target = self._open(path)
         return fs.makeQualified(target).toString()
 
-    def uri(self, path: str) -> str:
-        """The percent-encoded form that ``_metadata.file_path`` uses."""
-        fs, target = self._open(path)
-        return fs.makeQualified(target).toUri().toString()
-
     def exists(self, path: str) -> bool:
         fs, target = self._open(path)
         return fs.exists(target)
