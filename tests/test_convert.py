@@ -1,0 +1,111 @@
+import datetime
+
+import pytest
+from pyspark.errors import PySparkException
+
+from assaykit.operators.convert import (
+    convert_keys,
+    convert_normals,
+    convert_unit,
+    duplicate_keys,
+    non_finite_to_null,
+    require_unique_keys,
+    to_item_table,
+)
+from assaykit.schema import ITEM_TABLE
+from conftest import rows
+
+TEXT_SCHEMA = ", ".join(
+    f"{name} {dict(examage='double', deptid='bigint').get(name, 'string')}" for name, _ in ITEM_TABLE
+)
+GOOD = {
+    "uid": " u1 ", "id": "i1 ", "hospid": "944", "hospname": "体检", "regdate": "2017-08-16",
+    "examage": 36.0, "usex": "男", "deptid": 2, "dept": "检验", "checkitemcode": "c",
+    "checkitemname": "n", "itemcode": "2.1", "itemname": "甲", "itemresult": " 5. ",
+    "normalhighvalue": "9", "normallowvalue": None, "itemindexresultunit": "mmol/L",
+}
+
+
+def lab(spark, *changes):
+    data = [tuple({**GOOD, **change}.values()) for change in changes]
+    return spark.createDataFrame(data, TEXT_SCHEMA)
+
+
+def test_typed_table(spark):
+    typed = to_item_table(lab(spark, {}))
+    assert typed.dtypes == [(name, kind) for name, kind in ITEM_TABLE]
+    row = typed.first()
+    assert (row.uid, row.id, row.hospid, row.deptid) == ("u1", "i1", 944, 2.0)
+    assert row.regdate == datetime.date(2017, 8, 16)
+    assert (row.usex, row.examage) == ("MAN", 36.0)
+    assert (row.itemresult, row.normalhighvalue, row.normallowvalue) == (5.0, 9.0, None)
+
+
+def test_blanks_and_defaults(spark):
+    row = convert_keys(
+        lab(spark, dict(hospid="  ", regdate="", examage=None, deptid=None, usex=None))
+    ).first()
+    assert (row.hospid, row.regdate, row.examage, row.deptid) == (None, None, 0.0, None)
+    assert row.usex == "UNK"
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        dict(uid=None),
+        dict(id=None),
+        dict(uid="x" * 33),
+        dict(id="x" * 19),
+        dict(hospid="abc"),
+        dict(hospid="944.5"),
+        dict(regdate="2017-13-40"),
+        dict(regdate="20170816"),
+        dict(regdate="2017/8/16"),
+        dict(regdate="2017"),
+        dict(regdate="2017-08-16 later"),
+        dict(itemresult=None),
+        dict(itemresult="阳性"),
+        dict(itemresult="1e400"),
+        dict(normalhighvalue="无法判断"),
+        dict(normallowvalue=""),
+        dict(itemindexresultunit="x" * 65_536),
+        dict(dept="中" * 21_846),
+    ],
+)
+def test_bad_values_abort(spark, change):
+    with pytest.raises(PySparkException):
+        to_item_table(lab(spark, change)).collect()
+
+
+def test_limits_are_inclusive(spark):
+    row = to_item_table(
+        lab(spark, dict(uid=" " + "中" * 32, id="x" * 18, itemindexresultunit="x" * 65_535))
+    ).first()
+    assert len(row.uid) == 32 and len(row.itemindexresultunit) == 65_535
+    assert rows(convert_unit(lab(spark, dict(itemindexresultunit=None))))[0][-1] is None
+
+
+def test_normals_need_both(spark):
+    with pytest.raises(PySparkException, match="normalhighvalue"):
+        convert_normals(lab(spark, dict(normallowvalue="1", normalhighvalue="x"))).collect()
+
+
+def test_columns_are_required(spark):
+    with pytest.raises(ValueError, match="usex"):
+        to_item_table(lab(spark, {}).drop("usex"))
+
+
+def test_unique_keys(spark):
+    pairs = spark.createDataFrame([("a", "1"), ("a", "1"), ("b", "1")], "uid string, id string")
+    assert rows(duplicate_keys(pairs)) == [("a", "1", 2)]
+    with pytest.raises(ValueError, match="2 times"):
+        require_unique_keys(pairs)
+    require_unique_keys(pairs.distinct())
+    with pytest.raises(ValueError, match="NULL"):
+        require_unique_keys(spark.createDataFrame([(None, "1")], "uid string, id string"))
+
+
+def test_non_finite(spark):
+    data = [(float("nan"), float("inf"), 1, "x"), (1.0, 2.0, 2, None)]
+    df = spark.createDataFrame(data, "a double, b float, c int, d string")
+    assert rows(non_finite_to_null(df)) == [(None, None, 1, "x"), (1.0, 2.0, 2, None)]
