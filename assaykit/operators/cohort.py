@@ -30,22 +30,26 @@ def missing_from(keys: DataFrame, item: DataFrame) -> DataFrame:
     return keys.join(key_rows(item), KEYS, "left_anti")
 
 
-def coverage(cohort: DataFrame, tables: Sequence[tuple[str, DataFrame]]) -> DataFrame:
-    """``table, count``: cohort keys that have a row in each item table.
-
-    All tables go through one semi join on two columns. Repeated keys are dropped
-    before the shuffle, so a hot pair costs one row per task and table.
-    """
+def tag_tables(tables: Sequence[tuple[str, DataFrame]]) -> DataFrame:
+    """``table, uid, id`` over several item tables."""
     tagged = [
         key_rows(item, name).select(F.lit(name).alias("table"), *KEYS) for name, item in tables
     ]
-    present = reduce(DataFrame.unionAll, tagged)
+    return reduce(DataFrame.unionAll, tagged)
+
+
+def coverage(cohort: DataFrame, present: DataFrame, listed: DataFrame) -> DataFrame:
+    """``table, count``: cohort keys that have a row in each listed item table.
+
+    ``present`` holds ``table, uid, id`` of all item tables, which pass through
+    one semi join. Repeated keys are dropped before they are counted, so a hot
+    pair costs one row per task and table.
+    """
     matched = present.join(distinct_keys(cohort), KEYS, "left_semi")
     found = matched.groupBy("table").agg(F.count_distinct(*KEYS).alias("found"))
-    names = F.array(*[F.lit(name) for name, _ in tables])
-    listed = cohort.sparkSession.range(1).select(F.explode(names).alias("table"))
     return (
-        listed.join(found, "table", "left")
+        listed.select("table")
+        .join(found, "table", "left")
         .select("table", F.coalesce("found", F.lit(0)).cast("bigint").alias("count"))
         .orderBy("table")
     )

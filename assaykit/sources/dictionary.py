@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from assaykit.functions.text import item_filename, strip_whitespace
 from assaykit.schema import require_columns
@@ -38,22 +38,31 @@ def read_items(spark: SparkSession, path: str) -> DataFrame:
 
 
 def item_problems(items: DataFrame) -> DataFrame:
-    """Dictionary rows that break a rule, each with the first rule it breaks."""
-    nth_code = F.row_number().over(Window.partitionBy("itemcode").orderBy("line"))
-    nth_file = F.row_number().over(Window.partitionBy("filename").orderBy("line"))
+    """Dictionary rows that break a rule, each with the first rule it breaks.
+
+    A repeated code or file name is one that an earlier line already has, found
+    from the first line of each instead of by ordering whole groups.
+    """
+    first_code = items.groupBy("itemcode").agg(F.min("line").alias("first_code"))
+    first_file = items.groupBy("filename").agg(F.min("line").alias("first_file"))
+    empty = (F.col("itemname") == "") | (F.col("itemcode") == "")
     return (
-        items.select("*", nth_code.alias("nth_code"), nth_file.alias("nth_file"))
-        .withColumn(
-            "problem",
-            F.when(
-                (F.col("itemname") == "") | (F.col("itemcode") == ""),
-                "itemname and itemcode must not be empty",
+        items.join(first_code, "itemcode")
+        .join(first_file, "filename")
+        .select(
+            "line",
+            F.when(empty, "itemname and itemcode must not be empty")
+            .when(
+                F.col("line") > F.col("first_code"),
+                F.concat(F.lit("itemcode listed twice: "), "itemcode"),
+            )
+            .when(
+                F.col("line") > F.col("first_file"),
+                F.concat(F.lit("same file name twice: "), "filename"),
             )
-            .when(F.col("nth_code") > 1, F.concat(F.lit("itemcode listed twice: "), "itemcode"))
-            .when(F.col("nth_file") > 1, F.concat(F.lit("same file name twice: "), "filename")),
+            .alias("problem"),
         )
-        .where(F.col("problem").isNotNull())
-        .select("line", "problem")
+        .where("problem is not null")
     )
 
 

@@ -9,6 +9,7 @@ from assaykit.operators.cohort import (
     keep_cohort,
     key_stats,
     missing_from,
+    tag_tables,
 )
 from assaykit.sources.cohort import distinct_keys
 from conftest import rows
@@ -157,7 +158,9 @@ def test_missing_and_coverage(spark):
     one = frame(spark, [("a", "1"), ("a", "1"), ("b", "9"), ("c", "3")])
     none = frame(spark, [("x", "1")])
     assert rows(missing_from(distinct_keys(cohort), one)) == [("b", "2")]
-    assert rows(coverage(cohort, [("one", one), ("none", none), ("all", cohort)])) == [
+    tables = [("one", one), ("none", none), ("all", cohort)]
+    listed = frame(spark, [(name,) for name, _ in tables], "table string")
+    assert rows(coverage(cohort, tag_tables(tables), listed)) == [
         ("all", 3),
         ("none", 0),
         ("one", 2),
