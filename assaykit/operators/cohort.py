@@ -12,22 +12,36 @@ from assaykit.sizing import hint_broadcast, text_bytes
 from assaykit.sources.cohort import distinct_keys, key_columns, key_rows
 
 
+def own_shuffle(keys: DataFrame) -> DataFrame:
+    """The distinct pairs, grouped as one struct so that a join shuffles them itself.
+
+    AQE cuts a hot pair of the other side only where both sides of the join come
+    straight from a shuffle, not where one side reuses an aggregation's.
+    """
+    pairs = keys.select(F.struct(*KEYS).alias("pair")).distinct()
+    return pairs.select(*[F.col(f"pair.{name}").alias(name) for name in KEYS])
+
+
 def keep_cohort(df: DataFrame, keys: DataFrame, broadcast_keys: bool = False) -> DataFrame:
     """Rows whose whole (uid, id) pair is a cohort key; columns and bytes untouched.
 
     ``broadcast_keys`` is for a key set whose size was measured. Without it Spark
-    decides, and for a shuffled join AQE splits a hot pair on the data side.
+    decides, and in a shuffled join AQE splits a hot pair on the data side.
     """
     temporary = [f"__key_{name}" for name in KEYS]
     keyed = df.withColumns(dict(zip(temporary, key_columns(df))))
-    wanted = keys.select(*[F.col(name).alias(t) for name, t in zip(KEYS, temporary)])
+    apart = own_shuffle(keys)
+    wanted = apart.select(*[F.col(name).alias(t) for name, t in zip(KEYS, temporary)])
     kept = keyed.join(hint_broadcast(wanted, broadcast_keys), temporary, "left_semi")
     return kept.select(*df.columns)
 
 
 def missing_from(keys: DataFrame, item: DataFrame) -> DataFrame:
-    """Cohort keys for which the item table has no row."""
-    return keys.join(key_rows(item), KEYS, "left_anti")
+    """Cohort keys for which the item table has no row.
+
+    Repeats are dropped before the shuffle: an anti join cannot split them.
+    """
+    return keys.join(distinct_keys(item), KEYS, "left_anti")
 
 
 def tag_tables(tables: Sequence[tuple[str, DataFrame]]) -> DataFrame:
@@ -41,12 +55,14 @@ def tag_tables(tables: Sequence[tuple[str, DataFrame]]) -> DataFrame:
 def coverage(cohort: DataFrame, present: DataFrame, listed: DataFrame) -> DataFrame:
     """``table, count``: cohort keys that have a row in each listed item table.
 
-    ``present`` holds ``table, uid, id`` of all item tables, which pass through
-    one semi join. Repeated keys are dropped before they are counted, so a hot
-    pair costs one row per task and table.
+    ``present`` holds ``table, uid, id`` of all item tables. Each pair's tables
+    are gathered first, at most one entry per table: a hot pair costs one row per
+    task, and the semi join and the count reuse that shuffle.
     """
-    matched = present.join(distinct_keys(cohort), KEYS, "left_semi")
-    found = matched.groupBy("table").agg(F.count_distinct(*KEYS).alias("found"))
+    gathered = present.groupBy(*KEYS).agg(F.collect_set("table").alias("tables"))
+    matched = gathered.join(distinct_keys(cohort), KEYS, "left_semi")
+    each = matched.select(F.explode("tables").alias("table"))
+    found = each.groupBy("table").agg(F.count("*").alias("found"))
     return (
         listed.select("table")
         .join(found, "table", "left")
@@ -74,11 +90,11 @@ def file_summary(df: DataFrame, keys: DataFrame, files: DataFrame, name: str) ->
     """Source and retained rows per file, best first, including files with none.
 
     ``df`` carries the file in column ``name``; ``files`` lists every file, so
-    that empty ones show 0.
+    that empty ones show 0. AQE splits a hot (or NULL) pair in the left join.
     """
     pairs = key_columns(df)
     probe = df.select(F.col(name).alias("filename"), *[c.alias(k) for k, c in zip(KEYS, pairs)])
-    marked = probe.join(keys.select(*KEYS, F.lit(1).alias("hit")), KEYS, "left")
+    marked = probe.join(own_shuffle(keys).withColumn("hit", F.lit(1)), KEYS, "left")
     counts = marked.groupBy("filename").agg(
         F.count("*").alias("source_rows"), F.count("hit").alias("retained_rows")
     )

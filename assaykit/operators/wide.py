@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from assaykit.functions.labels import range_label
 from assaykit.schema import BASE_COLUMNS, KEYS, SPLIT_COLUMN, require_columns, require_double
+from assaykit.sources.cohort import distinct_keys
 
 RANGE_COLUMNS = ["itemresult", "normallowvalue", "normalhighvalue"]
 
@@ -33,24 +34,45 @@ def item_label(item: DataFrame, name: str) -> DataFrame:
 
 
 def label_wide(
-    base: DataFrame, items: Sequence[tuple[DataFrame, str]], broadcast_base: bool = False
+    base: DataFrame,
+    items: Sequence[tuple[DataFrame, str]],
+    broadcast_base: bool = False,
+    repeated_keys: bool = False,
 ) -> DataFrame:
     """Base rows present in every item table, with their labels, ordered by key.
 
     All joins share the key, so each table is shuffled once and the joined rows
-    are not shuffled again until the final sort. When the base's keys were
-    measured to be small (``broadcast_base``), they first cut every item table
-    down where it is read, and only matching rows are shuffled.
+    are not shuffled again until the final sort; tables bucketed by the key are
+    not shuffled at all.
+
+    ``broadcast_base``: the base's keys were measured to be small. They first cut
+    every item table down where it is read, and only matching rows are shuffled.
+
+    ``repeated_keys``: a base pair may occur many times. Labels are then worked
+    out once per distinct pair and joined back in a join that AQE can split.
     """
     names = [name for _, name in items]
     require_label_names(names)
     base_names = [name for name, _ in BASE_COLUMNS]
     require_columns(base.columns, [*base_names, SPLIT_COLUMN], "base table")
     labels = [item_label(item, name) for item, name in items]
-    if broadcast_base:
-        keys = F.broadcast(base.select(*KEYS))
-        labels = [label.join(keys, KEYS, "left_semi") for label in labels]
     kept = base.select(*base_names, SPLIT_COLUMN)
-    joined = reduce(lambda left, right: left.join(right, KEYS, "inner"), labels, kept)
+    keys = distinct_keys(base)
+    if broadcast_base:
+        labels = [label.join(F.broadcast(keys), KEYS, "left_semi") for label in labels]
+    if repeated_keys and not broadcast_base:
+        per_pair = reduce(_on_keys, labels, keys)
+        joined = _on_keys(kept, _shuffled_apart(per_pair, names))
+    else:
+        joined = reduce(_on_keys, labels, kept)
     typed = [F.col(name).cast(kind).alias(name) for name, kind in BASE_COLUMNS]
     return joined.select(*typed, *names, F.col(SPLIT_COLUMN).cast("string")).orderBy(*KEYS)
+
+
+def _on_keys(left: DataFrame, right: DataFrame) -> DataFrame:
+    return left.join(right, KEYS, "inner")
+
+
+def _shuffled_apart(labels: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The same rows, rebalanced so that the next join shuffles them itself."""
+    return labels.select(*KEYS, *names).hint("rebalance")

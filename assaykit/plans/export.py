@@ -37,9 +37,11 @@ def export_labels(
     storage = Storage(spark)
     target = storage.qualify(output)
     refuse_existing(spark, [target], overwrite)
-    small = fits_broadcast(key_stats(base).first()["key_bytes"], broadcast_limit)
+    stats = key_stats(base).first()
+    small = fits_broadcast(stats["key_bytes"], broadcast_limit)
+    repeated = stats["rows"] > stats["keys"]
     counter = Observation()
-    wide = label_wide(base, items, broadcast_base=small)
+    wide = label_wide(base, items, broadcast_base=small, repeated_keys=repeated)
     counted = wide.observe(counter, F.count("*").alias("rows"))
     with staging(spark, dirname(target)) as stage:
         data = f"{stage}/data"
