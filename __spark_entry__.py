@@ -35,13 +35,10 @@ from assaykit.sinks.tables import load_table  # noqa: E402
 from assaykit.sources.cohort import distinct_keys  # noqa: E402
 from assaykit.sources.dictionary import item_problems  # noqa: E402
 from assaykit.sources.directory import (  # noqa: E402
-    ORIGIN,
-    SOURCE,
     list_sources,
     read_footers,
     scan,
     source_name,
-    with_origin,
 )
 from assaykit.storage import Storage  # noqa: E402
 
@@ -102,8 +99,8 @@ def split_totals(spark, sf_dir):
 def named_rows(spark: SparkSession, directory: str) -> DataFrame:
     """All published datasets of a directory, each row with its dataset's name."""
     found = list_sources(spark, directory, "*.parquet")
-    rows = with_origin(scan(spark, found), Storage(spark).qualify(directory))
-    return rows.withColumn("filename", decode_path(F.col(SOURCE))).drop(*ORIGIN)
+    name = source_name(Storage(spark).qualify(directory), F.col("_metadata.file_path"))
+    return scan(spark, found).select("*", decode_path(name).alias("filename"))
 
 
 def split_export(spark, sf_dir):

@@ -19,12 +19,12 @@ def code_text(df: DataFrame) -> Column:
     return as_text(F.col("itemcode"), found)
 
 
-def output_columns(df: DataFrame, skip: Sequence[str] = ()) -> list[Column]:
+def output_columns(df: DataFrame) -> list[Column]:
     """Per-item columns: no ``rn``, results as text, bytes decoded, the rest as it is."""
     require_columns(df.columns, RAW_REQUIRED, "source")
     columns = []
     for field in df.schema:
-        if field.name == "rn" or field.name in skip:
+        if field.name == "rn":
             continue
         col = F.col(field.name)
         if field.name in RESULT_COLUMNS or isinstance(field.dataType, T.BinaryType):

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assaykit.functions.text import decode_path
 from assaykit.operators.cohort import keep_cohort, key_stats
 from assaykit.sinks.publish import (
     fill_empty,
@@ -21,15 +20,14 @@ from assaykit.sinks.publish import (
 from assaykit.sizing import BROADCAST_LIMIT, fits_broadcast
 from assaykit.sources.cohort import distinct_keys, key_columns, read_cohort
 from assaykit.sources.directory import (
-    ORIGIN,
     SOURCE,
+    Origin,
     list_sources,
-    origin_order,
     read_footers,
     scan,
     source_name,
-    with_origin,
 )
+from assaykit.sources.local import local_frame
 from assaykit.storage import Entry, Storage
 
 SUMMARY = "filter_summary.csv"
@@ -76,28 +74,33 @@ def filter_by_cohort(
     footers = read_footers(spark, sources)
     with staging(spark, target_dir) as stage:
         groups = _schema_groups(footers, sources, directory)
-        staged, stored = {}, None
+        staged, stored = {}, []
         for number, group in enumerate(groups):
-            rows = with_origin(scan(spark, group), directory)
+            rows = scan(spark, group)
             key_columns(rows, source_dir)
-            kept = keep_cohort(rows, distinct_keys(cohort), broadcast_keys=small)
-            order = origin_order(group)
+            origin = Origin.of(group, directory)
+            kept = keep_cohort(origin.add(rows), distinct_keys(cohort), broadcast_keys=small)
             if not small:
-                kept = kept.repartitionByRange(*order)
+                kept = kept.repartitionByRange(*origin.order())
             data = f"{stage}/data-{number}"
-            ordered = kept.sortWithinPartitions(SOURCE, *order).drop(*ORIGIN[1:])
+            ordered = kept.sortWithinPartitions(*origin.order()).drop(*origin.columns[1:])
             parquet_writer(ordered, compression).partitionBy(SOURCE).save(data)
-            found = {}
-            for child in storage.children(data, f"{SOURCE}=*") if storage.is_dir(data) else []:
-                found[unquote(unquote(child.name.split("=", 1)[1]))] = child.path
-            empty = {e.name: f"{stage}/empty-{number}-{i}" for i, e in enumerate(group)
-                     if e.name not in found}
-            fill_empty(spark, rows.drop(*ORIGIN), list(empty.values()), compression)
+            found = {
+                origin.name_of(child.name.split("=", 1)[1]): child.path
+                for child in storage.children(data, f"{SOURCE}=*")
+            }
+            empty = {
+                entry.name: f"{stage}/empty-{number}-{index}"
+                for index, entry in enumerate(group)
+                if entry.name not in found
+            }
+            fill_empty(spark, rows, list(empty.values()), compression)
             staged.update(found)
             staged.update(empty)
             if found:
-                part = spark.read.schema(f"{SOURCE} string").parquet(data).groupBy(SOURCE).count()
-                stored = part if stored is None else stored.unionAll(part)
+                kind = "int" if origin.numbered else "string"
+                written = spark.read.schema(f"{SOURCE} {kind}").parquet(data)
+                stored.append(origin.with_names(written.groupBy(SOURCE).count()))
 
         summary = _summary(spark, footers, stored, directory)
         write_csv(summary, f"{stage}/summary")
@@ -127,15 +130,13 @@ def _schema_groups(footers: DataFrame, sources: list[Entry], directory: str) ->
 
 
 def _summary(
-    spark: SparkSession, footers: DataFrame, stored: DataFrame | None, directory: str
+    spark: SparkSession, footers: DataFrame, stored: list[DataFrame], directory: str
 ) -> DataFrame:
     """Source rows from the footers, retained rows from what was written, best first."""
     name = source_name(directory, F.col("path"))
     listed = footers.groupBy(name.alias("filename")).agg(F.sum("rows").alias("source_rows"))
-    if stored is None:
-        retained = spark.range(0).select(F.lit("").alias("filename"), F.lit(0).alias("count"))
-    else:
-        retained = stored.select(decode_path(F.col(SOURCE)).alias("filename"), "count")
+    none = local_frame(spark, {"filename": [], "count": []}, "filename string, count bigint")
+    retained = reduce(DataFrame.unionByName, stored, none)
     return (
         listed.join(retained, "filename", "left")
         .select(

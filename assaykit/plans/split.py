@@ -17,14 +17,8 @@ from assaykit.sinks.publish import (
     write_csv,
 )
 from assaykit.sources.dictionary import read_items
-from assaykit.sources.directory import (
-    ORIGIN,
-    list_sources,
-    origin_order,
-    require_same_schema,
-    scan,
-    with_origin,
-)
+from assaykit.sources.directory import Origin, list_sources, require_same_schema, scan
+from assaykit.sources.local import local_frame
 from assaykit.storage import Storage
 
 SUMMARY = "export_summary.csv"
@@ -61,8 +55,9 @@ def split_by_item(
     if check_schemas:
         require_same_schema(spark, sources)
     storage = Storage(spark)
-    raw = with_origin(scan(spark, sources), storage.qualify(input_dir))
+    raw = scan(spark, sources)
     require_columns(raw.columns, RAW_REQUIRED, input_dir)
+    origin = Origin.of(sources, storage.qualify(input_dir))
 
     # The dictionary is job configuration: its rows become the output names.
     counted = item_counts(raw, items).collect()
@@ -80,14 +75,14 @@ def split_by_item(
             wanted = raw
             if len(found) <= PRUNED_CODES:
                 wanted = prune_codes(raw, [row.itemcode for row in found])
-            selected = select_items(wanted, numbered, carry=[ITEM])
-            order = [F.col(ITEM), *origin_order(sources)]
+            selected = select_items(origin.add(wanted), numbered, carry=[ITEM])
+            order = [F.col(ITEM), *origin.order()]
             if total_order:
                 placed = selected.repartitionByRange(*order)
             else:
                 placed = selected.hint("rebalance", ITEM)
             writer = parquet_writer(
-                placed.sortWithinPartitions(*order).drop(*ORIGIN), compression
+                placed.sortWithinPartitions(*order).drop(*origin.columns), compression
             )
             if max_rows_per_file:
                 writer = writer.option("maxRecordsPerFile", max_rows_per_file)
@@ -96,15 +91,16 @@ def split_by_item(
 
         staged = {row.line: f"{data}/{ITEM}={row.line}" for row in found}
         empty = {row.line: f"{stage}/empty-{row.line}" for row in counted if not row.rows}
-        like = raw.select(*output_columns(raw, skip=ORIGIN))
-        fill_empty(spark, like, list(empty.values()), compression)
+        fill_empty(spark, raw.select(*output_columns(raw)), list(empty.values()), compression)
         staged.update(empty)
 
-        report = [(r.itemname, r.itemcode, r.rows, r.filename) for r in counted]
-        write_csv(spark.createDataFrame(report, SUMMARY_SCHEMA).coalesce(1), f"{stage}/summary")
+        names = ["itemname", "itemcode", "rows", "filename"]
+        report = {name: [row[name] for row in counted] for name in names}
+        summary = local_frame(spark, report, SUMMARY_SCHEMA)
+        write_csv(summary.coalesce(1), f"{stage}/summary")
         moves = [(staged[row.line], target) for row, target in zip(counted, targets)]
         publish(spark, stage, [*moves, (f"{stage}/summary", summary_target)])
-    return spark.createDataFrame(report, SUMMARY_SCHEMA)
+    return summary
 
 
 def _require_counts(spark: SparkSession, data: str, expected: dict) -> None:

@@ -94,13 +94,12 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").option("escape", '"').csv(path, header=True)
 
 
-def fill_empty(spark: SparkSession, like: DataFrame, targets: Sequence[str], compression: str):
+def fill_empty(spark: SparkSession, like: DataFrame, targets: Sequence[str], compression: str) -> None:
     """Zero-row datasets with the full schema: written once, copied for the rest."""
     if not targets:
         return
     storage = Storage(spark)
     first = targets[0]
-    empty = spark.createDataFrame([], like.schema)
-    parquet_writer(empty.coalesce(1), compression).save(first)
+    parquet_writer(like.limit(0), compression).save(first)
     for target in targets[1:]:
         storage.copy(first, target)

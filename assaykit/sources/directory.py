@@ -4,17 +4,21 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from assaykit.functions.text import decode_path
+from assaykit.sizing import BROADCAST_LIMIT, ROW_OVERHEAD, fits_broadcast
+from assaykit.sources.local import local_frame
 from assaykit.storage import Entry, Storage, literal_path
 
 # Columns that carry a row's origin through a job; dropped before writing.
 SOURCE = "__source"
 FILE = "__file"
 ROW = "__row"
-ORIGIN = [SOURCE, FILE, ROW]
+NUMBER = "__number"
 
 
 def list_sources(spark: SparkSession, directory: str, pattern: str) -> list[Entry]:
@@ -43,22 +47,75 @@ def source_name(directory: str, file_path: Column) -> Column:
     return F.substring_index(F.substring_index(file_path, "/", depth), "/", -1)
 
 
-def with_origin(df: DataFrame, directory: str) -> DataFrame:
-    """Add source name, file and row number, which together give the input order."""
-    path = F.col("_metadata.file_path")
-    return df.select(
-        "*",
-        source_name(directory, path).alias(SOURCE),
-        path.alias(FILE),
-        F.col("_metadata.row_index").alias(ROW),
-    )
+@dataclass(frozen=True)
+class Origin:
+    """Where rows come from, as columns that sort into input order.
+
+    A source is carried as its number in the listing, looked up by name in a
+    broadcast listing of checked size; a longer listing carries the name itself.
+    The file is added only where a source is a directory of several files.
+    """
 
+    sources: Sequence[Entry]
+    directory: str
+    numbered: bool
+    nested: bool
+    encoded: bool
+
+    @classmethod
+    def of(
+        cls, sources: Sequence[Entry], directory: str, limit: int = BROADCAST_LIMIT
+    ) -> Origin:
+        size = sum(len(entry.name.encode()) + ROW_OVERHEAD for entry in sources)
+        return cls(
+            sources,
+            directory,
+            numbered=fits_broadcast(size, limit),
+            nested=any(entry.is_dir for entry in sources),
+            encoded=any(re.search(r"[^\w.\-]", entry.name) for entry in sources),
+        )
 
-def origin_order(sources: Sequence[Entry]) -> list[Column]:
-    """Sort keys for input order; names are decoded only if some name is encoded."""
-    encoded = any(re.search(r"[^\w.\-]", entry.name) for entry in sources)
-    plain = decode_path if encoded else (lambda col: col)
-    return [plain(F.col(SOURCE)), plain(F.col(FILE)), F.col(ROW)]
+    @property
+    def columns(self) -> list[str]:
+        return [SOURCE, FILE, ROW] if self.nested else [SOURCE, ROW]
+
+    def add(self, df: DataFrame) -> DataFrame:
+        plain = decode_path if self.encoded else (lambda col: col)
+        path, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
+        if self.nested:
+            name = source_name(self.directory, path)
+        carried = [plain(name).alias(SOURCE), F.col("_metadata.row_index").alias(ROW)]
+        if self.nested:
+            carried.append(plain(path).alias(FILE))
+        located = df.select("*", *carried)
+        if not self.numbered:
+            return located
+        numbers = local_frame(
+            df.sparkSession,
+            {SOURCE: [e.name for e in self.sources], NUMBER: range(len(self.sources))},
+            f"{SOURCE} string, {NUMBER} int",
+        )
+        joined = located.join(F.broadcast(numbers), SOURCE).drop(SOURCE)
+        return joined.withColumnRenamed(NUMBER, SOURCE)
+
+    def order(self) -> list[Column]:
+        return [F.col(name) for name in self.columns]
+
+    def name_of(self, directory_value: str) -> str:
+        """The source behind a ``partitionBy`` directory's value."""
+        value = unquote(directory_value)
+        return self.sources[int(value)].name if self.numbered else value
+
+    def with_names(self, counts: DataFrame) -> DataFrame:
+        """``filename`` in place of the carried source."""
+        if not self.numbered:
+            return counts.withColumnRenamed(SOURCE, "filename")
+        names = local_frame(
+            counts.sparkSession,
+            {"filename": [e.name for e in self.sources], SOURCE: range(len(self.sources))},
+            f"filename string, {SOURCE} int",
+        )
+        return counts.join(names, SOURCE).drop(SOURCE)
 
 
 FOOTERS = "path string, rows bigint, schema string"

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from assaykit.sources.cohort import distinct_keys, read_cohort
 from assaykit.sources.dictionary import read_items
-from assaykit.sources.directory import list_sources, read_footers, scan, with_origin
+from assaykit.sources.directory import Origin, list_sources, read_footers, scan
 from assaykit.storage import Storage
 from conftest import rows
 from lab_files import two_raw_files, write_items, write_table
@@ -95,6 +95,12 @@ def test_footers_and_origin(spark, tmp_path):
         ("b?%20.parquet", 1),
         ("c.parquet", 0),
     ]
-    df = with_origin(scan(spark, found), Storage(spark).qualify(str(folder)))
-    assert df.count() == 3
-    assert df.where("x = 3").select(F.url_decode("__source")).first()[0] == "b?%20.parquet"
+    for limit in (0, 10**8):
+        origin = Origin.of(found, Storage(spark).qualify(str(folder)), limit)
+        df = origin.add(scan(spark, found))
+        assert df.count() == 3
+        counted = origin.with_names(df.groupBy("__source").agg(F.max("__row").alias("last")))
+        assert sorted(rows(counted.select("filename", "last"))) == [
+            ("a*1.parquet", 1),
+            ("b?%20.parquet", 0),
+        ]
