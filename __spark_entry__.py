@@ -407,13 +407,13 @@ KEY_COLUMNS = (
     "checkitemcode, checkitemname, itemcode, itemname"
 )
 TYPED = (
-    f"with {OBS}, g as (select uid, id, "
-    + ", ".join(f"min({name}) as {name}" for name in lab.TEXT_ITEM_COLUMNS)
-    + f" from obs where {lab.CONVERTIBLE} group by uid, id) select "
+    f"with lines as ({lab.ONE_PER_KEY.format('lineitem')}), "
+    f"g as ({lab.select(lab.RAW, 'lines')}) select "
     + KEY_COLUMNS.format(uid="uid", id="id")
     + ", cast(trim(itemresult) as double) as itemresult, "
     "cast(normalhighvalue as double) as normalhighvalue, "
-    "cast(normallowvalue as double) as normallowvalue, itemindexresultunit from g"
+    "cast(normallowvalue as double) as normallowvalue, itemindexresultunit from g "
+    f"where {lab.CONVERTIBLE}"
 )
 FINITE = "case when isfinite(score) then score end as score"
 SCORES = lab.select(lab.NON_FINITE, "lineitem")

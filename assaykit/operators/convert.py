@@ -56,12 +56,17 @@ def _date(name: str, data_type: T.DataType) -> Column:
     )
 
 
-def _text(name: str) -> Column:
-    text = F.col(name).cast("string")
-    fits = text.isNull() | (F.octet_length(text) <= TEXT_BYTES)
-    return F.when(fits, text).otherwise(
-        F.raise_error(F.lit(f"{name} exceeds {TEXT_BYTES} bytes")).cast("string")
-    )
+def _texts(names: list[str]) -> dict[str, Column]:
+    """Text columns within the TEXT capacity, checked at once on the last of them.
+
+    One check for all keeps the generated row method small enough to compile.
+    """
+    texts = {name: F.col(name).cast("string") for name in names}
+    longest = F.greatest(F.lit(0), *[F.octet_length(text) for text in texts.values()])
+    complaint = F.raise_error(F.lit(f"more than {TEXT_BYTES} bytes in one of {names}"))
+    last = names[-1]
+    texts[last] = F.when(longest <= TEXT_BYTES, texts[last]).otherwise(complaint.cast("string"))
+    return texts
 
 
 def convert_keys(df: DataFrame) -> DataFrame:
@@ -69,20 +74,17 @@ def convert_keys(df: DataFrame) -> DataFrame:
     names = [name for name, _ in ITEM_TABLE[:13]]
     require_columns(df.columns, names, "item table")
     dept = blank_to_null(F.col("deptid"))
-    age = F.coalesce(to_double(F.col("examage"), df.schema["examage"].dataType, "examage", True),
-                     F.lit(0.0))
+    age = to_double(F.col("examage"), df.schema["examage"].dataType, "examage", nullable=True)
     converted = {
         "uid": _key("uid", UID_LENGTH),
         "id": _key("id", ID_LENGTH),
         "hospid": blank_to_null(F.col("hospid")).cast("bigint"),
         "regdate": _date("regdate", df.schema["regdate"].dataType),
-        "examage": age,
+        "examage": F.coalesce(age, F.lit(0.0)),
         "usex": sex_code(F.col("usex")),
-        "deptid": to_double(dept, T.StringType(), "deptid", True),
+        "deptid": to_double(dept, T.StringType(), "deptid", nullable=True),
     }
-    for name in names:
-        converted.setdefault(name, _text(name))
-    return df.withColumns(converted)
+    return df.withColumns({**converted, **_texts([n for n in names if n not in converted])})
 
 
 def convert_result(df: DataFrame) -> DataFrame:
@@ -103,7 +105,7 @@ def convert_normals(df: DataFrame) -> DataFrame:
 
 def convert_unit(df: DataFrame) -> DataFrame:
     """itemindexresultunit to nullable text of at most the TEXT capacity."""
-    return df.withColumn("itemindexresultunit", _text("itemindexresultunit"))
+    return df.withColumns(_texts(["itemindexresultunit"]))
 
 
 def to_item_table(df: DataFrame) -> DataFrame:

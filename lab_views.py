@@ -160,10 +160,18 @@ def item_table(
     )
 
 
-TEXT_ITEM_COLUMNS = [name for name in RAW if name not in ("uid", "id", "rn")]
+# One detail row per key pair, from numbers alone so that the grouping stays cheap.
+ONE_PER_KEY = (
+    "select l_orderkey, l_linenumber, min(l_partkey) as l_partkey, min(l_suppkey) as l_suppkey, "
+    "min(l_quantity) as l_quantity, min(l_discount) as l_discount, min(l_tax) as l_tax, "
+    "chr(min(ascii(l_returnflag))) as l_returnflag, "
+    "chr(min(ascii(l_linestatus))) as l_linestatus, min(l_shipdate) as l_shipdate "
+    "from {0} group by l_orderkey, l_linenumber"
+)
 
 
 def text_item_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A text item table with unique keys and convertible results."""
-    rows = text_lab(spark, sf_dir).where(CONVERTIBLE).groupBy("uid", "id")
-    return rows.agg(*[F.min(name).alias(name) for name in TEXT_ITEM_COLUMNS])
+    lineitem = table(spark, sf_dir, "lineitem")
+    one_per_key = spark.sql(ONE_PER_KEY.format("{lineitem}"), lineitem=lineitem)
+    return one_per_key.selectExpr(*columns(RAW)).drop("rn").where(CONVERTIBLE)
