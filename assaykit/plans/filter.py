@@ -121,10 +121,14 @@ def _schema_groups(footers: DataFrame, sources: list[Entry], directory: str) ->
     if len(schemas.limit(2).collect()) <= 1:
         return [sources]
     name = source_name(directory, F.col("path"))
-    per_source = footers.groupBy(name.alias("name")).agg(F.min("schema").alias("schema"))
+    per_source = footers.groupBy(name.alias("name")).agg(
+        F.min("schema").alias("schema"), F.max("schema").alias("other")
+    )
     groups: dict[str, list[Entry]] = {}
     by_name = {entry.name: entry for entry in sources}
     for row in per_source.orderBy("name").toLocalIterator():
+        if row.schema != row.other:
+            raise ValueError(f"the files of {row.name} differ in schema")
         groups.setdefault(row.schema, []).append(by_name[row.name])
     return list(groups.values())
 
