@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 
 from assaykit.operators.convert import non_finite_to_null
 from assaykit.schema import KEYS, require_flat, require_unique_names
-from assaykit.sources.tables import BATCH_ROWS
+from assaykit.sources.tables import BATCH_ROWS, read_jdbc
 
 MODES = ("fail", "append", "replace")
 
@@ -104,7 +104,15 @@ def load_table(
         spark.sql(f"DROP TABLE IF EXISTS {loading}")
 
 
-JDBC_MODES = {"fail": "errorifexists", "append": "append", "replace": "overwrite"}
+def jdbc_table_exists(
+    spark: SparkSession, url: str, table: str, properties: dict[str, str]
+) -> bool:
+    """Ask the database's own schema, in the dialect of MySQL."""
+    found = (
+        "(SELECT 1 AS found FROM information_schema.tables "
+        f"WHERE table_schema = DATABASE() AND table_name = '{table}') AS t"
+    )
+    return not read_jdbc(spark, url, found, properties).isEmpty()
 
 
 def load_jdbc(
@@ -114,24 +122,32 @@ def load_jdbc(
     properties: dict[str, str],
     if_exists: str = "fail",
     batch_rows: int = BATCH_ROWS,
-    existing_columns: Sequence[str] | None = None,
+    not_null: Sequence[str] = (),
 ) -> int:
     """Load a frame into a database table and return the rows sent.
 
     Each partition is one transaction and a retried task sends its rows again:
-    load into an empty table and compare its count with the returned one. For
-    an append, pass the table's columns to have names and order checked.
+    load into an empty table and compare its count with the returned one.
     """
     if if_exists not in MODES:
         raise ValueError(f"if_exists must be one of {MODES}, not {if_exists!r}")
     if batch_rows < 1:
         raise ValueError("batch_rows must be at least 1")
-    rows = loadable(df)
-    if existing_columns is not None and if_exists == "append":
-        require_same_columns(existing_columns, rows.columns, table)
+    require_table_name(table)
+    rows = loadable(df, not_null)
+    spark = df.sparkSession
+    mode = "errorifexists"
+    if jdbc_table_exists(spark, url, table, properties):
+        if if_exists == "fail":
+            raise FileExistsError(f"table {table} exists; use if_exists='append' or 'replace'")
+        mode = "overwrite"
+        if if_exists == "append":
+            mode = "append"
+            existing = read_jdbc(spark, url, table, properties).columns
+            require_same_columns(existing, rows.columns, table)
     counted, counter = _observed(rows)
     options = {**properties, "batchsize": str(batch_rows)}
-    counted.write.mode(JDBC_MODES[if_exists]).jdbc(url, table, properties=options)
+    counted.write.mode(mode).jdbc(url, table, properties=options)
     return counter.get["rows"]
 
 

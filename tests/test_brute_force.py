@@ -1,0 +1,145 @@
+"""Operators against plain Python on small random tables."""
+
+import re
+
+from hypothesis import HealthCheck, given, settings, strategies as st
+
+from assaykit.operators.cohort import coverage, file_summary, keep_cohort, key_stats, missing_from
+from assaykit.operators.convert import duplicate_keys
+from assaykit.operators.items import item_counts
+from assaykit.operators.profile import invalid_normal_values, profile_normals, profile_result
+from assaykit.operators.wide import label_wide
+from assaykit.sources.cohort import distinct_keys
+from conftest import rows
+
+few = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+part = st.one_of(st.none(), st.sampled_from(["", "a", "b", "中"]))
+pairs = st.lists(st.tuples(part, part), min_size=1, max_size=25)
+KEY = "uid string, id string"
+
+
+def complete(data):
+    return {p for p in data if None not in p}
+
+
+def by_repr(values):
+    return sorted(values, key=repr)
+
+
+@few
+@given(pairs, pairs)
+def test_cohort(spark, data, cohort):
+    df, keys = spark.createDataFrame(data, KEY), spark.createDataFrame(cohort, KEY)
+    wanted = complete(cohort)
+    for small in (False, True):
+        kept = keep_cohort(df, distinct_keys(keys), broadcast_keys=small)
+        assert by_repr(rows(kept)) == by_repr(p for p in data if p in wanted)
+    assert set(rows(missing_from(distinct_keys(keys), df))) == wanted - complete(data)
+    stats = key_stats(keys).first()
+    assert (stats["rows"], stats["keys"]) == (len(cohort), len(wanted))
+    assert stats["unusable"] == len(cohort) - len(wanted)
+    repeated = {p: data.count(p) for p in data if data.count(p) > 1}
+    assert set(rows(duplicate_keys(df))) == {(*p, n) for p, n in repeated.items()}
+
+
+@few
+@given(st.lists(st.tuples(part, part, st.sampled_from(["f", "g"])), min_size=1, max_size=30), pairs)
+def test_per_file_and_per_table(spark, data, cohort):
+    df = spark.createDataFrame(data, f"{KEY}, table string")
+    keys = spark.createDataFrame(cohort, KEY)
+    names = spark.createDataFrame([("f",), ("g",), ("none",)], "table string")
+    wanted = complete(cohort)
+
+    def inside(name):
+        return [(u, i) for u, i, f in data if f == name]
+
+    expected = {n: len(set(inside(n)) & wanted) for n in ("f", "g", "none")}
+    assert dict(rows(coverage(keys, df, names))) == expected
+    summary = file_summary(
+        df, distinct_keys(keys), names.withColumnRenamed("table", "filename"), "table"
+    )
+    counted = [(n, len(inside(n)), sum(p in wanted for p in inside(n))) for n in expected]
+    assert rows(summary) == sorted(counted, key=lambda r: (-r[2], r[0]))
+
+
+code = st.one_of(st.none(), st.sampled_from(["1", "1.0", " 1", "2", "2.10", "2.1", "x"]))
+
+
+@few
+@given(st.lists(code, min_size=1, max_size=30), st.permutations(["1", "2.1", "2.10", "absent"]))
+def test_counts(spark, codes, listed):
+    df = spark.createDataFrame([(c,) for c in codes], "itemcode string")
+    items = spark.createDataFrame(
+        [(n, "name", c, "file") for n, c in enumerate(listed)],
+        "line long, itemname string, itemcode string, filename string",
+    )
+    got = [(r.itemcode, r.rows) for r in item_counts(df, items).collect()]
+    assert got == [(c, codes.count(c)) for c in listed]
+
+
+NUMBER = re.compile(r"[ \t\n\v\f\r]*[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?[ \t\n\v\f\r]*")
+text = st.one_of(st.none(), st.text(" \t\n+-.eE019d中", max_size=5))
+
+
+@few
+@given(st.lists(st.tuples(text, text, text), min_size=1, max_size=40))
+def test_profiles(spark, data):
+    df = spark.createDataFrame(data, "itemresult string, normallowvalue string, normalhighvalue string")
+
+    def counts(values, nullable):
+        nulls = sum(v is None for v in values)
+        numeric = sum(v is not None and bool(NUMBER.fullmatch(v)) for v in values)
+        blank = sum(v is not None and v.strip(" ") == "" for v in values)
+        left = len(values) - numeric - (nulls if nullable else 0)
+        return (len(values), nulls, blank, numeric, left)
+
+    result, low, high = ([row[i] for row in data] for i in range(3))
+    assert rows(profile_result(df)) == [counts(result, False)]
+    assert rows(profile_normals(df)) == [
+        ("normallowvalue", *counts(low, True)),
+        ("normalhighvalue", *counts(high, True)),
+    ]
+    bad = [
+        (name, v)
+        for name, values in (("normallowvalue", low), ("normalhighvalue", high))
+        for v in values
+        if v is not None and not NUMBER.fullmatch(v)
+    ]
+    expected = {(*p, bad.count(p)) for p in bad}
+    got = rows(invalid_normal_values(df))
+    assert set(got) == expected and len(got) == len(expected)
+    assert [r[2] for r in got] == sorted((r[2] for r in got), reverse=True)
+
+
+value = st.one_of(st.none(), st.sampled_from([0.0, 1.0, 2.5, -1.0]))
+measured = st.lists(st.tuples(part, part, value, value, value), max_size=12)
+
+
+@few
+@given(pairs, measured, measured)
+def test_wide(spark, base_keys, one, two):
+    base = spark.createDataFrame(
+        [(u, i, 1, "MAN", 2.0, "a", "b", str(n)) for n, (u, i) in enumerate(base_keys)],
+        f"{KEY}, hospid long, usex string, examage double, image_path_1 string, "
+        "image_path_2 string, split string",
+    )
+    schema = f"{KEY}, itemresult double, normallowvalue double, normalhighvalue double"
+    items = [(spark.createDataFrame(t, schema), name) for t, name in ((one, "x"), (two, "y"))]
+
+    def label(r, low, high):
+        return None if None in (r, low, high) else int(not low <= r <= high)
+
+    expected = [
+        (*key, label(*p[2:]), label(*q[2:]), str(n))
+        for n, key in enumerate(base_keys)
+        if None not in key
+        for p in one
+        if p[:2] == key
+        for q in two
+        if q[:2] == key
+    ]
+    for options in ({}, {"broadcast_base": True}, {"repeated_keys": True}):
+        wide = label_wide(base, items, **options).select("uid", "id", "x", "y", "split")
+        got = rows(wide)
+        assert by_repr(got) == by_repr(expected)
+        assert [r[:2] for r in got] == sorted(r[:2] for r in got)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from assaykit.operators.cohort import file_summary, keep_cohort
 from assaykit.operators.wide import label_wide
+from assaykit.plans import split_by_item
 from assaykit.sources.cohort import distinct_keys
 
 SETTINGS = {
@@ -69,3 +70,20 @@ def test_repeated_base_pairs_are_split(spark, hot):
         rows = wide.collect()
         assert len(rows) == N and {(r.a, r.b) for r in rows} == {(0, 0)}
         assert ("skew=true" in final_plan(wide)) is flag
+
+
+def test_hot_item_becomes_many_files(spark, hot, tmp_path):
+    hot.selectExpr(
+        "encode(case when uid = 'hot' then 'A' else concat('B', id) end, 'utf-8') as itemcode",
+        "uid", "id", "payload as itemresult", "'' as normalhighvalue", "'' as normallowvalue",
+        "monotonically_increasing_id() as rn",
+    ).write.parquet(str(tmp_path / "raw"))
+    (tmp_path / "items.csv").write_text("itemname,itemcode\nhot,A\nrest,B1\n")
+    summary = split_by_item(
+        spark, str(tmp_path / "raw"), str(tmp_path / "items.csv"), str(tmp_path / "out"),
+        pattern="*.parquet",
+    )
+    assert [row["rows"] for row in summary.collect()] == [N // 3, N - N // 3]
+    for name in ("hot__A", "rest__B1"):
+        parts = list((tmp_path / "out" / f"{name}.parquet").glob("part-*.parquet"))
+        assert len(parts) > 3

@@ -190,10 +190,42 @@ def test_jdbc_read_options():
         read_jdbc(Session, "jdbc:x", "t", {}, batch_rows=0)
 
 
-def test_jdbc_append_checks_columns(spark):
+@pytest.fixture
+def database(spark, monkeypatch):
+    """Stands in for a database: what exists is set, what is written is recorded."""
+    import assaykit.sinks.tables as tables
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    state = {"columns": None, "written": []}
+
+    def write(writer, url, table, properties):
+        state["written"].append((table, properties, writer._df.columns))
+        writer.format("noop").mode("overwrite").save()
+
+    monkeypatch.setattr(tables, "jdbc_table_exists", lambda *a: state["columns"] is not None)
+    monkeypatch.setattr(
+        tables,
+        "read_jdbc",
+        lambda *a: spark.createDataFrame([], ", ".join(f"{c} string" for c in state["columns"])),
+    )
+    monkeypatch.setattr(DataFrameWriter, "jdbc", write)
+    return state
+
+
+def test_jdbc_load(spark, database):
     df = spark.createDataFrame(DATA, SCHEMA)
+    assert load_jdbc(df, "jdbc:x", "t", {"user": "me"}, batch_rows=7) == 2
+    assert database["written"] == [("t", {"user": "me", "batchsize": "7"}, df.columns)]
+    database["columns"] = df.columns
+    with pytest.raises(FileExistsError):
+        load_jdbc(df, "jdbc:x", "t", {})
+    assert load_jdbc(df, "jdbc:x", "t", {}, "append") == 2
     with pytest.raises(ValueError, match="columns"):
-        load_jdbc(df, "jdbc:x", "t", {}, "append", existing_columns=["id", "uid"])
+        load_jdbc(df.select(*reversed(df.columns)), "jdbc:x", "t", {}, "append")
+    assert load_jdbc(df.drop("value"), "jdbc:x", "t", {}, "replace") == 2
+    assert len(database["written"]) == 3
+    for bad in (dict(if_exists="ignore"), dict(batch_rows=0), dict(table="a b")):
+        with pytest.raises(ValueError):
+            load_jdbc(df, "jdbc:x", bad.pop("table", "t"), {}, **bad)
     with pytest.raises(TypeError):
         load_jdbc(spark.sql("select array(1) a"), "jdbc:x", "t", {})
-    assert to_item_table(lab(spark, {})).columns == [name for name, _ in ITEM_TABLE]
