@@ -19,6 +19,9 @@ TOP_VALUES = 100
 TOP_VALUES_TWO_COLUMNS = 200
 # The two nullable columns, in report order.
 NORMAL_COLUMNS = ["normallowvalue", "normalhighvalue"]
+# Which double columns take NULL.
+RESULT_TARGET = {"itemresult": False}
+NORMAL_TARGETS = dict.fromkeys(NORMAL_COLUMNS, True)
 
 
 def _count_where(condition: Column) -> Column:
@@ -26,10 +29,10 @@ def _count_where(condition: Column) -> Column:
     return F.sum(condition.cast("bigint"))
 
 
-def profile_columns(df: DataFrame, columns: Sequence[str], nullable: bool) -> DataFrame:
+def profile_columns(df: DataFrame, columns: dict[str, bool]) -> DataFrame:
     """``column_name, total_rows, null_rows, blank_rows, numeric_rows, non_convertible_rows``.
 
-    One pass for all columns, one pattern match per value: the non-convertible
+    ``columns`` says of each column whether its target takes NULL. One pass for all columns, one pattern match per value: the non-convertible
     rows are what the other counts leave over.
     """
     counts = [F.count("*").alias("total_rows")]
@@ -41,7 +44,7 @@ def profile_columns(df: DataFrame, columns: Sequence[str], nullable: bool) -> Da
             _count_where(F.coalesce(is_numeric_text(col), F.lit(False))).alias(f"numeric_{name}"),
         ]
     lines = []
-    for name in columns:
+    for name, nullable in columns.items():
         nulls, numeric = F.col(f"null_{name}"), F.col(f"numeric_{name}")
         convertible = nulls + numeric if nullable else numeric
         lines.append(
@@ -59,12 +62,12 @@ def profile_columns(df: DataFrame, columns: Sequence[str], nullable: bool) -> Da
 
 def profile_result(df: DataFrame) -> DataFrame:
     """The one-line profile of ``itemresult`` for a NOT NULL double."""
-    return profile_columns(df, ["itemresult"], nullable=False).drop("column_name")
+    return profile_columns(df, RESULT_TARGET).drop("column_name")
 
 
 def profile_normals(df: DataFrame) -> DataFrame:
     """One profile line per bound, for nullable doubles."""
-    return profile_columns(df, NORMAL_COLUMNS, nullable=True)
+    return profile_columns(df, NORMAL_TARGETS)
 
 
 def invalid_results(df: DataFrame) -> DataFrame:

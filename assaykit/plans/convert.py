@@ -12,7 +12,14 @@ from assaykit.operators.convert import (
     require_unique_keys,
     to_item_table,
 )
-from assaykit.operators.profile import profile_normals, profile_result, require_convertible
+from assaykit.operators.profile import (
+    NORMAL_TARGETS,
+    RESULT_TARGET,
+    profile_columns,
+    profile_normals,
+    profile_result,
+    require_convertible,
+)
 from assaykit.sinks.tables import convert_table
 
 
@@ -39,7 +46,5 @@ def convert_unit_column(spark: SparkSession, table: str) -> int:
 
 def convert_item_table(spark: SparkSession, table: str, buckets: int | None = None) -> int:
     """All conversions in one rewrite, behind the same gates, with a backup."""
-    source = spark.table(table)
-    require_convertible(profile_result(source))
-    require_convertible(profile_normals(source))
+    require_convertible(profile_columns(spark.table(table), {**RESULT_TARGET, **NORMAL_TARGETS}))
     return convert_table(spark, table, to_item_table, [require_unique_keys], buckets=buckets)

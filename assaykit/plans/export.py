@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from posixpath import dirname
+from posixpath import basename, dirname
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 
@@ -36,7 +36,7 @@ def export_labels(
     spark = base.sparkSession
     storage = Storage(spark)
     target = storage.qualify(output)
-    refuse_existing(spark, [target], overwrite)
+    refuse_existing(spark, dirname(target), [basename(target)], overwrite)
     stats = key_stats(base).first()
     small = fits_broadcast(stats["key_bytes"], broadcast_limit)
     repeated = stats["rows"] > stats["keys"]

@@ -59,16 +59,15 @@ def filter_by_cohort(
     targets = {entry.name: f"{target_dir}/{entry.name}" for entry in sources}
     summary_target = f"{target_dir}/{SUMMARY}"
     refuse_overlap(
-        spark,
         [*targets.values(), summary_target],
-        [cohort_path, *[entry.path for entry in sources]],
+        [storage.qualify(cohort_path), *[entry.path for entry in sources]],
     )
     cohort = read_cohort(spark, cohort_path)
     stats = key_stats(cohort).first()
     if not stats["keys"]:
         raise ValueError(f"{cohort_path} holds no complete (uid, id) pair")
     small = fits_broadcast(stats["key_bytes"], broadcast_limit)
-    refuse_existing(spark, [*targets.values(), summary_target], overwrite)
+    refuse_existing(spark, target_dir, [*targets, SUMMARY], overwrite)
 
     directory = storage.qualify(source_dir)
     footers = read_footers(spark, sources)

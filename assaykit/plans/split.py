@@ -64,18 +64,14 @@ def split_by_item(
     target_dir = storage.qualify(output_dir)
     targets = [f"{target_dir}/{row.filename}" for row in counted]
     summary_target = f"{target_dir}/{SUMMARY}"
-    refuse_overlap(spark, [*targets, summary_target], [entry.path for entry in sources])
-    refuse_existing(spark, [*targets, summary_target], overwrite)
+    refuse_overlap([*targets, summary_target], [entry.path for entry in sources])
+    refuse_existing(spark, target_dir, [*[r.filename for r in counted], SUMMARY], overwrite)
 
     with staging(spark, target_dir) as stage:
         found = [row for row in counted if row.rows]
         data = f"{stage}/data"
         if found:
-            numbered = items.select("itemcode", F.col("line").alias(ITEM))
-            wanted = raw
-            if len(found) <= PRUNED_CODES:
-                wanted = prune_codes(raw, [row.itemcode for row in found])
-            selected = select_items(origin.add(wanted), numbered, carry=[ITEM])
+            selected = selected_rows(raw, origin, [(r.itemcode, r.line) for r in found])
             order = [F.col(ITEM), *origin.order()]
             if total_order:
                 placed = selected.repartitionByRange(*order)
@@ -103,6 +99,18 @@ def split_by_item(
     return summary
 
 
+def selected_rows(raw: DataFrame, origin: Origin, codes: list[tuple[str, int]]) -> DataFrame:
+    """Decoded rows of the given codes with their item number and origin.
+
+    Every code was decoded strictly when it was counted, so the scan may compare
+    stored bytes and skip row groups.
+    """
+    listed = {"itemcode": [code for code, _ in codes], ITEM: [number for _, number in codes]}
+    numbered = local_frame(raw.sparkSession, listed, f"itemcode string, {ITEM} bigint")
+    wanted = prune_codes(raw, listed["itemcode"]) if len(codes) <= PRUNED_CODES else raw
+    return select_items(origin.add(wanted), numbered, carry=[ITEM])
+
+
 def _require_counts(spark: SparkSession, data: str, expected: dict) -> None:
     """Rows stored per item must be the rows counted in the source (footers only)."""
     counts = spark.read.schema(f"{ITEM} bigint").parquet(data).groupBy(ITEM).count()

@@ -32,28 +32,33 @@ def parquet_writer(df: DataFrame, compression: str = "zstd") -> DataFrameWriter:
     return writer.option("parquet.compression.codec.zstd.level", ZSTD_LEVEL)
 
 
-def refuse_existing(spark: SparkSession, targets: Sequence[str], overwrite: bool) -> None:
+def refuse_existing(
+    spark: SparkSession, directory: str, names: Sequence[str], overwrite: bool
+) -> None:
     """Nothing is replaced unless asked for; the message names the first ten."""
-    if overwrite:
-        return
     storage = Storage(spark)
-    present = [target for target in targets if storage.exists(target)]
+    if overwrite or not storage.is_dir(directory):
+        return
+    there = {entry.name for entry in storage.children(directory)}
+    present = [name for name in names if name in there]
     if present:
-        shown = "".join(f"\n  {target}" for target in present[:SHOWN])
+        shown = "".join(f"\n  {directory}/{name}" for name in present[:SHOWN])
         rest = len(present) - SHOWN
         more = f"\n  and {rest} more" if rest > 0 else ""
         raise FileExistsError(f"already there, pass overwrite=True to replace:{shown}{more}")
 
 
-def refuse_overlap(spark: SparkSession, targets: Iterable[str], sources: Iterable[str]) -> None:
-    """No target may be, contain or lie inside something that is being read."""
-    storage = Storage(spark)
-    read = [storage.qualify(source).rstrip("/") for source in sources]
-    for target in targets:
-        path = storage.qualify(target).rstrip("/")
-        for source in read:
-            if f"{path}/".startswith(f"{source}/") or f"{source}/".startswith(f"{path}/"):
-                raise ValueError(f"target {path} overlaps source {source}")
+def refuse_overlap(targets: Iterable[str], sources: Iterable[str]) -> None:
+    """No target may be, contain or lie inside something that is read (qualified paths)."""
+    written = {path.rstrip("/") for path in targets}
+    read = {path.rstrip("/") for path in sources}
+    for one, others in ((written, read), (read, written)):
+        for path in one:
+            part = path
+            while part:
+                if part in others:
+                    raise ValueError(f"{path} overlaps {part}: one is read, the other written")
+                part = part.rpartition("/")[0]
 
 
 @contextmanager
