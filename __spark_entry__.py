@@ -32,7 +32,6 @@ from assaykit.plans import (  # noqa: E402
 )
 from assaykit.schema import ITEM_TABLE  # noqa: E402
 from assaykit.sinks.tables import load_table  # noqa: E402
-from assaykit.sources.cohort import distinct_keys  # noqa: E402
 from assaykit.sources.dictionary import item_problems  # noqa: E402
 from assaykit.sources.directory import (  # noqa: E402
     list_sources,
@@ -119,12 +118,12 @@ def split_export(spark, sf_dir):
 
 def cohort_filter(spark, sf_dir):
     rows = lab.text_lab(spark, sf_dir).select("uid", "id", "itemcode", "itemresult")
-    return cohorts.keep_cohort(rows, distinct_keys(lab.cohort(spark, sf_dir)))
+    return cohorts.keep_cohort(rows, lab.cohort(spark, sf_dir))
 
 
 def cohort_missing(spark, sf_dir):
     quantity = lab.text_lab(spark, sf_dir)
-    return cohorts.missing_from(distinct_keys(lab.cohort(spark, sf_dir)), quantity)
+    return cohorts.missing_from(lab.cohort(spark, sf_dir), quantity)
 
 
 def coverage_counts(spark, sf_dir):
@@ -146,8 +145,7 @@ def file_summary(spark, sf_dir):
         "concat('part-', l_suppkey % 10, '.parquet') as file",
     )
     files = spark.range(12).selectExpr("concat('part-', id, '.parquet') as filename")
-    keys = distinct_keys(lab.cohort(spark, sf_dir))
-    return cohorts.file_summary(rows, keys, files, "file")
+    return cohorts.file_summary(rows, lab.cohort(spark, sf_dir), files, "file")
 
 
 def run_cohort_export(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:

@@ -12,17 +12,17 @@ from assaykit.sizing import hint_broadcast, text_bytes
 from assaykit.sources.cohort import distinct_keys, key_columns, key_rows
 
 
-def own_shuffle(keys: DataFrame) -> DataFrame:
-    """The distinct pairs, grouped as one struct so that a join shuffles them itself.
+def distinct_pairs(cohort: DataFrame) -> DataFrame:
+    """The cohort's distinct keys, grouped as one struct so that a join shuffles them itself.
 
     AQE cuts a hot pair of the other side only where both sides of the join come
     straight from a shuffle, not where one side reuses an aggregation's.
     """
-    pairs = keys.select(F.struct(*KEYS).alias("pair")).distinct()
+    pairs = key_rows(cohort).dropna().select(F.struct(*KEYS).alias("pair")).distinct()
     return pairs.select(*[F.col(f"pair.{name}").alias(name) for name in KEYS])
 
 
-def keep_cohort(df: DataFrame, keys: DataFrame, broadcast_keys: bool = False) -> DataFrame:
+def keep_cohort(df: DataFrame, cohort: DataFrame, broadcast_keys: bool = False) -> DataFrame:
     """Rows whose whole (uid, id) pair is a cohort key; columns and bytes untouched.
 
     ``broadcast_keys`` is for a key set whose size was measured. Without it Spark
@@ -30,18 +30,18 @@ def keep_cohort(df: DataFrame, keys: DataFrame, broadcast_keys: bool = False) ->
     """
     temporary = [f"__key_{name}" for name in KEYS]
     keyed = df.withColumns(dict(zip(temporary, key_columns(df))))
-    apart = own_shuffle(keys)
-    wanted = apart.select(*[F.col(name).alias(t) for name, t in zip(KEYS, temporary)])
+    keys = distinct_pairs(cohort)
+    wanted = keys.select(*[F.col(name).alias(t) for name, t in zip(KEYS, temporary)])
     kept = keyed.join(hint_broadcast(wanted, broadcast_keys), temporary, "left_semi")
     return kept.select(*df.columns)
 
 
-def missing_from(keys: DataFrame, item: DataFrame) -> DataFrame:
+def missing_from(cohort: DataFrame, item: DataFrame) -> DataFrame:
     """Cohort keys for which the item table has no row.
 
     Repeats are dropped before the shuffle: an anti join cannot split them.
     """
-    return keys.join(distinct_keys(item), KEYS, "left_anti")
+    return distinct_keys(cohort).join(distinct_keys(item), KEYS, "left_anti")
 
 
 def tag_tables(tables: Sequence[tuple[str, DataFrame]]) -> DataFrame:
@@ -86,7 +86,7 @@ def key_stats(cohort: DataFrame) -> DataFrame:
     ).select("rows", "keys", (F.col("rows") - F.col("keys")).alias("unusable"), "key_bytes")
 
 
-def file_summary(df: DataFrame, keys: DataFrame, files: DataFrame, name: str) -> DataFrame:
+def file_summary(df: DataFrame, cohort: DataFrame, files: DataFrame, name: str) -> DataFrame:
     """Source and retained rows per file, best first, including files with none.
 
     ``df`` carries the file in column ``name``; ``files`` lists every file, so
@@ -94,7 +94,7 @@ def file_summary(df: DataFrame, keys: DataFrame, files: DataFrame, name: str) ->
     """
     pairs = key_columns(df)
     probe = df.select(F.col(name).alias("filename"), *[c.alias(k) for k, c in zip(KEYS, pairs)])
-    marked = probe.join(own_shuffle(keys).withColumn("hit", F.lit(1)), KEYS, "left")
+    marked = probe.join(distinct_pairs(cohort).withColumn("hit", F.lit(1)), KEYS, "left")
     counts = marked.groupBy("filename").agg(
         F.count("*").alias("source_rows"), F.count("hit").alias("retained_rows")
     )

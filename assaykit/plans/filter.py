@@ -18,7 +18,7 @@ from assaykit.sinks.publish import (
     write_csv,
 )
 from assaykit.sizing import BROADCAST_LIMIT, fits_broadcast
-from assaykit.sources.cohort import distinct_keys, key_columns, read_cohort
+from assaykit.sources.cohort import key_columns, read_cohort
 from assaykit.sources.directory import (
     SOURCE,
     Origin,
@@ -78,12 +78,9 @@ def filter_by_cohort(
             rows = scan(spark, group)
             key_columns(rows, source_dir)
             origin = Origin.of(group, directory)
-            kept = keep_cohort(origin.add(rows), distinct_keys(cohort), broadcast_keys=small)
-            if not small:
-                kept = kept.repartitionByRange(*origin.order())
             data = f"{stage}/data-{number}"
-            ordered = kept.sortWithinPartitions(*origin.order()).drop(*origin.columns[1:])
-            parquet_writer(ordered, compression).partitionBy(SOURCE).save(data)
+            kept = retained_rows(rows, cohort, origin, small)
+            parquet_writer(kept, compression).partitionBy(SOURCE).save(data)
             found = {
                 origin.name_of(child.name.split("=", 1)[1]): child.path
                 for child in storage.children(data, f"{SOURCE}=*")
@@ -108,6 +105,16 @@ def filter_by_cohort(
     return read_filter_summary(spark, summary_target)
 
 
+def retained_rows(
+    rows: DataFrame, cohort: DataFrame, origin: Origin, small: bool
+) -> DataFrame:
+    """Cohort rows in input order, with their source."""
+    kept = keep_cohort(origin.add(rows), cohort, broadcast_keys=small)
+    if not small:
+        kept = kept.repartitionByRange(*origin.order())
+    return kept.sortWithinPartitions(*origin.order()).drop(*origin.columns[1:])
+
+
 def read_filter_summary(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=SUMMARY_SCHEMA, escape='"').orderBy(
         F.desc("retained_rows"), "filename"

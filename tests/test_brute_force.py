@@ -9,7 +9,6 @@ from assaykit.operators.convert import duplicate_keys
 from assaykit.operators.items import item_counts
 from assaykit.operators.profile import invalid_normal_values, profile_normals, profile_result
 from assaykit.operators.wide import label_wide
-from assaykit.sources.cohort import distinct_keys
 from conftest import rows
 
 few = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -32,9 +31,9 @@ def test_cohort(spark, data, cohort):
     df, keys = spark.createDataFrame(data, KEY), spark.createDataFrame(cohort, KEY)
     wanted = complete(cohort)
     for small in (False, True):
-        kept = keep_cohort(df, distinct_keys(keys), broadcast_keys=small)
+        kept = keep_cohort(df, keys, broadcast_keys=small)
         assert by_repr(rows(kept)) == by_repr(p for p in data if p in wanted)
-    assert set(rows(missing_from(distinct_keys(keys), df))) == wanted - complete(data)
+    assert set(rows(missing_from(keys, df))) == wanted - complete(data)
     stats = key_stats(keys).first()
     assert (stats["rows"], stats["keys"]) == (len(cohort), len(wanted))
     assert stats["unusable"] == len(cohort) - len(wanted)
@@ -56,7 +55,7 @@ def test_per_file_and_per_table(spark, data, cohort):
     expected = {n: len(set(inside(n)) & wanted) for n in ("f", "g", "none")}
     assert dict(rows(coverage(keys, df, names))) == expected
     summary = file_summary(
-        df, distinct_keys(keys), names.withColumnRenamed("table", "filename"), "table"
+        df, keys, names.withColumnRenamed("table", "filename"), "table"
     )
     counted = [(n, len(inside(n)), sum(p in wanted for p in inside(n))) for n in expected]
     assert rows(summary) == sorted(counted, key=lambda r: (-r[2], r[0]))

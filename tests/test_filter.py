@@ -11,7 +11,10 @@ from assaykit.operators.cohort import (
     missing_from,
     tag_tables,
 )
-from assaykit.sources.cohort import distinct_keys
+from assaykit.plans.filter import retained_rows
+from assaykit.sources.cohort import read_cohort
+from assaykit.sources.directory import Origin, list_sources, scan
+from assaykit.storage import Storage
 from conftest import rows
 from lab_files import two_raw_files, write_items, write_table
 
@@ -146,7 +149,7 @@ def frame(spark, data, names="uid string, id string"):
 def test_null_keys_never_match_but_empty_text_does(spark):
     data = frame(spark, [(None, "a"), ("a", None), ("", ""), ("a", "a"), ("a", "b")])
     cohort = frame(spark, [(None, "a"), ("a", None), ("", ""), ("a", "a"), ("b", "b"), ("a", "a")])
-    kept = keep_cohort(data, distinct_keys(cohort))
+    kept = keep_cohort(data, cohort)
     assert sorted(rows(kept)) == [("", ""), ("a", "a")]
     stats = key_stats(cohort).first()
     assert (stats["rows"], stats["keys"], stats["unusable"]) == (6, 3, 3)
@@ -157,7 +160,7 @@ def test_missing_and_coverage(spark):
     cohort = frame(spark, [("a", "1"), ("b", "2"), ("c", "3"), ("c", "3")])
     one = frame(spark, [("a", "1"), ("a", "1"), ("b", "9"), ("c", "3")])
     none = frame(spark, [("x", "1")])
-    assert rows(missing_from(distinct_keys(cohort), one)) == [("b", "2")]
+    assert rows(missing_from(cohort, one)) == [("b", "2")]
     tables = [("one", one), ("none", none), ("all", cohort)]
     listed = frame(spark, [(name,) for name, _ in tables], "table string")
     assert rows(coverage(cohort, tag_tables(tables), listed)) == [
@@ -171,10 +174,22 @@ def test_file_summary_lists_every_file(spark):
     data = frame(spark, [("a", "1", "f1"), ("a", None, "f1"), ("b", "2", "f2"), ("a", "1", "f3"),
                          ("c", "3", "f3"), ("a", "1", "f1")], "uid string, id string, f string")
     files = frame(spark, [("f1",), ("f2",), ("f3",), ("f4",)], "filename string")
-    keys = distinct_keys(frame(spark, [("a", "1"), ("c", "3")]))
+    keys = frame(spark, [("a", "1"), ("c", "3")])
     assert rows(file_summary(data, keys, files, "f")) == [
         ("f1", 3, 2),
         ("f3", 2, 2),
         ("f2", 1, 0),
         ("f4", 0, 0),
     ]
+
+
+def test_small_cohort_needs_no_shuffle_of_the_data(spark, folders):
+    source, cohort_path, _ = folders
+    found = list_sources(spark, source, "*.parquet")
+    origin = Origin.of(found, Storage(spark).qualify(source))
+    rows, cohort = scan(spark, found), read_cohort(spark, cohort_path)
+    plan = retained_rows(rows, cohort, origin, small=True)._jdf.queryExecution().executedPlan()
+    assert plan.toString().count("Exchange hashpartitioning") == 1
+    assert "hashpartitioning(pair" in plan.toString()
+    assert "rangepartitioning" not in plan.toString()
+    assert "LeftSemi, BuildRight" in plan.toString()

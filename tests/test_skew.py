@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from assaykit.operators.cohort import file_summary, keep_cohort
 from assaykit.operators.wide import label_wide
 from assaykit.plans import split_by_item
-from assaykit.sources.cohort import distinct_keys
 
 SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -44,14 +43,14 @@ def final_plan(df):
 
 def test_semi_join_is_split(spark, hot):
     wanted = hot.where("uid = 'hot' or file = 'f1'")
-    kept = keep_cohort(hot, distinct_keys(wanted))
+    kept = keep_cohort(hot, wanted)
     assert len(kept.collect()) == wanted.count()
     assert re.search(r"SortMergeJoin\(skew=true\).*LeftSemi", final_plan(kept))
 
 
 def test_left_join_is_split(spark, hot):
     files = spark.range(5).selectExpr("concat('f', id) as filename")
-    summary = file_summary(hot, distinct_keys(hot.where("uid = 'hot'")), files, "file")
+    summary = file_summary(hot, hot.where("uid = 'hot'"), files, "file")
     rows = {row.filename: (row.source_rows, row.retained_rows) for row in summary.collect()}
     assert rows["f4"] == (0, 0) and rows["f0"] == (N // 4, N // 12)
     assert re.search(r"SortMergeJoin\(skew=true\).*LeftOuter", final_plan(summary))
