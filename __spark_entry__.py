@@ -31,6 +31,7 @@ from assaykit.plans import (  # noqa: E402
     split_by_item,
 )
 from assaykit.schema import ITEM_TABLE  # noqa: E402
+from assaykit.sinks.publish import fill_empty  # noqa: E402
 from assaykit.sinks.tables import load_table  # noqa: E402
 from assaykit.sources.dictionary import item_problems  # noqa: E402
 from assaykit.sources.directory import (  # noqa: E402
@@ -149,11 +150,16 @@ def file_summary(spark, sf_dir):
 
 
 def run_cohort_export(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
-    folder = scratch(spark)
+    """Two item datasets and one without rows, filtered by a cohort file."""
+    folder, storage = scratch(spark), Storage(spark)
     rows = lab.raw_lab(spark, sf_dir).select("uid", "id", "itemcode", "itemresult", "usex")
-    for name, code in [("MAN", "男"), ("WOMAN", " 女 "), ("unused", "none")]:
-        part = rows.where(F.col("usex") == F.lit(code).cast("binary"))
-        part.write.parquet(f"{folder}/items/{name}.parquet")
+    sex = sex_code(F.col("usex").cast("string")).alias("sex")
+    known = rows.select("*", sex).where("sex <> 'UNK'")
+    known.write.partitionBy("sex").parquet(f"{folder}/by_sex")
+    storage.make_dirs(f"{folder}/items")
+    for name in ("MAN", "WOMAN"):
+        storage.rename(f"{folder}/by_sex/sex={name}", f"{folder}/items/{name}.parquet")
+    fill_empty(spark, rows, [f"{folder}/items/unused.parquet"], "zstd")
     lab.cohort(spark, sf_dir).write.parquet(f"{folder}/cohort.parquet")
     summary = filter_by_cohort(
         spark, f"{folder}/items", f"{folder}/cohort.parquet", f"{folder}/kept"
@@ -321,7 +327,8 @@ def table_convert(spark, sf_dir):
     """A text item table loaded, converted behind its gates and swapped in."""
     target = f"{new_database(spark)}.items"
     load_table(lab.text_item_table(spark, sf_dir), target)
-    convert_item_table(spark, target, buckets=8)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    convert_item_table(spark, target, buckets=buckets)
     return spark.table(target)
 
 

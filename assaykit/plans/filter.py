@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from assaykit.functions.text import decode_path
 from assaykit.operators.cohort import keep_cohort, key_stats
 from assaykit.sinks.publish import (
     fill_empty,
@@ -43,12 +44,17 @@ def filter_by_cohort(
     compression: str = "zstd",
     overwrite: bool = False,
     broadcast_limit: int = BROADCAST_LIMIT,
+    check_schemas: bool = True,
 ) -> DataFrame:
     """Write each source's cohort rows under its own name and the summary; return the summary.
 
     A key set measured to fit is broadcast and rows are written straight from
     the scan, without a shuffle and in input order. A larger one is joined by
     shuffle, and its rows are ranged back into input order.
+
+    Sources may differ in schema and each keeps its own. ``check_schemas=False``
+    takes the first one's for all and lets Spark count the source rows, for
+    storage that the footer check cannot open.
     """
     require_codec(compression)
     storage = Storage(spark)
@@ -71,8 +77,16 @@ def filter_by_cohort(
 
     directory = storage.qualify(source_dir)
     footers = read_footers(spark, sources)
+    groups = _schema_groups(footers, sources, directory) if check_schemas else [sources]
+    if check_schemas:
+        counts = footers.select(source_name(directory, F.col("path")).alias("filename"), "rows")
+    else:
+        path = F.col("_metadata.file_path").alias("path")
+        counts = scan(spark, sources).groupBy(path).agg(F.count("*").alias("rows"))
+        counts = counts.select(
+            decode_path(source_name(directory, F.col("path"))).alias("filename"), "rows"
+        )
     with staging(spark, target_dir) as stage:
-        groups = _schema_groups(footers, sources, directory)
         staged, stored = {}, []
         for number, group in enumerate(groups):
             rows = scan(spark, group)
@@ -98,7 +112,7 @@ def filter_by_cohort(
                 written = spark.read.schema(f"{SOURCE} {kind}").parquet(data)
                 stored.append(origin.with_names(written.groupBy(SOURCE).count()))
 
-        summary = _summary(spark, footers, stored, directory)
+        summary = _summary(spark, list(targets), counts, stored)
         write_csv(summary, f"{stage}/summary")
         moves = [(staged[name], target) for name, target in targets.items()]
         publish(spark, stage, [*moves, (f"{stage}/summary", summary_target)])
@@ -140,18 +154,19 @@ def _schema_groups(footers: DataFrame, sources: list[Entry], directory: str) ->
 
 
 def _summary(
-    spark: SparkSession, footers: DataFrame, stored: list[DataFrame], directory: str
+    spark: SparkSession, names: list[str], counts: DataFrame, stored: list[DataFrame]
 ) -> DataFrame:
-    """Source rows from the footers, retained rows from what was written, best first."""
-    name = source_name(directory, F.col("path"))
-    listed = footers.groupBy(name.alias("filename")).agg(F.sum("rows").alias("source_rows"))
+    """Source rows and rows written of every listed source, best first."""
+    listed = local_frame(spark, {"filename": names}, "filename string")
+    source = counts.groupBy("filename").agg(F.sum("rows").alias("rows"))
     none = local_frame(spark, {"filename": [], "count": []}, "filename string, count bigint")
     retained = reduce(DataFrame.unionByName, stored, none)
     return (
-        listed.join(retained, "filename", "left")
+        listed.join(source, "filename", "left")
+        .join(retained, "filename", "left")
         .select(
             "filename",
-            "source_rows",
+            F.coalesce("rows", F.lit(0)).cast("bigint").alias("source_rows"),
             F.coalesce("count", F.lit(0)).cast("bigint").alias("retained_rows"),
         )
         .orderBy(F.desc("retained_rows"), "filename")

@@ -41,10 +41,12 @@ def folders(tmp_path):
     return str(source), str(tmp_path / "cohort.parquet"), str(tmp_path / "out")
 
 
-@pytest.mark.parametrize("limit", [0, 10**8])
-def test_exact_pairs_per_file(spark, folders, limit):
+@pytest.mark.parametrize("limit, check", [(0, True), (10**8, True), (10**8, False)])
+def test_exact_pairs_per_file(spark, folders, limit, check):
     source, cohort, out = folders
-    summary = filter_by_cohort(spark, source, cohort, out, broadcast_limit=limit)
+    summary = filter_by_cohort(
+        spark, source, cohort, out, broadcast_limit=limit, check_schemas=check
+    )
     assert rows(summary) == [("a.parquet", 3, 2), ("b.parquet", 1, 0)]
     kept = spark.read.parquet(f"{out}/a.parquet")
     assert [r.value for r in kept.collect()] == ["keep-1", "keep-2"]
