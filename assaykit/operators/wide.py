@@ -8,7 +8,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from assaykit.functions.labels import range_label
+from assaykit.operators.cohort import key_stats
 from assaykit.schema import BASE_COLUMNS, KEYS, SPLIT_COLUMN, require_columns, require_double
+from assaykit.sizing import BROADCAST_LIMIT, fits_broadcast
 from assaykit.sources.cohort import distinct_keys
 
 RANGE_COLUMNS = ["itemresult", "normallowvalue", "normalhighvalue"]
@@ -69,6 +71,21 @@ def label_wide(
     return joined.select(*typed, *names, F.col(SPLIT_COLUMN).cast("string")).orderBy(*KEYS)
 
 
+def sized_label_wide(
+    base: DataFrame,
+    items: Sequence[tuple[DataFrame, str]],
+    broadcast_limit: int = BROADCAST_LIMIT,
+) -> DataFrame:
+    """``label_wide`` with its two choices made from the base's measured keys."""
+    stats = key_stats(base).first()
+    return label_wide(
+        base,
+        items,
+        broadcast_base=fits_broadcast(stats["key_bytes"], broadcast_limit),
+        repeated_keys=stats["rows"] > stats["keys"],
+    )
+
+
 def _on_keys(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.join(right, KEYS, "inner")
 

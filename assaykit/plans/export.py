@@ -7,10 +7,9 @@ from posixpath import basename, dirname
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 
-from assaykit.operators.cohort import key_stats
-from assaykit.operators.wide import label_wide
+from assaykit.operators.wide import sized_label_wide
 from assaykit.sinks.publish import parquet_writer, publish, refuse_existing, staging
-from assaykit.sizing import BROADCAST_LIMIT, fits_broadcast
+from assaykit.sizing import BROADCAST_LIMIT
 from assaykit.storage import Storage, literal_path
 
 # The dictionary-encoded columns.
@@ -37,11 +36,8 @@ def export_labels(
     storage = Storage(spark)
     target = storage.qualify(output)
     refuse_existing(spark, dirname(target), [basename(target)], overwrite)
-    stats = key_stats(base).first()
-    small = fits_broadcast(stats["key_bytes"], broadcast_limit)
-    repeated = stats["rows"] > stats["keys"]
     counter = Observation()
-    wide = label_wide(base, items, broadcast_base=small, repeated_keys=repeated)
+    wide = sized_label_wide(base, items, broadcast_limit)
     counted = wide.observe(counter, F.count("*").alias("rows"))
     with staging(spark, dirname(target)) as stage:
         data = f"{stage}/data"
