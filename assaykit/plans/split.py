@@ -61,6 +61,9 @@ def split_by_item(
 
     # The dictionary is job configuration: its rows become the output names.
     counted = item_counts(raw, items).collect()
+    colons = [row.filename for row in counted if ":" in row.filename]
+    if colons:
+        raise ValueError(f"Hadoop file names cannot hold a colon: {colons[:10]}")
     target_dir = storage.qualify(output_dir)
     targets = [f"{target_dir}/{row.filename}" for row in counted]
     summary_target = f"{target_dir}/{SUMMARY}"

@@ -22,13 +22,20 @@ NUMBER = "__number"
 
 
 def list_sources(spark: SparkSession, directory: str, pattern: str) -> list[Entry]:
-    """Files (or dataset directories) directly under a directory, by name; never none."""
+    """Files (or dataset directories) directly under a directory, by name; never none.
+
+    Spark leaves out files whose names start with ``_`` or ``.``, so a match among
+    those is an error here and not a gap in the result.
+    """
     storage = Storage(spark)
     if not storage.is_dir(directory):
         raise NotADirectoryError(f"no such input directory: {directory}")
     entries = storage.children(directory, pattern)
     if not entries:
         raise FileNotFoundError(f"nothing in {directory} matches {pattern!r}")
+    hidden = [e.name for e in entries if not e.is_dir and e.name.startswith(("_", "."))]
+    if hidden:
+        raise ValueError(f"Spark does not read hidden files: {hidden[:10]}")
     return entries
 
 

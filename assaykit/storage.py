@@ -20,11 +20,6 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
-def hidden(name: str) -> bool:
-    """Spark's rule for names that are not data; ``_key=value`` directories are."""
-    return name.startswith(".") or (name.startswith("_") and "=" not in name)
-
-
 class Storage:
     """The few Hadoop ``FileSystem`` calls that publishing a dataset needs."""
 
@@ -53,7 +48,7 @@ class Storage:
         return fs.exists(target) and not fs.getFileStatus(target).isDirectory()
 
     def children(self, directory: str, pattern: str = "*") -> list[Entry]:
-        """Direct children matching a glob, by name; hidden names are not data."""
+        """Direct children matching a glob, by name."""
         if "/" in pattern:
             raise ValueError(f"pattern {pattern!r} must not reach into subdirectories")
         fs, target = self._open(f"{literal_path(self.qualify(directory))}/{pattern}")
@@ -61,7 +56,7 @@ class Storage:
         entries = [
             Entry(s.getPath().getName(), s.getPath().toString(), s.isDirectory()) for s in found
         ]
-        return sorted((e for e in entries if not hidden(e.name)), key=lambda e: e.name)
+        return sorted(entries, key=lambda e: e.name)
 
     def make_dirs(self, path: str) -> None:
         fs, target = self._open(path)
