@@ -75,23 +75,30 @@ def staging(spark: SparkSession, directory: str) -> Iterator[str]:
 
 
 def publish(spark: SparkSession, stage: str, moves: Sequence[tuple[str, str]]) -> None:
-    """Move each (staged, target) pair into place, or put everything back."""
+    """Move each (staged, target) pair into place, or put everything back.
+
+    Replaced results wait beside the staging directory and are dropped only once
+    all moves succeeded; should putting them back fail too, they stay there.
+    """
     storage = Storage(spark)
+    aside = f"{stage}-replaced"
     replaced, placed = [], []
     try:
         for index, (source, target) in enumerate(moves):
             if storage.exists(target):
-                aside = f"{stage}/replaced-{index}"
-                storage.rename(target, aside)
-                replaced.append((aside, target))
+                storage.make_dirs(aside)
+                storage.rename(target, f"{aside}/{index}")
+                replaced.append((f"{aside}/{index}", target))
             storage.rename(source, target)
             placed.append(target)
     except Exception:
         for target in placed:
             storage.delete(target)
-        for aside, target in replaced:
-            storage.rename(aside, target)
+        for old, target in replaced:
+            storage.rename(old, target)
+        storage.delete(aside)
         raise
+    storage.delete(aside)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
