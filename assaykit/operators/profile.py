@@ -32,8 +32,9 @@ def _count_where(condition: Column) -> Column:
 def profile_columns(df: DataFrame, columns: dict[str, bool]) -> DataFrame:
     """``column_name, total_rows, null_rows, blank_rows, numeric_rows, non_convertible_rows``.
 
-    ``columns`` says of each column whether its target takes NULL. One pass for all columns, one pattern match per value: the non-convertible
-    rows are what the other counts leave over.
+    ``columns`` says of each column whether its target takes NULL. One pass for all
+    columns, one pattern match per value: the non-convertible rows are what the
+    other counts leave over.
     """
     counts = [F.count("*").alias("total_rows")]
     for name in columns:

@@ -50,26 +50,27 @@ def split_by_item(
     Spark samples the ranges from.
     """
     require_codec(compression)
+    storage = Storage(spark)
     items = read_items(spark, items_csv)
     sources = list_sources(spark, input_dir, pattern)
-    if check_schemas:
-        require_same_schema(spark, sources)
-    storage = Storage(spark)
     raw = scan(spark, sources)
     require_columns(raw.columns, RAW_REQUIRED, input_dir)
-    origin = Origin.of(sources, storage.qualify(input_dir))
 
     # The dictionary is job configuration: its rows become the output names.
-    counted = item_counts(raw, items).collect()
-    colons = [row.filename for row in counted if ":" in row.filename]
+    filenames = [row.filename for row in items.orderBy("line").collect()]
+    colons = [name for name in filenames if ":" in name]
     if colons:
         raise ValueError(f"Hadoop file names cannot hold a colon: {colons[:10]}")
     target_dir = storage.qualify(output_dir)
-    targets = [f"{target_dir}/{row.filename}" for row in counted]
+    targets = [f"{target_dir}/{name}" for name in filenames]
     summary_target = f"{target_dir}/{SUMMARY}"
     refuse_overlap([*targets, summary_target], [entry.path for entry in sources])
-    refuse_existing(spark, target_dir, [*[r.filename for r in counted], SUMMARY], overwrite)
+    refuse_existing(spark, target_dir, [*filenames, SUMMARY], overwrite)
 
+    if check_schemas:
+        require_same_schema(spark, sources)
+    origin = Origin.of(sources, storage.qualify(input_dir))
+    counted = item_counts(raw, items).collect()
     with staging(spark, target_dir) as stage:
         found = [row for row in counted if row.rows]
         data = f"{stage}/data"

@@ -18,11 +18,6 @@ def text_bytes(*columns: str):
     return total
 
 
-def measured_bytes(df: DataFrame, *columns: str) -> int:
-    """Exact text size of a narrow frame, computed where the data is."""
-    return df.agg(F.sum(text_bytes(*columns))).first()[0] or 0
-
-
 def fits_broadcast(size: int, limit: int = BROADCAST_LIMIT) -> bool:
     return size <= limit
 

@@ -8,7 +8,7 @@ from assaykit.sources.dictionary import read_items
 from assaykit.sources.directory import Origin, list_sources, read_footers, scan
 from assaykit.storage import Storage
 from conftest import rows
-from lab_files import two_raw_files, write_items, write_table
+from lab_files import two_raw_files, write_table
 
 
 def items_of(spark, tmp_path, content):

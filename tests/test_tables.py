@@ -3,7 +3,6 @@ import uuid
 import pytest
 from pyspark.errors import PySparkException
 
-from assaykit.operators.convert import to_item_table
 from assaykit.operators.wide import label_wide
 from assaykit.plans import (
     convert_item_keys,
