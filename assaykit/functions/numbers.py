@@ -22,7 +22,8 @@ def not_convertible(col: Column, nullable: bool) -> Column:
 
 
 def is_finite(col: Column) -> Column:
-    return ~F.isnan(col) & (F.abs(col) < F.lit(INFINITY))
+    """Spark orders NaN above infinity, so one comparison refuses both."""
+    return F.abs(col) < F.lit(INFINITY)
 
 
 def finite_or_null(col: Column) -> Column:
@@ -40,7 +41,7 @@ def to_double(col: Column, data_type: T.DataType, name: str, nullable: bool) ->
         accepted = is_finite(good)
     else:
         number = col.try_cast("double")
-        accepted = is_numeric_text(col) & number.isNotNull() & is_finite(number)
+        accepted = is_numeric_text(col) & is_finite(number)
     complaint = F.raise_error(
         F.concat(F.lit(f"{name} cannot become a finite double: "), col.cast("string"))
     )

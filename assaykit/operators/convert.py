@@ -32,8 +32,12 @@ def non_finite_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns({name: finite_or_null(F.col(name)) for name in floating})
 
 
-def _fail(message: str, value: Column, result: str) -> Column:
-    return F.raise_error(F.concat(F.lit(f"{message}: "), value.cast("string"))).cast(result)
+def _converted(text: Column, kind: str, name: str, shape: str | None = None) -> Column:
+    """Text to another type, or an error; the same whether or not the session is ANSI."""
+    value = text.try_cast(kind)
+    good = value.isNotNull() if shape is None else value.isNotNull() & text.rlike(shape)
+    complaint = F.raise_error(F.concat(F.lit(f"{name} is no {kind}: "), text)).cast(kind)
+    return F.when(text.isNull() | good, value).otherwise(complaint)
 
 
 def _key(name: str, length: int) -> Column:
@@ -48,12 +52,7 @@ def _key(name: str, length: int) -> Column:
 def _date(name: str, data_type: T.DataType) -> Column:
     if isinstance(data_type, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return F.col(name).cast("date")
-    text = blank_to_null(F.col(name))
-    return (
-        F.when(text.isNull(), F.lit(None).cast("date"))
-        .when(text.rlike(DATE_TEXT), text.cast("date"))
-        .otherwise(_fail(f"{name} is no date", text, "date"))
-    )
+    return _converted(blank_to_null(F.col(name)), "date", name, DATE_TEXT)
 
 
 def _texts(names: list[str]) -> dict[str, Column]:
@@ -78,7 +77,7 @@ def convert_keys(df: DataFrame) -> DataFrame:
     converted = {
         "uid": _key("uid", UID_LENGTH),
         "id": _key("id", ID_LENGTH),
-        "hospid": blank_to_null(F.col("hospid")).cast("bigint"),
+        "hospid": _converted(blank_to_null(F.col("hospid")), "bigint", "hospid"),
         "regdate": _date("regdate", df.schema["regdate"].dataType),
         "examage": F.coalesce(age, F.lit(0.0)),
         "usex": sex_code(F.col("usex")),

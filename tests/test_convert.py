@@ -72,9 +72,14 @@ def test_blanks_and_defaults(spark):
         dict(dept="中" * 21_846),
     ],
 )
-def test_bad_values_abort(spark, change):
-    with pytest.raises(PySparkException):
-        to_item_table(lab(spark, change)).collect()
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_bad_values_abort(spark, change, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(PySparkException):
+            to_item_table(lab(spark, change)).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
 
 
 def test_limits_are_inclusive(spark):
