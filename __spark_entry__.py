@@ -42,6 +42,12 @@ from assaykit.sources.directory import (  # noqa: E402
 )
 from assaykit.storage import Storage  # noqa: E402
 
+try:  # these parts can be left out
+    import corpus_pipeline
+    from assaykit.llm import queries as llm
+except ModuleNotFoundError:
+    llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -333,6 +339,19 @@ def table_convert(spark, sf_dir):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    if llm is None:
+        return lab_queries()
+    return lab_queries() | llm.queries() | {"pipeline": corpus_pipeline.run}
+
+
+def oracle_sql() -> dict[str, str]:
+    if llm is None:
+        return lab_oracles()
+    whole = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return lab_oracles() | llm.oracle_sql() | whole
+
+
+def lab_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = [
         label_export,
         label_dataset,
@@ -460,7 +479,7 @@ def normals_sql(keys: str = "") -> str:
     )
 
 
-def oracle_sql() -> dict[str, str]:
+def lab_oracles() -> dict[str, str]:
     numeric = NUMERIC.format("itemresult")
     return {
         "label_export": WIDE,

@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SMALL
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = entry.lab_queries(), entry.lab_oracles()
 # Spark type -> type DuckDB must report.
 TYPES = {
     "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "tinyint": "TINYINT",
