@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .fm_index import contamination_digest, find_contamination
+from .packing import pack_documents
 from .tables import table
 from .token_counts import count_tokens
 
@@ -16,9 +18,21 @@ def op4_token_counts(spark, sf_dir):
     return count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op2_packing(spark, sf_dir):
+    docs, path = table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json")
+    return pack_documents(docs, path, with_ids=False).drop("ids")
+
+
+def op6_decontamination(spark, sf_dir):
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return contamination_digest(find_contamination(docs, items))
+
+
 def queries() -> dict:
     return {
+        "op2_packing": op2_packing,
         "op4_token_counts": op4_token_counts,
+        "op6_decontamination": op6_decontamination,
     }
 
 
