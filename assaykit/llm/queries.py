@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .fm_index import contamination_digest, find_contamination
+from .near_duplicates import near_duplicates
 from .packing import pack_documents
 from .tables import table
 from .token_counts import count_tokens
@@ -28,11 +29,16 @@ def op6_decontamination(spark, sf_dir):
     return contamination_digest(find_contamination(docs, items))
 
 
+def op10_near_duplicates(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {
         "op2_packing": op2_packing,
         "op4_token_counts": op4_token_counts,
         "op6_decontamination": op6_decontamination,
+        "op10_near_duplicates": op10_near_duplicates,
     }
 
 
