@@ -5,6 +5,7 @@ from __future__ import annotations
 from .fm_index import contamination_digest, find_contamination
 from .near_duplicates import near_duplicates
 from .packing import pack_documents
+from .repeats import remove_repeats, repeats_digest
 from .tables import table
 from .token_counts import count_tokens
 
@@ -29,6 +30,10 @@ def op6_decontamination(spark, sf_dir):
     return contamination_digest(find_contamination(docs, items))
 
 
+def op8_repeats(spark, sf_dir):
+    return repeats_digest(remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op10_near_duplicates(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -38,6 +43,7 @@ def queries() -> dict:
         "op2_packing": op2_packing,
         "op4_token_counts": op4_token_counts,
         "op6_decontamination": op6_decontamination,
+        "op8_repeats": op8_repeats,
         "op10_near_duplicates": op10_near_duplicates,
     }
 
