@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from .fm_index import contamination_digest, find_contamination
+from .interpolation import score_texts
 from .near_duplicates import near_duplicates
 from .packing import pack_documents
 from .repeats import remove_repeats, repeats_digest
-from .tables import table
+from .tables import crc_fold, table
 from .token_counts import count_tokens
 
 
@@ -30,6 +31,10 @@ def op6_decontamination(spark, sf_dir):
     return contamination_digest(find_contamination(docs, items))
 
 
+def op7_interpolation(spark, sf_dir):
+    return score_texts(table(spark, sf_dir, "documents"), crc_fold("doc_id", 7) != 2)
+
+
 def op8_repeats(spark, sf_dir):
     return repeats_digest(remove_repeats(table(spark, sf_dir, "documents")))
 
@@ -43,6 +48,7 @@ def queries() -> dict:
         "op2_packing": op2_packing,
         "op4_token_counts": op4_token_counts,
         "op6_decontamination": op6_decontamination,
+        "op7_interpolation": op7_interpolation,
         "op8_repeats": op8_repeats,
         "op10_near_duplicates": op10_near_duplicates,
     }
