@@ -8,6 +8,7 @@ from .near_duplicates import near_duplicates
 from .packing import pack_documents
 from .repeats import remove_repeats, repeats_digest
 from .tables import crc_fold, table
+from .site_style import main_text
 from .threshold_search import top_k
 from .token_counts import count_tokens
 
@@ -45,6 +46,10 @@ def op8_repeats(spark, sf_dir):
     return repeats_digest(remove_repeats(table(spark, sf_dir, "documents")))
 
 
+def op9_site_style(spark, sf_dir):
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op10_near_duplicates(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -57,6 +62,7 @@ def queries() -> dict:
         "op6_decontamination": op6_decontamination,
         "op7_interpolation": op7_interpolation,
         "op8_repeats": op8_repeats,
+        "op9_site_style": op9_site_style,
         "op10_near_duplicates": op10_near_duplicates,
     }
 
