@@ -8,6 +8,7 @@ from .near_duplicates import near_duplicates
 from .packing import pack_documents
 from .repeats import remove_repeats, repeats_digest
 from .tables import crc_fold, table
+from .rule_ensemble import score_quality
 from .site_style import main_text
 from .threshold_search import top_k
 from .token_counts import count_tokens
@@ -23,6 +24,10 @@ def op4_token_counts(spark, sf_dir):
     return count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op1_rule_ensemble(spark, sf_dir):
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_packing(spark, sf_dir):
     docs, path = table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json")
     return pack_documents(docs, path, with_ids=False).drop("ids")
@@ -56,6 +61,7 @@ def op10_near_duplicates(spark, sf_dir):
 
 def queries() -> dict:
     return {
+        "op1_rule_ensemble": op1_rule_ensemble,
         "op2_packing": op2_packing,
         "op4_token_counts": op4_token_counts,
         "op5_threshold_search": op5_threshold_search,
