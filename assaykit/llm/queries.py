@@ -12,6 +12,7 @@ from .rule_ensemble import score_quality
 from .site_style import main_text
 from .threshold_search import top_k
 from .token_counts import count_tokens
+from .toxicity import score_toxicity
 
 
 def vocabulary(name: str) -> str:
@@ -20,6 +21,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_toxicity(spark, sf_dir):
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_token_counts(spark, sf_dir):
     return count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -63,6 +68,7 @@ def queries() -> dict:
     return {
         "op1_rule_ensemble": op1_rule_ensemble,
         "op2_packing": op2_packing,
+        "op3_toxicity": op3_toxicity,
         "op4_token_counts": op4_token_counts,
         "op5_threshold_search": op5_threshold_search,
         "op6_decontamination": op6_decontamination,
