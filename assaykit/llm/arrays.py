@@ -58,6 +58,16 @@ def chunked(
         yield batch.slice(start)
 
 
+def with_fields(batches: Iterator[pa.RecordBatch], **names: str) -> Iterator[pa.RecordBatch]:
+    """Rows held in the struct of the first column, with some of its fields beside it under the
+    given names; other columns stay."""
+    for batch in batches:
+        row = batch.column(0)
+        fields = [row.field(name) for name in names.values()]
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, *fields], names=[*batch.schema.names, *names])
+
+
 def byte_table(pattern: str) -> np.ndarray:
     """Which of the 256 bytes belong to a word, from text like '\\x20\\x09-\\x0D' left out."""
     import re
@@ -131,7 +141,8 @@ def segment_hashes(raw: np.ndarray, at: np.ndarray, seed: int = 0) -> np.ndarray
     place = np.arange(len(raw), dtype=np.int64) - np.repeat(at[:-1], sizes)
     values = table[(place & (places - 1)) * 256 + raw]
     if len(sizes) and sizes.max() > places:
-        values *= mix((place >> 6).astype(np.uint64)) | np.uint64(1)
+        # 1 for the first places, so that short segments hash alike beside long ones.
+        values *= (mix((place >> 6).astype(np.uint64)) ^ mix(np.zeros(1, np.uint64))) | np.uint64(1)
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum(values, out=sums[1:])
     return mix((sums[at[1:]] - sums[at[:-1]]) ^ mix(sizes.astype(np.uint64)))

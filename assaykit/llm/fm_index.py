@@ -12,15 +12,17 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from .arrays import ALNUM, LOWER, chunked, distinct_spans, from_ragged, text_bytes, word_spans
+from .arrays import (
+    ALNUM, LOWER, chunked, distinct_spans, from_ragged, text_bytes, with_fields, word_spans,
+)
 from .token_counts import rows_batch
 
 BLOCK_BYTES = 8 << 20
 SAMPLE_RATE = 8
 
-_SPANS = "doc_id long, text string, n_words long, n_hit long, item_ids string, spans binary"
+_SPANS = "doc_id long, n_words long, n_hit long, item_ids string, spans binary"
 
 
 class WaveletTree:
@@ -157,13 +159,13 @@ def kept_runs(symbols: np.ndarray, shortest: int) -> tuple[np.ndarray, np.ndarra
     return text, place
 
 
-def search_blocks(batches, sets: dict, rate: int):
+def search_blocks(batches, sets: dict, rate: int, id_col: str, text_col: str):
     """Each document with its counts of words, hit words, items and the spans to remove."""
     vocabulary = pa.array(sets["vocabulary"], pa.large_binary())
     phrases, lengths = sets["phrases"], sets["lengths"]
     names = np.array(sets["names"], dtype=object)
-    for batch in chunked(batches, "text", BLOCK_BYTES):
-        raw, offsets = text_bytes(batch.column(1))
+    for batch in chunked(with_fields(batches, doc_id=id_col, text=text_col), "text", BLOCK_BYTES):
+        raw, offsets = text_bytes(batch.column(2))
         starts, ends, first = word_spans(LOWER[raw], offsets, ALNUM)
         n_docs, n_words = batch.num_rows, np.diff(first)
         hit = np.zeros(len(starts) + 1, np.int64)
@@ -195,7 +197,7 @@ def search_blocks(batches, sets: dict, rate: int):
         n_hit = np.diff(np.concatenate([[0], np.cumsum(covered)])[first])
         item_at = np.searchsorted(pairs, np.arange(n_docs + 1) * max(1, len(names)))
         rows = []
-        for i, doc in enumerate(batch.column(0).to_pylist()):
+        for i, doc in enumerate(batch.column(1).cast(pa.int64()).to_pylist()):
             spans, found = None, ""
             if n_hit[i]:
                 own = np.r_[False, covered[first[i] : first[i + 1]], False]
@@ -205,9 +207,10 @@ def search_blocks(batches, sets: dict, rate: int):
                 spans = np.stack([a, b], 1).astype("<i8").tobytes()
                 held = names[pairs[item_at[i] : item_at[i + 1]] % len(names)]
                 found = ",".join(sorted(set(held)))
-            rows.append((doc, None, int(n_words[i]), int(n_hit[i]), found, spans))
+            rows.append((doc, int(n_words[i]), int(n_hit[i]), found, spans))
         out = rows_batch(rows, _SPANS)
-        yield out.set_column(1, "text", batch.column(1).cast(pa.string()))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), *out.columns], names=["row", *out.schema.names])
 
 
 def find_contamination(
@@ -215,7 +218,7 @@ def find_contamination(
     text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
     most_item_bytes: int = 64 << 20, rate: int = SAMPLE_RATE,
 ) -> DataFrame:
-    """One row per input row: doc_id, text, n_words, n_hit, item_ids, spans, contaminated.
+    """One row per input row: row (all of it), doc_id, n_words, n_hit, item_ids, spans, contaminated.
 
     Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` after lower-casing A-Z. A phrase is a
     window of `size` consecutive words of an item, or all words of a shorter one. `item_ids` joins
@@ -236,9 +239,10 @@ def find_contamination(
         raise ValueError(f"{held} bytes of test items; search at most {most_item_bytes} at a time")
     parsed = [(r.id, words_of(r.text)) for r in listed.collect()]
     sets = spark.sparkContext.broadcast(phrase_set(parsed, size))
-    found = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
-    ).mapInArrow(lambda batches: search_blocks(batches, sets.value, rate), _SPANS)
+    chosen = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    schema = T.StructType([chosen.schema["row"], *T.DataType.fromDDL(_SPANS).fields])
+    found = chosen.mapInArrow(
+        lambda batches: search_blocks(batches, sets.value, rate, id_col, text_col), schema)
     hit = (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
     return found.withColumn("contaminated", hit)
 
@@ -250,3 +254,32 @@ def contamination_digest(found: DataFrame) -> DataFrame:
         "doc_id", "n_words", "n_hit", items.cast("long").alias("n_items"),
         F.sha2("item_ids", 256).alias("items_sha256"), "contaminated",
     )
+
+
+def cut_batches(batches):
+    """Texts without the spans of contaminated documents, and their new lengths."""
+    for batch in with_fields(batches, text="text"):
+        texts = []
+        for spans, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            if spans:
+                data, left, at = text.encode(), [], 0
+                for a, b in np.frombuffer(spans, "<i8").reshape(-1, 2).tolist():
+                    left.append(data[at:a])
+                    at = b
+                text = b"".join([*left, data[at:]]).decode("utf-8", "replace")
+            texts.append(text)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(texts, pa.string())], names=["row", "text"])
+
+
+def without_items(found: DataFrame, columns: list[str]) -> DataFrame:
+    """The searched documents, columns and all, without the hit words of contaminated ones.
+
+    A document of which no word is left goes; others stay, and those that are not contaminated
+    stay as they are. `columns` has to hold `text`.
+    """
+    rest = found.where(~F.col("contaminated") | (F.col("n_hit") < F.col("n_words")))
+    chosen = rest.select("row", F.when(F.col("contaminated"), F.col("spans")).alias("spans"))
+    schema = T.StructType([chosen.schema["row"], T.StructField("text", T.StringType())])
+    return chosen.mapInArrow(cut_batches, schema).select(
+        *("text" if c == "text" else F.col(f"row.`{c}`") for c in columns))

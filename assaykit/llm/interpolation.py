@@ -216,7 +216,7 @@ def learn_weights(cells: np.ndarray, n: np.ndarray, order: int, vocabulary: int)
         share *= (n / share.sum(1))[:, None]
         sums = np.stack([np.bincount(rest, share[:, k], buckets) for k in range(order + 1)], 1)
         # A small even count keeps every order alive.
-        sums += 0.01
+        sums = sums + 0.01
         weights = sums / sums.sum(1, keepdims=True)
     return weights
 
@@ -276,12 +276,12 @@ def score_texts(
     whose number is bound by the rounding of the estimates.
     """
     train = F.coalesce(train, F.lit(True))
-    fold = F.coalesce(F.crc32(F.col(id_col).cast("string")) % FOLDS, F.lit(0))
+    first = F.coalesce(F.crc32(F.col(id_col).cast("string")) % FOLDS == 0, F.lit(False))
     chosen = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), train.cast("int").alias("train"),
-        (train & (fold == 0)).alias("teaches"), F.col(text_col).cast("string").alias("text"))
+        (train & first).alias("teaches"), F.col(text_col).cast("string").alias("text"))
     blocks = stored(chosen.mapInArrow(word_blocks, _BLOCKS))
-    parts = 2 * shards(docs, SHARD_BYTES)
+    parts = 2 * shards(chosen, "text", SHARD_BYTES)
     asked = blocks.mapInArrow(lambda batches: ask_counts(batches, order, parts), _ASKED)
     given = stored(asked.groupBy("shard").applyInArrow(give_counts, _GIVEN))
     sizes = [unpack(r.counts) for r in given.where("block < 0").select("counts").collect()]

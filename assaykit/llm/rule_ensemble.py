@@ -9,9 +9,9 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .arrays import chunked, text_bytes
+from .arrays import chunked, text_bytes, with_fields
 from .boosting import Tree, boost, lasso_logistic
 from .tables import crc_fold
 from .text_stats import NAMES, statistics
@@ -39,20 +39,19 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample: int)
     return docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")
 
 
-def statistic_rows(batches, carried: int):
-    """The carried columns and then the statistics of the text, which is the column after."""
-    for batch in chunked(batches, "text"):
-        values = statistics(*text_bytes(batch.column(carried)))
+def statistic_rows(batches):
+    """The rows, as one struct, and the statistics of their texts."""
+    for batch in chunked(with_fields(batches, text="text"), "text"):
+        values = statistics(*text_bytes(batch.column(1)))
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:carried], *(pa.array(c) for c in values.T)],
-            names=[*batch.schema.names[:carried], *NAMES])
+            [batch.column(0), *(pa.array(c) for c in values.T)], names=["row", *NAMES])
 
 
-def with_statistics(docs: DataFrame, *carried: str) -> DataFrame:
-    chosen = docs.select(*carried, F.col("text").cast("string").alias("text"))
-    kinds = [f"{name} {kind}" for name, kind in chosen.dtypes[:-1]]
-    ddl = ", ".join([*kinds, *(f"{name} double" for name in NAMES)])
-    return chosen.mapInArrow(lambda batches: statistic_rows(batches, len(carried)), ddl)
+def with_statistics(docs: DataFrame) -> DataFrame:
+    """One row per input row: row, all of it, and the statistics of its text."""
+    chosen = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    names = [T.StructField(name, T.DoubleType()) for name in NAMES]
+    return chosen.mapInArrow(statistic_rows, T.StructType([chosen.schema["row"], *names]))
 
 
 def paths(tree: Tree) -> list[Rule]:
@@ -115,26 +114,27 @@ def compiled(bias: float, rules: list[tuple[Rule, float]]) -> Column:
 
 def learn_quality(docs: DataFrame, labels: DataFrame, label: str = "quality",
                   sample: int = SAMPLE) -> tuple[float, list[tuple[Rule, float]]]:
-    rows = with_statistics(labelled_sample(docs, labels, label, sample), "doc_id", "y")
-    held = rows.orderBy("doc_id").toArrow()
+    rows = with_statistics(labelled_sample(docs, labels, label, sample))
+    held = rows.select("row.doc_id", "row.y", *NAMES).orderBy("doc_id").toArrow()
     x = np.stack([held[name].to_numpy() for name in NAMES], 1)
     return fit_rules(x, held["y"].to_numpy().astype(np.int64))
 
 
 def score_quality(
     docs: DataFrame, labels: DataFrame, label: str = "quality", threshold: float = 0.3,
-    sample: int = SAMPLE, carried: tuple[str, ...] = (),
+    sample: int = SAMPLE, carry: bool = False,
 ) -> DataFrame:
-    """One row per input row: doc_id, held_out, score, predicted, and the carried columns.
+    """One row per input row: doc_id, held_out, score, predicted; with `carry` also row, all of it.
 
     `held_out` documents (crc32 of the id as text a multiple of 5) teach nothing. The score is
     the probability of label 1 from the statistics of the whole text; null counts as empty, and an
     empty text is scored like any other. Repeated rows are scored each; a null id is not held out.
     Without labels of both kinds every score is the share of label 1. An empty table gives no rows.
     """
-    docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
-    bias, rules = learn_quality(docs, labels, label, sample)
-    scored = with_statistics(docs, "doc_id", *carried).withColumn("score", compiled(bias, rules))
+    bias, rules = learn_quality(docs.select("doc_id", "text"), labels, label, sample)
+    scored = with_statistics(docs if carry else docs.select("doc_id", "text"))
+    scored = scored.withColumn("score", compiled(bias, rules)).select(
+        F.col("row.doc_id").cast("long").alias("doc_id"), "score", "row")
     return scored.select(
         "doc_id", F.coalesce(crc_fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score",
-        (F.col("score") >= threshold).cast("int").alias("predicted"), *carried)
+        (F.col("score") >= threshold).cast("int").alias("predicted"), *(["row"] if carry else []))

@@ -41,17 +41,26 @@ def stored(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Spark's own estimate of the frame's size; for a Parquet scan, that of its files."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return min(int(str(size)), 1 << 60)
+#: Above this, an estimate of Spark's is taken for a guess and the texts are measured.
+PLAUSIBLE_BYTES = 1 << 47
 
 
-def shards(df: DataFrame, per_shard: int) -> int:
+def input_bytes(df: DataFrame, text: str) -> int:
+    """Spark's estimate of the frame's size; for a Parquet scan, that of its files.
+
+    Frames whose size Spark cannot tell have absurd estimates; their texts are measured.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > PLAUSIBLE_BYTES:
+        size = df.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
+    return size
+
+
+def shards(df: DataFrame, text: str, per_shard: int) -> int:
     """How many shards of about `per_shard` input bytes the frame makes; the session's
     shuffle partitions at least."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, -(-input_bytes(df) // per_shard))
+    return max(least, -(-input_bytes(df, text) // per_shard))
 
 
 def pack(values: np.ndarray) -> bytes:

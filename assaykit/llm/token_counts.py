@@ -80,6 +80,15 @@ def tokenizer_at(path: str):
     return _LOADED[path]
 
 
+def holding(raw: np.ndarray, offsets: np.ndarray, strings: list[bytes]) -> np.ndarray:
+    """Which documents hold one of the strings."""
+    joined, found = raw.tobytes(), np.zeros(len(offsets) - 1, bool)
+    for text in strings:
+        if text in joined:
+            found |= [text in joined[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
+    return found
+
+
 def special_strings(tokenizer) -> list[bytes]:
     return [t.content.encode() for t in tokenizer.get_added_tokens_decoder().values()]
 
@@ -94,11 +103,7 @@ def postings(batches, path: str, parts: int, id_col: str, text_col: str):
         ids = batch.column(batch.schema.get_field_index(id_col))
         raw, offsets = text_bytes(batch.column(batch.schema.get_field_index(text_col)))
         n = len(ids)
-        joined = raw.tobytes()
-        whole = np.zeros(n, bool)
-        for text in special:
-            if text in joined:
-                whole |= [text in joined[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
+        whole = holding(raw, offsets, special)
         starts = pre_token_starts(raw, offsets, whole)
         codes, strings = distinct_spans(raw, starts, np.append(starts[1:], len(raw)))
         owner = np.searchsorted(offsets, starts, "right") - 1
@@ -196,8 +201,8 @@ def count_tokens(
     counted whole, by the library. The input has to give the same rows in the same order
     when a task is run again, as a table does.
     """
-    parts = 2 * shards(docs, SHARD_BYTES)
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    parts = 2 * shards(chosen, "text", SHARD_BYTES)
     pieces = chosen.mapInArrow(
         lambda batches: postings(batches, tokenizer_path, parts, "doc_id", "text"), _PARTS
     )

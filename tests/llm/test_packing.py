@@ -1,0 +1,83 @@
+import math
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+from cases import HARD, frame, ordered
+from conftest import SMALL
+from tokenizers import Tokenizer
+
+from assaykit.llm import queries
+from assaykit.llm.packing import pack_documents, sum_of_squares
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+def expected(rows, most=4096):
+    tokenizer, out = Tokenizer.from_file(PATH), []
+    for doc, text in rows:
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+        for number, start in enumerate(range(0, len(ids), most)):
+            own = np.array(ids[start : start + most], "<u4").tobytes()
+            out.append((doc, number, start, len(own) // 4, zlib.crc32(own)))
+    return ordered(out)
+
+
+def check(rows, expected_pieces, most=4096):
+    assert ordered((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == expected_pieces
+    sequences = defaultdict(list)
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= most
+    return len(sequences)
+
+
+def test_hard_texts(spark):
+    check(pack_documents(frame(spark, HARD), PATH).collect(), expected(HARD))
+
+
+def test_ids_are_those_of_the_digest(spark):
+    for r in pack_documents(frame(spark, HARD), PATH, most=64).collect():
+        assert zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length <= 4 * 64
+
+
+def test_empty_table(spark):
+    assert pack_documents(frame(spark, []), PATH).collect() == []
+
+
+def test_whole_table_in_few_sequences(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    rows = queries.op2_packing(spark, SMALL).collect()
+    used = check(rows, expected([tuple(r) for r in docs.collect()]))
+    least = math.ceil(sum(r.length for r in rows) / 4096)
+    assert used <= 1.05 * least + 2
+
+
+def test_rule_against_all_choices():
+    rng = np.random.default_rng(3)
+    most, lengths = 40, rng.integers(1, 41, 300)
+    sequence, offset = sum_of_squares(lengths, most)
+    fill = {}
+    for s, length, at in zip(sequence.tolist(), lengths.tolist(), offset.tolist()):
+        counts = np.bincount([most - f for f in fill.values()], minlength=most + 1)
+
+        def cost(gap):
+            after = counts.copy()
+            if gap < most:
+                after[gap] -= 1
+            if gap > length:
+                after[gap - length] += 1
+            after[0] = after[most] = 0
+            return int((after**2).sum())
+
+        gaps = {most - f for f in fill.values() if most - f >= length and f < most} | {most}
+        assert at == fill.get(s, 0)
+        assert cost(most - at) == min(cost(g) for g in gaps)
+        fill[s] = at + length
+        assert fill[s] <= most

@@ -1,0 +1,94 @@
+import numpy as np
+import pytest
+from cases import HARD, frame
+from pyspark.sql import functions as F
+
+from assaykit.llm import queries
+from assaykit.llm.boosting import boost, isotonic, lasso_logistic, margins, sigmoid
+from assaykit.llm.rule_ensemble import compiled, fit_rules, holds, score_quality
+from assaykit.llm.text_stats import NAMES, statistics
+
+DATA = "/root/testdata/sf0.01"
+
+
+def label_frame(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+
+
+def test_held_out_labels(spark):
+    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+    got = queries.op1_rule_ensemble(spark, DATA).join(labels, "doc_id").where("held_out").collect()
+    right = np.mean([r.predicted == r.quality for r in got])
+    assert len(got) > 50 and right > 0.95
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got)
+
+
+def test_hard_texts(spark):
+    labels = label_frame(spark, [(1, 1, 0), (3, 0, 0), (8, 0, 0), (7, 0, 0), (12, 1, 0), (5, None, 0), (None, 1, 0),
+                                 (9, 2, 0), (1, 0, 0)])
+    got = score_quality(frame(spark, HARD), labels, carry=True).collect()
+    assert len(got) == len(HARD) and all(0 <= r.score <= 1 for r in got)
+    assert sorted((r.row.text or "") for r in got) == sorted((t or "") for _, t in HARD)
+
+
+def test_no_labels_and_no_documents(spark):
+    none = label_frame(spark, [])
+    assert {r.score for r in score_quality(frame(spark, HARD), none).collect()} == {0.5}
+    assert score_quality(frame(spark, []), label_frame(spark, [(1, 1, 0)])).collect() == []
+
+
+def test_held_out_rows_teach_nothing(spark):
+    docs = frame(spark, HARD)
+    fold = {r.doc_id: r.f for r in docs.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 5).alias("f")).collect()}
+    held = [d for d, f in fold.items() if f == 0 and d is not None]
+    assert held
+    some = [(d, d % 2, 0) for d, f in fold.items() if d is not None and f]
+    a = score_quality(docs, label_frame(spark, [*some, *((d, 0, 0) for d in held)])).collect()
+    b = score_quality(docs, label_frame(spark, [*some, *((d, 1, 0) for d in held)])).collect()
+    assert sorted(map(repr, a)) == sorted(map(repr, b))
+    assert {r.doc_id for r in a if r.held_out} == set(held)
+
+
+def test_compiled_rules_are_the_fitted_ones(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(400, len(NAMES)))
+    y = ((x[:, 3] > 0.2) & (x[:, 5] < 0.4)).astype(np.int64)
+    bias, rules = fit_rules(x, y, trees=20)
+    margin = bias + sum(w * holds(rule, x) for rule, w in rules)
+    assert np.mean((margin > 0) == y) > 0.95
+    table = spark.createDataFrame([tuple(map(float, r)) for r in x[:50]], ", ".join(f"{n} double" for n in NAMES))
+    got = [r[0] for r in table.select(compiled(bias, rules)).collect()]
+    assert sorted(got) == pytest.approx(sorted(sigmoid(margin[:50])))
+
+
+def test_statistics_by_hand():
+    text = "Ab ab AB! x\nx\n\nx".encode()
+    raw = np.frombuffer(text, np.uint8)
+    values = dict(zip(NAMES, statistics(raw, np.array([0, len(raw), len(raw)])).T.tolist()))
+    assert values["share_upper"] == [pytest.approx(3 / 16), 0]
+    assert values["distinct_words"] == [pytest.approx(4 / 6), 0]
+    assert values["top_word"] == [pytest.approx(3 / 6), 0]
+    assert values["again_words"] == [pytest.approx(2 / 6), 0]
+    assert values["distinct_lines"] == [pytest.approx(2 / 3), 0]
+    assert values["shouted_words"] == [pytest.approx(1 / 6), 0]
+
+
+def test_lasso_leaves_noise_out():
+    rng = np.random.default_rng(2)
+    x = (rng.random((600, 20)) < 0.5).astype(float)
+    y = (rng.random(600) < sigmoid(4 * x[:, 0] - 2)).astype(float)
+    _, weights = lasso_logistic(x, y, 0.03)
+    assert weights[0] > 1 and (np.abs(weights[1:]) < 1e-9).sum() >= 17
+
+
+def test_isotonic_pools_and_rises():
+    at, values = isotonic(np.array([0.0, 1, 2, 3, 3, 4]), np.array([0.0, 1, 0, 1, 1, 1]))
+    assert (np.diff(values) >= 0).all() and (np.diff(at) >= 0).all()
+    assert np.interp(1.5, at, values) == pytest.approx((1 + 4 / 6) / 3)
+
+
+def test_boosting_learns_an_interaction():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(800, 4))
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 0)).astype(float)
+    assert np.mean((margins(x, *boost(x, y, 40, 3)) > 0) == y) > 0.95

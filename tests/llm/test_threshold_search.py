@@ -1,0 +1,64 @@
+import math
+
+import duckdb
+import numpy as np
+from cases import ordered
+from conftest import SMALL
+
+from assaykit.llm import queries
+from assaykit.llm.threshold_search import threshold_search, top_k
+
+SCHEMA = "vec_id long, embedding array<float>, block int, width string, score int"
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame([(i, v, None, None, None) for i, v in rows], SCHEMA)
+
+
+def expected(rows, k):
+    sound = [(i, tuple(math.floor(1024 * x) for x in v)) for i, v in rows
+             if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for q in sorted({i for i, _ in sound if i % 100 == 0}):
+        scores = sorted((-sum(a * b for a, b in zip(v, w)), j) for i, v in set(sound) if i == q
+                        for j, w in set(sound) if j != q and len(w) == len(v))
+        out += [(q, rank, j, -s) for rank, (s, j) in enumerate(scores[:k], 1)]
+    return ordered(out)
+
+
+def get(docs, k=3, **options):
+    return ordered(top_k(docs, docs["vec_id"] % 100 == 0, k=k, **options).collect())
+
+
+def test_hard_vectors(spark):
+    rng = np.random.default_rng(1)
+    grid = [(i, [float(x) for x in rng.integers(-2, 3, 4) / 4]) for i in range(0, 500, 7)]
+    rows = [*grid, (100, [0.0, 0.0, 0.0, 0.0]), (200, [-0.0001, 0.5, 0.25, 1.0]), (201, None), (300, []),
+            (400, [1.0, None, 0.0, 0.0]), (401, [math.nan, 0.0, 0.0, 0.0]), (500, [math.inf, 0.0, 0.0, 0.0]),
+            (None, [1.0, 1.0, 1.0, 1.0]), (600, [1.0, 2.0]), (601, [1.0, 2.0]), (601, [1.0, 2.0]), (602, [2.0, 2.0])]
+    docs = vectors(spark, rows)
+    assert get(docs) == expected(rows, 3)
+    assert get(docs, block_rows=8, query_batch=3) == expected(rows, 3)
+
+
+def test_empty_table(spark):
+    assert get(vectors(spark, [])) == []
+
+
+def test_stops_early_and_misses_nothing():
+    rng = np.random.default_rng(2)
+    matrix = rng.integers(-50, 50, (3_000, 3))
+    matrix[::50] *= 20
+    lists = np.argsort(matrix, axis=0, kind="stable").T.copy()
+    ids = rng.permutation(3_000)
+    for own in range(40):
+        query = matrix[own]
+        near, scores = threshold_search(query, matrix, ids, lists, 10, int(ids[own]))
+        best = sorted((-int(v @ query), int(i)) for i, v in zip(ids, matrix) if i != ids[own])[:10]
+        assert list(zip((-scores).tolist(), near.tolist())) == best
+
+
+def test_whole_table_against_sql(spark):
+    duckdb.sql(f"create or replace view embeddings as select * from '{SMALL}/embeddings.parquet'")
+    theirs = duckdb.sql(f"select query_id, rank, vec_id, score from ({queries.oracle_sql()['op5_threshold_search']})")
+    assert ordered(queries.op5_threshold_search(spark, SMALL).collect()) == ordered(theirs.fetchall())
