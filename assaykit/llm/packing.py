@@ -1,21 +1,22 @@
 """Best-fit packing by sums of squares: token sequences of a fixed length from documents.
 
-Tokens come from a lower-casing tokenizer that drops white space: its pieces of a text are the
-pieces of the text's words, in order, so each distinct word of a block is cut once. Only lengths
-decide the places. Pieces are dealt by hash into shards of a few thousand; within a shard each
+Tokens come from a lower-casing tokenizer that drops white space. Its pieces of a text are, in
+order, those of the text's parts between blanks and between ASCII letters, digits and
+punctuation, so each distinct lower-cased part is cut once. Only lengths decide the places. Pieces are dealt by hash into shards of a few thousand; within a shard each
 goes, longest first, where the squared counts of open sequences per residual gap sum to the least.
 """
 
 from __future__ import annotations
 
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .arrays import SPACED, chunked, distinct_spans, from_ragged, text_bytes, word_spans
-from .token_counts import rows_batch, tokenizer_at
+from .arrays import LOWER, SPACED, chunked, distinct_spans, from_ragged, text_bytes
+from .token_counts import byte_classes, holding, rows_batch, special_strings, tokenizer_at
 
 BLOCK_BYTES = 4 << 20
 #: Pieces of a shard on average: sequences left open at its end are few against those it fills.
@@ -39,17 +40,47 @@ def word_ids(words: list[bytes], path: str, cache: dict) -> list[bytes]:
         [w.decode("utf-8", "replace") for w in missing], add_special_tokens=False
     )
     for word, found in zip(missing, encoded):
-        cache[word] = np.array(found.ids, "<u4").tobytes()
+        cache[word] = array("I", found.ids).tobytes()
     return [cache[w] for w in words]
 
 
+def part_spans(low: np.ndarray, offsets: np.ndarray, whole: np.ndarray):
+    """Starts and ends of the parts that the tokenizer never joins, and each document's first.
+
+    Documents marked in `whole` are one part. No cut is made next to an apostrophe, which may begin
+    a contraction, nor next to bytes beyond ASCII.
+    """
+    kind, ink = byte_classes()[low], SPACED[low]
+    solid = (kind >= 1) & (kind <= 3)
+    opens, closes = ink.copy(), ink.copy()
+    if len(low) > 1:
+        cut = ~ink[:-1] | ~ink[1:] | (solid[:-1] & solid[1:] & (kind[:-1] != kind[1:]))
+        opens[1:] &= cut
+        closes[:-1] &= cut
+    for i in np.flatnonzero(whole):
+        opens[offsets[i] : offsets[i + 1]] = False
+        closes[offsets[i] : offsets[i + 1]] = False
+        ink = ink | False
+        ink[offsets[i]] = ink[offsets[i + 1] - 1] = True
+    fronts, backs = offsets[:-1][np.diff(offsets) > 0], offsets[1:][np.diff(offsets) > 0] - 1
+    opens[fronts] = ink[fronts]
+    closes[backs] = ink[backs]
+    starts = np.flatnonzero(opens)
+    return starts, np.flatnonzero(closes) + 1, np.searchsorted(starts, offsets)
+
+
 def token_blocks(batches, path: str, end_id: int, text_col: str):
     """Slices of the input with the ids of their texts, each ended by `end_id`, and offsets."""
     cache: dict = {}
+    special = special_strings(tokenizer_at(path))
     for batch in chunked(batches, text_col, BLOCK_BYTES):
         raw, offsets = text_bytes(batch.column(batch.schema.get_field_index(text_col)))
-        starts, ends, first = word_spans(raw, offsets, SPACED)
-        codes, words = distinct_spans(raw, starts, ends)
+        low = LOWER[raw]
+        whole = holding(low, offsets, special)
+        for i in np.flatnonzero(whole):
+            low[offsets[i] : offsets[i + 1]] = raw[offsets[i] : offsets[i + 1]]
+        starts, ends, first = part_spans(low, offsets, whole)
+        codes, words = distinct_spans(low, starts, ends)
         held = word_ids(words.to_pylist(), path, cache)
         sizes = np.array([len(h) // 4 for h in held], np.int64)
         values = np.frombuffer(b"".join(held), "<u4")
