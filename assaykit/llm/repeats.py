@@ -14,9 +14,9 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from .arrays import chunked, distinct_spans, from_ragged, mix, segment_hashes, text_bytes
+from .arrays import chunked, distinct_spans, from_ragged, mix, segment_hashes, text_bytes, with_fields
 from .tables import pack, pack_sorted, shards, small_enough, stored, unpack, unpack_sorted
 from .token_counts import rows_batch
 
@@ -24,12 +24,13 @@ LENGTH = 100
 ANCHOR = 32
 BLOCK_BYTES = 8 << 20
 SHARD_BYTES = 16 << 20
+#: Bytes that are hashed at a time; a longer text alone.
+SLICE_BYTES = 1 << 20
 #: Bytes of the runs of a bucket, on average, and runs of one anchor in a bucket at most.
-BUCKET_BYTES = 2 << 20
-BUCKET_RUNS = 16_384
-#: Ids that may be broadcast, and numbers of anchors or ends of ranges (up to 32 MB each).
+BUCKET_BYTES = 1 << 20
+BUCKET_RUNS = 8_192
+#: Ids of copies that may be broadcast: 32 MB of them.
 BROADCAST_IDS = 2_000_000
-BROADCAST_NUMBERS = 16_000_000
 
 _ASKED = "shard int, block long, doc_ids binary, marks binary, hashes binary, owners binary, numbers binary"
 _FOUND = "block long, doc_ids binary, marks binary, owners binary, numbers binary, spread binary"
@@ -37,7 +38,7 @@ _SHARED = "doc_id long, mark long, numbers binary, spread binary"
 _RUNS = "bucket int, doc_ids binary, marks binary, starts binary, sizes binary, runs binary, " \
     "spread binary, gone_ids binary, gone_marks binary, gone_from binary, gone_to binary"
 _SETTLED = "doc_id long, mark long, first long, last long, key_a long, key_b long"
-_KEPT = "doc_id long, text string, n_bytes long, n_removed long, n_spans long, spans binary"
+_KEPT = "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long, spans binary"
 
 MULTIPLIER = 0x9E3779B97F4A7C15
 
@@ -45,8 +46,23 @@ MULTIPLIER = 0x9E3779B97F4A7C15
 def anchored_runs(raw: np.ndarray, offsets: np.ndarray, length: int):
     """Runs of string starts with one anchor: first and last start, anchor hash, document.
 
-    Among equal hashes the leftmost is the anchor. Runs are in text order.
+    Among equal hashes the leftmost is the anchor. Runs are in text order. Documents are hashed
+    a slice at a time, as that takes many bytes for each byte of text.
     """
+    parts, start = [], 0
+    while start < len(offsets) - 1:
+        stop = max(start + 1, int(np.searchsorted(offsets, offsets[start] + SLICE_BYTES, "right")) - 1)
+        base = offsets[start]
+        first, last, hashes, owner = sliced_runs(
+            raw[base : offsets[stop]], offsets[start : stop + 1] - base, length)
+        parts.append((first + base, last + base, hashes, owner + start))
+        start = stop
+    if not parts:
+        return sliced_runs(raw, offsets, length)
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def sliced_runs(raw: np.ndarray, offsets: np.ndarray, length: int):
     n, width, empty = len(raw), length - ANCHOR + 1, np.zeros(0, np.int64)
     sizes = np.diff(offsets)
     starts = from_ragged(np.maximum(sizes - length + 1, 0), offsets[:-1])
@@ -186,22 +202,51 @@ def send_runs(batches, buckets: int, length: int):
         yield rows_batch(rows, _RUNS)
 
 
-def prefix_ranks(text: np.ndarray, length: int) -> np.ndarray:
-    """Ranks of all suffixes by their first `length` bytes, by prefix doubling from 8 bytes on."""
+def ranked(parts: list[np.ndarray]) -> np.ndarray:
+    """Ranks of tuples of ranks, which are packed into one number as far as they fit."""
+    key = parts[0]
+    for part in parts[1:]:
+        size = int(part.max(initial=0)) + 1
+        if int(key.max(initial=0)) * size >= 1 << 62:
+            key = np.unique(key, return_inverse=True)[1]
+        key = key * np.int64(size) + part
+    return np.unique(key, return_inverse=True)[1]
+
+
+def suffix_ranks(text: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """Ranks of the suffixes at the given places by their first `length` bytes.
+
+    Prefixes grow from 8 bytes threefold; each step ranks only the places that the next one reads.
+    """
     n = len(text)
-    padded = np.concatenate([text, np.zeros(8, np.uint8)]).astype(np.uint64)
+    spread, offsets = [8], []
+    while spread[-1] * 3 < length:
+        spread.append(spread[-1] * 3)
+    for have in reversed([*spread[1:], length]):
+        offsets.append([0, have // 3, 2 * (have // 3)])
+    last = spread[-1]
+    offsets[0] = [0, length - last] if length <= 2 * last else [0, last, length - last]
+    places = [at]
+    for step in offsets[:-1]:
+        wanted = np.zeros(n + length, bool)
+        for offset in step:
+            wanted[places[-1] + offset] = True
+        places.append(np.flatnonzero(wanted))
+    packed = np.concatenate([text, np.zeros(length + 8, np.uint8)]).astype(np.uint64)
     for width in (1, 2, 4):
-        shifted = np.concatenate([padded[width:], np.zeros(width, np.uint64)])
-        padded = (padded << np.uint64(8 * width)) | shifted
-    rank = np.unique(padded[:n], return_inverse=True)[1]
-    have = 8
-    while have < length:
-        step = min(have, length - have)
-        second = np.zeros(n, np.int64)
-        second[: n - step] = rank[step:] + 1
-        rank = np.unique(rank * np.int64(n + 2) + second, return_inverse=True)[1]
-        have += step
-    return rank
+        packed = (packed << np.uint64(8 * width)) | np.concatenate(
+            [packed[width:], np.zeros(width, np.uint64)])
+    rank = np.zeros(n + length + 8, np.int64)
+    step = offsets[-1]
+    wanted = np.zeros(n + length + 8, bool)
+    for offset in step:
+        wanted[places[-1] + offset] = True
+    found = np.flatnonzero(wanted)
+    rank[found] = np.unique(packed[found], return_inverse=True)[1]
+    for step, place in zip(reversed(offsets), reversed(places)):
+        found = ranked([rank[place + offset] for offset in step])
+        rank[place] = found
+    return found
 
 
 def previous_factors(rank: np.ndarray) -> np.ndarray:
@@ -240,7 +285,7 @@ def settle_bucket(group: pa.Table, length: int) -> pa.Table:
     start = from_ragged(windows, starts)
     removed = np.zeros(0, bool)
     if len(at):
-        removed = previous_factors(prefix_ranks(text, length)[at]) >= 0
+        removed = previous_factors(suffix_ranks(text, at, length)) >= 0
     hit = np.flatnonzero(removed)
     breaks = np.r_[True, (run[hit][1:] != run[hit][:-1]) | (hit[1:] != hit[:-1] + 1)] if len(hit) \
         else np.zeros(0, bool)
@@ -269,10 +314,12 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts[opens], ends[np.r_[np.flatnonzero(opens)[1:], len(starts)] - 1]
 
 
-def cut_texts(batches, length: int):
-    for batch in batches:
+def cut_texts(batches, text_col: str, length: int):
+    """The rows with what is left of the text, as bytes, and the spans that are gone."""
+    names = [f.strip().split(" ")[0] for f in _KEPT.split(",")]
+    for batch in with_fields(batches, text=text_col):
         rows = []
-        for doc, text, ranges, copy in zip(*(batch.column(i).to_pylist() for i in range(4))):
+        for ranges, copy, text in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4))):
             data = (text or "").encode()
             spans = np.zeros((0, 2), np.int64)
             if copy and len(data) >= length:
@@ -280,19 +327,34 @@ def cut_texts(batches, length: int):
             elif ranges:
                 pairs = np.array([(r["first"], r["last"]) for r in ranges], np.int64)
                 spans = np.stack(merged(pairs[:, 0], pairs[:, 1] + length), 1)
-            kept = np.ones(len(data), bool)
+            left, at = [], 0
             for a, b in spans.tolist():
-                kept[a:b] = False
-            rest = np.frombuffer(data, np.uint8)[kept].tobytes() if len(spans) else data
-            rows.append((doc, rest, len(data), len(data) - len(rest), len(spans),
+                left.append(data[at:a])
+                at = b
+            rest = b"".join([*left, data[at:]])
+            rows.append((rest, len(data), len(data) - len(rest), len(spans),
                          spans.astype("<i8").tobytes() if len(spans) else None))
-        yield rows_batch(rows, _KEPT.replace("string", "binary"))
+        kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1),
+             *(pa.array(list(c), k) for c, k in zip(zip(*rows) if rows else [()] * 5, kinds))],
+            names=["row", *names])
+
+
+def readable(batches):
+    """Rows with what is left as text, without characters that were cut in two."""
+    for batch in with_fields(batches, text="text"):
+        texts = [text if kept is None else kept.decode("utf-8", "ignore")
+                 for kept, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(texts, pa.string())], names=["row", "text"])
 
 
 def remove_repeats(
     docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """One row per input row: doc_id, kept (binary), n_bytes, n_removed, n_spans, spans.
+    """One row per input row: row (all of it), doc_id, kept (binary), n_bytes, n_removed, n_spans,
+    spans.
 
     Texts are UTF-8 bytes, null counts as empty. Every byte is removed that lies in a string of
     `length` bytes which also starts earlier: in a document of a smaller id, or in the same
@@ -300,12 +362,13 @@ def remove_repeats(
     holds the removed byte ranges (pairs of little-endian 64-bit numbers), or null. `kept`
     may end or begin within a character. Repeated rows with one id and text are one document;
     different texts of one id go in the order of their hash. A row with a null id
-    comes before all others. An empty table gives no rows; other columns are not read.
+    comes before all others. An empty table gives no rows; other columns are only carried.
     """
     spark = docs.sparkSession
     # Null ids sort first; the mark tells the texts of one id apart.
     lowest = F.lit(-(1 << 63))
     docs = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
         F.col(id_col).cast("long").alias("given"),
         F.coalesce(F.col(id_col).cast("long"), lowest).alias("doc_id"),
         F.col(text_col).cast("string").alias("text"),
@@ -320,7 +383,7 @@ def remove_repeats(
     sources = docs.where(long_enough).select("doc_id", "mark", "text").join(
         few, ["doc_id", "mark"], "left_anti")
 
-    parts = shards(docs, SHARD_BYTES)
+    parts = shards(docs, "text", SHARD_BYTES)
     asked = sources.mapInArrow(lambda batches: ask(batches, parts, length), _ASKED)
     found = asked.groupBy("shard").applyInArrow(repeated_anchors, _FOUND)
     shared = stored(found.groupBy("block").applyInArrow(per_document, _SHARED)
@@ -328,9 +391,8 @@ def remove_repeats(
     anchors = shared.agg(F.coalesce(F.sum(F.octet_length("numbers")), F.lit(0))).first()[0]
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                   -(-anchors * 131 // BUCKET_BYTES))
-    light = anchors <= BROADCAST_NUMBERS and small_enough(shared, BROADCAST_IDS)
-    once = F.broadcast(shared) if light else shared
-    runs = sources.join(once, ["doc_id", "mark"]).select("doc_id", "mark", "text", "numbers", "spread")
+    runs = sources.join(shared.hint("merge"), ["doc_id", "mark"]).select(
+        "doc_id", "mark", "text", "numbers", "spread")
     settled = stored(
         runs.mapInArrow(lambda batches: send_runs(batches, buckets, length), _RUNS)
         .groupBy("bucket").applyInArrow(lambda group: settle_bucket(group, length), _SETTLED))
@@ -347,12 +409,24 @@ def remove_repeats(
         .withColumn("copy", F.lit(False))
         .unionByName(copies.select("doc_id", "mark", F.lit(None).cast(
             "array<struct<first:bigint,last:bigint>>").alias("ranges"), F.lit(True).alias("copy"))))
-    held = ranges.agg(F.coalesce(F.sum(4 + 2 * F.coalesce(F.size("ranges"), F.lit(0))), F.lit(0)))
-    spans = F.broadcast(ranges) if held.first()[0] <= BROADCAST_NUMBERS // 4 else ranges
-    return (
-        docs.join(spans, ["doc_id", "mark"], "left").select("given", "text", "ranges", "copy")
-        .mapInArrow(lambda batches: cut_texts(batches, length), _KEPT.replace("string", "binary"))
-        .withColumnRenamed("text", "kept"))
+    joined = docs.select("row", "given", "doc_id", "mark").join(
+        ranges.hint("merge"), ["doc_id", "mark"], "left").select("row", "given", "ranges", "copy")
+    schema = T.StructType([joined.schema["row"], *T.DataType.fromDDL(_KEPT).fields])
+    return joined.mapInArrow(lambda batches: cut_texts(batches, text_col, length), schema)
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """The documents with what is left of their texts, columns and all; n_chars is set anew.
+
+    Texts that lose nothing stay as they are; a character cut in two goes, and so does a document
+    of which nothing is left.
+    """
+    kept = remove_repeats(docs, length)
+    rest = kept.where("n_removed = 0 or n_removed < n_bytes").select(
+        "row", F.when(F.col("n_removed") > 0, F.col("kept")).alias("kept"))
+    schema = T.StructType([rest.schema["row"], T.StructField("text", T.StringType())])
+    return rest.mapInArrow(readable, schema).select(
+        *("text" if c == "text" else F.col(f"row.`{c}`") for c in docs.columns))
 
 
 def repeats_digest(kept: DataFrame) -> DataFrame:
