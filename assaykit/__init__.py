@@ -5,4 +5,12 @@
 ``operators``  DataFrame -> DataFrame steps
 ``sinks``      datasets, tables and their publication
 ``plans``      the five end-to-end jobs
+
+Functions that run on executors travel with the job; executors need no copy of the package.
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

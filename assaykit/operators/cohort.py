@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from assaykit.schema import KEYS
-from assaykit.sizing import hint_broadcast, text_bytes
+from assaykit.sizing import BROADCAST_LIMIT, fits_broadcast, hint_broadcast, text_bytes
 from assaykit.sources.cohort import distinct_keys, key_columns, key_rows
 
 
@@ -36,12 +36,22 @@ def keep_cohort(df: DataFrame, cohort: DataFrame, broadcast_keys: bool = False)
     return kept.select(*df.columns)
 
 
-def missing_from(cohort: DataFrame, item: DataFrame) -> DataFrame:
+def cohort_fits(cohort: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
+    """Whether the cohort's distinct pairs, measured, are small enough to broadcast."""
+    return fits_broadcast(key_stats(cohort).first()["key_bytes"], limit)
+
+
+def missing_from(cohort: DataFrame, item: DataFrame, broadcast_keys: bool = False) -> DataFrame:
     """Cohort keys for which the item table has no row.
 
-    Repeats are dropped before the shuffle: an anti join cannot split them.
+    ``broadcast_keys`` is for a cohort whose size was measured: it cuts the item
+    table down where it is read. Repeats are dropped before the shuffle, as an anti
+    join cannot split them.
     """
-    return distinct_keys(cohort).join(distinct_keys(item), KEYS, "left_anti")
+    wanted = distinct_keys(cohort)
+    if broadcast_keys:
+        item = key_rows(item).join(F.broadcast(wanted), KEYS, "left_semi")
+    return wanted.join(distinct_keys(item), KEYS, "left_anti")
 
 
 def tag_tables(tables: Sequence[tuple[str, DataFrame]]) -> DataFrame:
@@ -52,17 +62,18 @@ def tag_tables(tables: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     return reduce(DataFrame.unionAll, tagged)
 
 
-def coverage(cohort: DataFrame, present: DataFrame, listed: DataFrame) -> DataFrame:
+def coverage(
+    cohort: DataFrame, present: DataFrame, listed: DataFrame, broadcast_keys: bool = False
+) -> DataFrame:
     """``table, count``: cohort keys that have a row in each listed item table.
 
-    ``present`` holds ``table, uid, id`` of all item tables. Each pair's tables
-    are gathered first, at most one entry per table: a hot pair costs one row per
-    task, and the semi join and the count reuse that shuffle.
+    ``present`` holds ``table, uid, id`` of all item tables. Cohort pairs are kept
+    first, at the scan if the cohort was measured to be small; repeats are dropped
+    by hash, on the map side too, and what is left is counted.
     """
-    gathered = present.groupBy(*KEYS).agg(F.collect_set("table").alias("tables"))
-    matched = gathered.join(distinct_keys(cohort), KEYS, "left_semi")
-    each = matched.select(F.explode("tables").alias("table"))
-    found = each.groupBy("table").agg(F.count("*").alias("found"))
+    wanted = hint_broadcast(distinct_pairs(cohort), broadcast_keys)
+    matched = present.select("table", *KEYS).join(wanted, KEYS, "left_semi").distinct()
+    found = matched.groupBy("table").agg(F.count("*").alias("found"))
     return (
         listed.select("table")
         .join(found, "table", "left")

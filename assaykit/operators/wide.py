@@ -40,6 +40,7 @@ def label_wide(
     items: Sequence[tuple[DataFrame, str]],
     broadcast_base: bool = False,
     repeated_keys: bool = False,
+    repeated_items: Sequence[str] = (),
 ) -> DataFrame:
     """Base rows present in every item table, with their labels, ordered by key.
 
@@ -52,6 +53,8 @@ def label_wide(
 
     ``repeated_keys``: a base pair may occur many times. Labels are then worked
     out once per distinct pair and joined back in a join that AQE can split.
+    ``repeated_items`` names the labels whose tables repeat pairs: they are joined
+    after the others, each in a join of its own that AQE can split.
     """
     names = [name for _, name in items]
     require_label_names(names)
@@ -62,11 +65,14 @@ def label_wide(
     keys = distinct_keys(base)
     if broadcast_base:
         labels = [label.join(F.broadcast(keys), KEYS, "left_semi") for label in labels]
-    if repeated_keys and not broadcast_base:
-        per_pair = reduce(_on_keys, labels, keys)
-        joined = _on_keys(kept, _shuffled_apart(per_pair, names))
+    unique = [label for name, label in zip(names, labels) if name not in repeated_items]
+    hot = [label for name, label in zip(names, labels) if name in repeated_items]
+    if repeated_keys:
+        joined = _on_keys(kept, _shuffled_apart(reduce(_on_keys, unique, keys)))
     else:
-        joined = reduce(_on_keys, labels, kept)
+        joined = reduce(_on_keys, unique, kept)
+    for label in hot:
+        joined = _on_keys(_shuffled_apart(joined), label)
     typed = [F.col(name).cast(kind).alias(name) for name, kind in BASE_COLUMNS]
     return joined.select(*typed, *names, F.col(SPLIT_COLUMN).cast("string")).orderBy(*KEYS)
 
@@ -76,13 +82,15 @@ def sized_label_wide(
     items: Sequence[tuple[DataFrame, str]],
     broadcast_limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
-    """``label_wide`` with its two choices made from the base's measured keys."""
+    """``label_wide`` with its choices made from the measured keys of all tables."""
     stats = key_stats(base).first()
+    counts = [(name, key_stats(item).first()) for item, name in items]
     return label_wide(
         base,
         items,
         broadcast_base=fits_broadcast(stats["key_bytes"], broadcast_limit),
         repeated_keys=stats["rows"] > stats["keys"],
+        repeated_items=[name for name, found in counts if found["rows"] > found["keys"]],
     )
 
 
@@ -90,6 +98,6 @@ def _on_keys(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.join(right, KEYS, "inner")
 
 
-def _shuffled_apart(labels: DataFrame, names: Sequence[str]) -> DataFrame:
+def _shuffled_apart(rows: DataFrame) -> DataFrame:
     """The same rows, rebalanced so that the next join shuffles them itself."""
-    return labels.select(*KEYS, *names).hint("rebalance")
+    return rows.hint("rebalance")

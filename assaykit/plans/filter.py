@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
-from assaykit.functions.text import decode_path
 from assaykit.operators.cohort import keep_cohort, key_stats
 from assaykit.sinks.publish import (
     fill_empty,
@@ -44,17 +44,16 @@ def filter_by_cohort(
     compression: str = "zstd",
     overwrite: bool = False,
     broadcast_limit: int = BROADCAST_LIMIT,
-    check_schemas: bool = True,
+    report: Callable[[Row], None] | None = None,
 ) -> DataFrame:
     """Write each source's cohort rows under its own name and the summary; return the summary.
 
-    A key set measured to fit is broadcast and rows are written straight from
-    the scan, without a shuffle and in input order. A larger one is joined by
-    shuffle, and its rows are ranged back into input order.
+    A key set measured to fit is broadcast and cuts the rows at the scan; a larger
+    one is joined by shuffle. Either way the kept rows are ranged into input order,
+    so that a source's files are few and in order.
 
-    Sources may differ in schema and each keeps its own. ``check_schemas=False``
-    takes the first one's for all and lets Spark count the source rows, for
-    storage that the footer check cannot open.
+    Sources may differ in schema and each keeps its own. ``report`` is given the
+    cohort's counts: rows, distinct pairs, and rows that repeat one or lack a part.
     """
     require_codec(compression)
     storage = Storage(spark)
@@ -73,20 +72,18 @@ def filter_by_cohort(
     stats = key_stats(cohort).first()
     if not stats["keys"]:
         raise ValueError(f"{cohort_path} holds no complete (uid, id) pair")
+    if report:
+        report(stats)
     small = fits_broadcast(stats["key_bytes"], broadcast_limit)
 
     directory = storage.qualify(source_dir)
-    footers = read_footers(spark, sources)
-    groups = _schema_groups(footers, sources, directory) if check_schemas else [sources]
-    if check_schemas:
-        counts = footers.select(source_name(directory, F.col("path")).alias("filename"), "rows")
-    else:
-        path = F.col("_metadata.file_path").alias("path")
-        counts = scan(spark, sources).groupBy(path).agg(F.count("*").alias("rows"))
-        counts = counts.select(
-            decode_path(source_name(directory, F.col("path"))).alias("filename"), "rows"
-        )
     with staging(spark, target_dir) as stage:
+        # Every footer is opened once: what they say is kept per source and schema.
+        name = source_name(directory, F.col("path")).alias("filename")
+        counts = read_footers(spark, sources).groupBy(name, "schema").agg(F.sum("rows").alias("rows"))
+        counts.write.parquet(f"{stage}/footers")
+        counts = spark.read.parquet(f"{stage}/footers")
+        groups = _schema_groups(counts, sources)
         staged, stored = {}, []
         for number, group in enumerate(groups):
             rows = scan(spark, group)
@@ -108,8 +105,7 @@ def filter_by_cohort(
             staged.update(found)
             staged.update(empty)
             if found:
-                kind = "int" if origin.numbered else "string"
-                written = spark.read.schema(f"{SOURCE} {kind}").parquet(data)
+                written = spark.read.schema(f"{SOURCE} int").parquet(data)
                 stored.append(origin.with_names(written.groupBy(SOURCE).count()))
 
         summary = _summary(spark, list(targets), counts, stored)
@@ -124,8 +120,7 @@ def retained_rows(
 ) -> DataFrame:
     """Cohort rows in input order, with their source."""
     kept = keep_cohort(origin.add(rows), cohort, broadcast_keys=small)
-    if not small:
-        kept = kept.repartitionByRange(*origin.order())
+    kept = kept.repartitionByRange(*origin.order())
     return kept.sortWithinPartitions(*origin.order()).drop(*origin.columns[1:])
 
 
@@ -135,13 +130,12 @@ def read_filter_summary(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _schema_groups(footers: DataFrame, sources: list[Entry], directory: str) -> list[list[Entry]]:
+def _schema_groups(counts: DataFrame, sources: list[Entry]) -> list[list[Entry]]:
     """Sources with one schema are scanned together; usually that is all of them."""
-    schemas = footers.select("schema").distinct()
+    schemas = counts.select("schema").distinct()
     if len(schemas.limit(2).collect()) <= 1:
         return [sources]
-    name = source_name(directory, F.col("path"))
-    per_source = footers.groupBy(name.alias("name")).agg(
+    per_source = counts.groupBy(F.col("filename").alias("name")).agg(
         F.min("schema").alias("schema"), F.max("schema").alias("other")
     )
     groups: dict[str, list[Entry]] = {}

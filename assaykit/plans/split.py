@@ -24,8 +24,6 @@ from assaykit.storage import Storage
 SUMMARY = "export_summary.csv"
 SUMMARY_SCHEMA = "itemname string, itemcode string, rows bigint, filename string"
 ITEM = "__item"
-# Longest code list sent to the scan as a filter.
-PRUNED_CODES = 1_000
 
 
 def split_by_item(
@@ -36,18 +34,15 @@ def split_by_item(
     pattern: str = "*.parq",
     compression: str = "zstd",
     overwrite: bool = False,
-    total_order: bool = False,
-    check_schemas: bool = True,
     max_rows_per_file: int | None = None,
 ) -> DataFrame:
     """Write one dataset per item and the summary; return the summary.
 
     The code column is read once to count (and strictly decode) every code, then
-    the needed columns are read once with the codes pushed to the scan. A
-    rebalance brings an item's rows together and lets AQE cut hot items into
-    several files. Each file holds its rows in input order; ``total_order`` also
-    puts an item's files in input order, for a second read of the source that
-    Spark samples the ranges from.
+    the needed columns are read with the codes pushed to the scan. Rows are ranged
+    by item and input order, so that an item's files, and the rows in them, are in
+    input order and a hot item is cut into several files. Spark samples the ranges
+    from one more read of the source.
     """
     require_codec(compression)
     storage = Storage(spark)
@@ -67,8 +62,7 @@ def split_by_item(
     refuse_overlap([*targets, summary_target], [entry.path for entry in sources])
     refuse_existing(spark, target_dir, [*filenames, SUMMARY], overwrite)
 
-    if check_schemas:
-        require_same_schema(spark, sources)
+    require_same_schema(spark, sources)
     origin = Origin.of(sources, storage.qualify(input_dir))
     counted = item_counts(raw, items).collect()
     with staging(spark, target_dir) as stage:
@@ -77,10 +71,7 @@ def split_by_item(
         if found:
             selected = selected_rows(raw, origin, [(r.itemcode, r.line) for r in found])
             order = [F.col(ITEM), *origin.order()]
-            if total_order:
-                placed = selected.repartitionByRange(*order)
-            else:
-                placed = selected.hint("rebalance", ITEM)
+            placed = selected.repartitionByRange(*order)
             writer = parquet_writer(
                 placed.sortWithinPartitions(*order).drop(*origin.columns), compression
             )
@@ -111,7 +102,7 @@ def selected_rows(raw: DataFrame, origin: Origin, codes: list[tuple[str, int]])
     """
     listed = {"itemcode": [code for code, _ in codes], ITEM: [number for _, number in codes]}
     numbered = local_frame(raw.sparkSession, listed, f"itemcode string, {ITEM} bigint")
-    wanted = prune_codes(raw, listed["itemcode"]) if len(codes) <= PRUNED_CODES else raw
+    wanted = prune_codes(raw, listed["itemcode"])
     return select_items(origin.add(wanted), numbered, carry=[ITEM])
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from assaykit.operators.convert import non_finite_to_null
 from assaykit.schema import KEYS, require_flat, require_unique_names
 from assaykit.sources.tables import BATCH_ROWS, read_jdbc
+from assaykit.storage import Storage
 
 MODES = ("fail", "append", "replace")
 
@@ -49,6 +51,31 @@ def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(counter, F.count("*").alias("rows")), counter
 
 
+def _own_name(table: str, purpose: str) -> str:
+    """A name that only this attempt uses; what a failed one leaves behind is in nobody's way."""
+    return f"{table}__{purpose}_{uuid.uuid4().hex}"
+
+
+def _discard(spark: SparkSession, table: str) -> None:
+    """Drop an own table, and the folder that a failed write leaves without one."""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    database, _, name = table.rpartition(".")
+    database = database or spark.catalog.currentDatabase()
+    folder = spark.catalog.getDatabase(database).locationUri
+    Storage(spark).delete(f"{folder.rstrip('/')}/{name.lower()}")
+
+
+def bucketing(spark: SparkSession, table: str) -> tuple[int, list[str], list[str]] | None:
+    """Number of buckets, bucket columns and sort columns of a table, or None."""
+    facts = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    if not facts.get("Num Buckets"):
+        return None
+    columns, order = (
+        re.findall(r"`([^`]+)`", facts.get(name) or "") for name in ("Bucket Columns", "Sort Columns")
+    )
+    return int(facts["Num Buckets"]), columns, order
+
+
 def _rename(spark: SparkSession, old: str, new: str) -> None:
     spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
 
@@ -68,8 +95,8 @@ def load_table(
 ) -> int:
     """Load a frame into a catalog table and return the rows written.
 
-    A new or replacing table is written beside the old one and takes its place
-    only when its row count agrees. Duplicates are kept.
+    A new or replacing table is written beside the old one, under a name of its
+    own, and takes its place only when its row count agrees. Duplicates are kept.
     """
     if if_exists not in MODES:
         raise ValueError(f"if_exists must be one of {MODES}, not {if_exists!r}")
@@ -85,8 +112,7 @@ def load_table(
         counted.write.mode("append").insertInto(table)
         return counter.get["rows"]
 
-    loading, old = f"{table}__loading", f"{table}__old"
-    spark.sql(f"DROP TABLE IF EXISTS {loading}")
+    loading, old = _own_name(table, "loading"), _own_name(table, "old")
     try:
         counted.write.mode("errorifexists").format("parquet").saveAsTable(loading)
         written = counter.get["rows"]
@@ -94,23 +120,24 @@ def load_table(
         if stored != written:
             raise RuntimeError(f"{table}: wrote {written} rows but stored {stored}")
         if exists:
-            spark.sql(f"DROP TABLE IF EXISTS {old}")
             _swap(spark, table, loading, old)
             spark.sql(f"DROP TABLE {old}")
         else:
             _rename(spark, loading, table)
         return written
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {loading}")
+        _discard(spark, loading)
 
 
 def jdbc_table_exists(
     spark: SparkSession, url: str, table: str, properties: dict[str, str]
 ) -> bool:
     """Ask the database's own schema, in the dialect of MySQL."""
+    schema, _, name = table.rpartition(".")
+    schema = f"'{schema}'" if schema else "DATABASE()"
     found = (
         "(SELECT 1 AS found FROM information_schema.tables "
-        f"WHERE table_schema = DATABASE() AND table_name = '{table}') AS t"
+        f"WHERE table_schema = {schema} AND table_name = '{name}') AS t"
     )
     return not read_jdbc(spark, url, found, properties).isEmpty()
 
@@ -161,25 +188,26 @@ def convert_table(
 ) -> int:
     """Replace a table by its converted form and return its rows.
 
-    The converted rows go to ``<table>__new``; counts must agree and every check
-    must pass on the written rows before the swap. The original stays as
-    ``<table>__backup``, and an existing backup is never overwritten. With
+    The converted rows go to a table of this attempt's own; counts must agree and
+    every check must pass on the written rows before the swap. The original stays
+    as ``<table>__backup``, and an existing backup is never overwritten. With
     ``buckets`` the new table is bucketed and sorted by (uid, id), so later joins
-    on the pair need no shuffle.
+    on the pair need no shuffle; without it the table keeps the buckets it has.
     """
     require_table_name(table)
-    shadow = f"{table}__new"
-    backup = f"{table}__backup" if keep_backup else f"{table}__old"
+    shadow = _own_name(table, "new")
+    backup = f"{table}__backup" if keep_backup else _own_name(table, "old")
     if spark.catalog.tableExists(backup):
         raise FileExistsError(f"{backup} exists; inspect or drop it first")
-    spark.sql(f"DROP TABLE IF EXISTS {shadow}")
     source = spark.table(table)
     result = transform(source)
-    if buckets:
-        result = result.repartition(buckets, *KEYS)
+    layout = (buckets, list(KEYS), list(KEYS)) if buckets else bucketing(spark, table)
+    if layout:
+        result = result.repartition(layout[0], *layout[1])
     writer = result.write.mode("errorifexists").format("parquet")
-    if buckets:
-        writer = writer.bucketBy(buckets, *KEYS).sortBy(*KEYS)
+    if layout:
+        writer = writer.bucketBy(layout[0], *layout[1])
+        writer = writer.sortBy(*layout[2]) if layout[2] else writer
     try:
         writer.saveAsTable(shadow)
         before, after = source.count(), spark.table(shadow).count()
@@ -189,7 +217,7 @@ def convert_table(
             check(spark.table(shadow))
         _swap(spark, table, shadow, backup)
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {shadow}")
+        _discard(spark, shadow)
     if not keep_backup:
         spark.sql(f"DROP TABLE {backup}")
     return after

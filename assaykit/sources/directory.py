@@ -5,12 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from assaykit.functions.text import decode_path
-from assaykit.sizing import BROADCAST_LIMIT, ROW_OVERHEAD, fits_broadcast
+from assaykit.sizing import BROADCAST_LIMIT, ROW_OVERHEAD, fits_broadcast, hint_broadcast
 from assaykit.sources.local import local_frame
 from assaykit.storage import Entry, Storage, literal_path
 
@@ -58,14 +57,14 @@ def source_name(directory: str, file_path: Column) -> Column:
 class Origin:
     """Where rows come from, as columns that sort into input order.
 
-    A source is carried as its number in the listing, looked up by name in a
-    broadcast listing of checked size; a longer listing carries the name itself.
-    The file is added only where a source is a directory of several files.
+    A source is carried as its number in the listing, looked up by name; a listing
+    of checked size is broadcast for that. The file is added only where a source is
+    a directory of several files.
     """
 
     sources: Sequence[Entry]
     directory: str
-    numbered: bool
+    small: bool
     nested: bool
     encoded: bool
 
@@ -77,7 +76,7 @@ class Origin:
         return cls(
             sources,
             directory,
-            numbered=fits_broadcast(size, limit),
+            small=fits_broadcast(size, limit),
             nested=any(entry.is_dir for entry in sources),
             encoded=any(re.search(r"[^\w.\-]", entry.name) for entry in sources),
         )
@@ -95,14 +94,12 @@ class Origin:
         if self.nested:
             carried.append(plain(path).alias(FILE))
         located = df.select("*", *carried)
-        if not self.numbered:
-            return located
         numbers = local_frame(
             df.sparkSession,
             {SOURCE: [e.name for e in self.sources], NUMBER: range(len(self.sources))},
             f"{SOURCE} string, {NUMBER} int",
         )
-        joined = located.join(F.broadcast(numbers), SOURCE).drop(SOURCE)
+        joined = located.join(hint_broadcast(numbers, self.small), SOURCE).drop(SOURCE)
         return joined.withColumnRenamed(NUMBER, SOURCE)
 
     def order(self) -> list[Column]:
@@ -110,13 +107,10 @@ class Origin:
 
     def name_of(self, directory_value: str) -> str:
         """The source behind a ``partitionBy`` directory's value."""
-        value = unquote(directory_value)
-        return self.sources[int(value)].name if self.numbered else value
+        return self.sources[int(directory_value)].name
 
     def with_names(self, counts: DataFrame) -> DataFrame:
         """``filename`` in place of the carried source."""
-        if not self.numbered:
-            return counts.withColumnRenamed(SOURCE, "filename")
         names = local_frame(
             counts.sparkSession,
             {"filename": [e.name for e in self.sources], SOURCE: range(len(self.sources))},

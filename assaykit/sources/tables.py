@@ -8,10 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 BATCH_ROWS = 5_000
 
 
-def read_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.table(name)
-
-
 def read_jdbc(
     spark: SparkSession,
     url: str,

@@ -42,11 +42,15 @@ RAW = {
 }
 NUMBERS = ("examage", "deptid", "rn")
 
-# Rows whose three result columns can all become doubles.
-CONVERTIBLE = (
-    "itemresult is not null and trim(itemresult) not in ('', '阳性', '1e400') "
-    "and normalhighvalue <> '无法判断'"
-)
+# The same rows with results and bounds that can all become doubles.
+CONVERTIBLE = {
+    **RAW,
+    "itemresult": (
+        "case when l_orderkey % 73 = 0 then ' 5. ' "
+        "else cast(cast(l_quantity as int) as string) end"
+    ),
+    "normalhighvalue": "cast(20 + 2 * cast(round(l_tax * 100) as int) as string)",
+}
 
 COHORT = {
     "uid": "concat('u', cast(o_orderkey as string))",
@@ -111,6 +115,11 @@ def text_lab(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").selectExpr(*columns(RAW))
 
 
+def convertible_lab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The detail table before its conversion: every result and bound is a number."""
+    return table(spark, sf_dir, "lineitem").selectExpr(*columns(CONVERTIBLE))
+
+
 def raw_lab(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The detail table as stored: text as bytes."""
     text = [name for name in RAW if name not in NUMBERS]
@@ -174,4 +183,4 @@ def text_item_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A text item table with unique keys and convertible results."""
     lineitem = table(spark, sf_dir, "lineitem")
     one_per_key = spark.sql(ONE_PER_KEY.format("{lineitem}"), lineitem=lineitem)
-    return one_per_key.selectExpr(*columns(RAW)).drop("rn").where(CONVERTIBLE)
+    return one_per_key.selectExpr(*columns(CONVERTIBLE)).drop("rn")

@@ -19,10 +19,10 @@ TEXT_SCHEMA = ", ".join(
     f"{name} {dict(examage='double', deptid='bigint').get(name, 'string')}" for name, _ in ITEM_TABLE
 )
 GOOD = {
-    "uid": " u1 ", "id": "i1 ", "hospid": "944", "hospname": "体检", "regdate": "2017-08-16",
-    "examage": 36.0, "usex": "男", "deptid": 2, "dept": "检验", "checkitemcode": "c",
-    "checkitemname": "n", "itemcode": "2.1", "itemname": "甲", "itemresult": " 5. ",
-    "normalhighvalue": "9", "normallowvalue": None, "itemindexresultunit": "mmol/L",
+    "uid": " p4 ", "id": "noon ", "hospid": "17", "hospname": "北门", "regdate": "2021-11-30",
+    "examage": 58.5, "usex": "女", "deptid": 9, "dept": "化验", "checkitemcode": "k",
+    "checkitemname": "m", "itemcode": "G.7", "itemname": "糖", "itemresult": " 5. ",
+    "normalhighvalue": "6", "normallowvalue": None, "itemindexresultunit": "g/L",
 }
 
 
@@ -35,10 +35,10 @@ def test_typed_table(spark):
     typed = to_item_table(lab(spark, {}))
     assert typed.dtypes == [(name, kind) for name, kind in ITEM_TABLE]
     row = typed.first()
-    assert (row.uid, row.id, row.hospid, row.deptid) == ("u1", "i1", 944, 2.0)
-    assert row.regdate == datetime.date(2017, 8, 16)
-    assert (row.usex, row.examage) == ("MAN", 36.0)
-    assert (row.itemresult, row.normalhighvalue, row.normallowvalue) == (5.0, 9.0, None)
+    assert (row.uid, row.id, row.hospid, row.deptid) == ("p4", "noon", 17, 9.0)
+    assert row.regdate == datetime.date(2021, 11, 30)
+    assert (row.usex, row.examage) == ("WOMAN", 58.5)
+    assert (row.itemresult, row.normalhighvalue, row.normallowvalue) == (5.0, 6.0, None)
 
 
 def test_blanks_and_defaults(spark):
@@ -57,12 +57,12 @@ def test_blanks_and_defaults(spark):
         dict(uid="x" * 33),
         dict(id="x" * 19),
         dict(hospid="abc"),
-        dict(hospid="944.5"),
-        dict(regdate="2017-13-40"),
-        dict(regdate="20170816"),
-        dict(regdate="2017/8/16"),
-        dict(regdate="2017"),
-        dict(regdate="2017-08-16 later"),
+        dict(hospid="17.5"),
+        dict(regdate="2021-13-40"),
+        dict(regdate="20211130"),
+        dict(regdate="2021/11/30"),
+        dict(regdate="2021"),
+        dict(regdate="2021-11-30 later"),
         dict(itemresult=None),
         dict(itemresult="阳性"),
         dict(itemresult="1e400"),

@@ -16,26 +16,27 @@ ITEM = "uid string, id string, itemresult double, normallowvalue double, normalh
 @pytest.fixture
 def base(spark):
     data = [
-        ("u2", "id-u2", 944, "WOMAN", 40.0, "/u2-1.jpg", "/u2-2.jpg", 1, "internal_validation"),
-        ("u1", "id-u1", 944, "MAN", 36.0, "/u1-1.jpg", "/u1-2.jpg", 0, "train"),
-        ("u3", "id-u3", 944, "MAN", 50.0, "/u3-1.jpg", "/u3-2.jpg", 0, "train"),
+        ("p3", "may", 71, "MAN", 29.5, "/scan/31", "/scan/32", 5, "train"),
+        ("p1", "june", 12, "WOMAN", 63.0, "/scan/11", "/scan/12", 7, "test"),
+        ("p2", "may", 71, "MAN", 44.0, "/scan/21", "/scan/22", 9, "train"),
     ]
     return spark.createDataFrame(data, BASE)
 
 
 @pytest.fixture
 def items(spark):
-    ldl = [("u1", "id-u1", 5.0, 1.0, 9.0), ("u2", "id-u2", 10.0, 1.0, 9.0), ("u3", "id-u3", 1.0, 1.0, 9.0)]
-    ua = [("u1", "id-u1", 9.5, 1.0, 9.0), ("u2", "id-u2", 5.0, None, 9.0), ("u3", "wrong", 5.0, 1.0, 9.0)]
+    """At a bound, above one, without one; and a visit that the second table lacks."""
+    iron = [("p1", "june", 7.0, 2.0, 7.0), ("p2", "may", 3.0, 2.0, 7.0), ("p3", "may", 7.1, 2.0, 7.0)]
+    zinc = [("p1", "june", 0.4, None, 3.0), ("p2", "april", 1.0, 0.5, 3.0), ("p3", "may", 0.5, 0.5, 3.0)]
     return [
-        (spark.createDataFrame(ldl, ITEM), "result_ldl_c"),
-        (spark.createDataFrame(ua, ITEM), "result_ua"),
+        (spark.createDataFrame(iron, ITEM), "result_iron"),
+        (spark.createDataFrame(zinc, ITEM), "result_zinc"),
     ]
 
 
 EXPECTED = [
-    ("u1", "id-u1", 944, "MAN", 36.0, "/u1-1.jpg", "/u1-2.jpg", 0, 1, "train"),
-    ("u2", "id-u2", 944, "WOMAN", 40.0, "/u2-1.jpg", "/u2-2.jpg", 1, None, "internal_validation"),
+    ("p1", "june", 12, "WOMAN", 63.0, "/scan/11", "/scan/12", 0, None, "test"),
+    ("p3", "may", 71, "MAN", 29.5, "/scan/31", "/scan/32", 1, 0, "train"),
 ]
 
 
@@ -44,9 +45,9 @@ def test_wide(base, items, small):
     wide = label_wide(base, items, broadcast_base=small)
     assert wide.columns == [
         "uid", "id", "hospid", "usex", "examage", "image_path_1", "image_path_2",
-        "result_ldl_c", "result_ua", "split",
+        "result_iron", "result_zinc", "split",
     ]
-    assert dict(wide.dtypes)["result_ua"] == "tinyint"
+    assert dict(wide.dtypes)["result_zinc"] == "tinyint"
     assert rows(wide) == EXPECTED
 
 

@@ -21,69 +21,68 @@ from lab_files import two_raw_files, write_items, write_table
 
 @pytest.fixture
 def folders(tmp_path):
+    """Pairs that share one part with a cohort pair, a repeated cohort pair, a source without any."""
     source = tmp_path / "items"
     source.mkdir()
     write_table(
-        source / "a.parquet",
-        uid=pa.array(["u1", "u1", "u2"]),
-        id=pa.array(["i1", "i2", "i2"]),
-        value=pa.array(["keep-1", "wrong-pair", "keep-2"]),
-    )
-    write_table(
-        source / "b.parquet", uid=pa.array(["u3"]), id=pa.array(["i3"]), value=pa.array(["drop"])
+        source / "iron.parquet",
+        uid=pa.array(["p7", "p9", "p9", "p8", "p7"]),
+        id=pa.array(["spring", "autumn", "spring", "autumn", "spring"]),
+        note=pa.array(["first", "second", "other visit", "other person", "third"]),
     )
+    write_table(source / "zinc.parquet", uid=pa.array(["p5"]), id=pa.array(["summer"]), note=pa.array(["-"]))
     write_table(
         tmp_path / "cohort.parquet",
-        uid=pa.array([b"u1", b"u2", b"u1"]),
-        id=pa.array([b"i1", b"i2", b"i1"]),
-        unused=pa.array([1, 2, 3]),
+        score=pa.array([0.5, 0.25, 0.75, 1.0]),
+        id=pa.array([b"autumn", b"spring", b"spring", b"winter"]),
+        uid=pa.array([b"p9", b"p7", b"p7", b"p8"]),
     )
     return str(source), str(tmp_path / "cohort.parquet"), str(tmp_path / "out")
 
 
-@pytest.mark.parametrize("limit, check", [(0, True), (10**8, True), (10**8, False)])
-def test_exact_pairs_per_file(spark, folders, limit, check):
+@pytest.mark.parametrize("limit", [0, 10**8])
+def test_exact_pairs_per_file(spark, folders, limit):
     source, cohort, out = folders
-    summary = filter_by_cohort(
-        spark, source, cohort, out, broadcast_limit=limit, check_schemas=check
-    )
-    assert rows(summary) == [("a.parquet", 3, 2), ("b.parquet", 1, 0)]
-    kept = spark.read.parquet(f"{out}/a.parquet")
-    assert [r.value for r in kept.collect()] == ["keep-1", "keep-2"]
-    assert kept.schema == spark.read.parquet(f"{source}/a.parquet").schema
-    empty = spark.read.parquet(f"{out}/b.parquet")
+    told = []
+    summary = filter_by_cohort(spark, source, cohort, out, broadcast_limit=limit, report=told.append)
+    assert [(r["rows"], r["keys"], r["unusable"]) for r in told] == [(4, 3, 1)]
+    assert rows(summary) == [("iron.parquet", 5, 3), ("zinc.parquet", 1, 0)]
+    kept = spark.read.parquet(f"{out}/iron.parquet")
+    assert [r.note for r in kept.collect()] == ["first", "second", "third"]
+    assert kept.schema == spark.read.parquet(f"{source}/iron.parquet").schema
+    empty = spark.read.parquet(f"{out}/zinc.parquet")
     assert empty.count() == 0 and empty.schema == kept.schema
-    with pytest.raises(FileExistsError, match="b.parquet"):
+    with pytest.raises(FileExistsError, match="zinc.parquet"):
         filter_by_cohort(spark, source, cohort, out)
     again = filter_by_cohort(spark, source, cohort, out, overwrite=True, compression="snappy")
-    assert rows(again)[0] == ("a.parquet", 3, 2)
+    assert rows(again)[0] == ("iron.parquet", 5, 3)
 
 
 def test_no_row_kept(spark, folders, tmp_path):
     source, _, out = folders
     write_table(tmp_path / "other.parquet", uid=pa.array(["x"]), id=pa.array(["y"]))
     summary = filter_by_cohort(spark, source, str(tmp_path / "other.parquet"), out)
-    assert rows(summary) == [("a.parquet", 3, 0), ("b.parquet", 1, 0)]
-    assert spark.read.parquet(f"{out}/a.parquet").columns == ["uid", "id", "value"]
+    assert rows(summary) == [("iron.parquet", 5, 0), ("zinc.parquet", 1, 0)]
+    assert spark.read.parquet(f"{out}/iron.parquet").columns == ["uid", "id", "note"]
 
 
 def test_schemas_may_differ_and_bytes_stay_bytes(spark, folders, tmp_path):
     source, cohort, out = folders
     write_table(
         f"{source}/c d+%.parquet",
-        id=pa.array([b"i2", None, b"i1"]),
-        uid=pa.array([b"u2", b"u1", b"u1"]),
+        id=pa.array([b"autumn", None, b"spring"]),
+        uid=pa.array([b"p9", b"p7", b"p7"]),
         n=pa.array([1, 2, 3], pa.int16()),
         raw=pa.array([b"\xff", b"", None]),
     )
     write_table(f"{source}/e.parquet", uid=pa.array([], pa.string()), id=pa.array([], pa.string()),
-                value=pa.array([], pa.string()))
+                note=pa.array([], pa.string()))
     summary = filter_by_cohort(spark, source, cohort, out)
     assert rows(summary) == [
-        ("a.parquet", 3, 2),
+        ("iron.parquet", 5, 3),
         ("c d+%.parquet", 3, 2),
-        ("b.parquet", 1, 0),
         ("e.parquet", 0, 0),
+        ("zinc.parquet", 1, 0),
     ]
     odd = spark.read.parquet(f"{out}/c d+%.parquet")
     assert odd.dtypes == [("id", "binary"), ("uid", "binary"), ("n", "smallint"), ("raw", "binary")]
@@ -94,16 +93,16 @@ def test_runs_on_the_split_output(spark, tmp_path):
     two_raw_files(tmp_path / "raw")
     items = write_items(tmp_path / "items.csv")
     split_by_item(spark, str(tmp_path / "raw"), items, str(tmp_path / "by_item"))
-    write_table(tmp_path / "c.parquet", uid=pa.array(["uid-b1", "uid-b2"]), id=pa.array(["b1", "b2"]))
+    write_table(tmp_path / "c.parquet", uid=pa.array(["person-v20", "person-v12"]), id=pa.array(["v20", "v12"]))
     summary = filter_by_cohort(
         spark, str(tmp_path / "by_item"), str(tmp_path / "c.parquet"), str(tmp_path / "kept")
     )
     assert rows(summary) == [
-        ("目标_项目__2.1.parquet", 2, 1),
-        ("第三项__3.1.parquet", 1, 1),
-        ("无记录项目__4.1.parquet", 0, 0),
+        ("血_糖__G.7.parquet", 2, 1),
+        ("血钾__K.1.parquet", 1, 1),
+        ("钠__N.5.parquet", 0, 0),
     ]
-    assert spark.read.parquet(str(tmp_path / "kept" / "目标_项目__2.1.parquet")).first().id == "b1"
+    assert spark.read.parquet(str(tmp_path / "kept" / "血_糖__G.7.parquet")).first().id == "v20"
 
 
 def test_order_is_kept_in_large_files(spark, tmp_path):
@@ -124,6 +123,48 @@ def test_order_is_kept_in_large_files(spark, tmp_path):
         assert got == expected
 
 
+@pytest.mark.parametrize("limit", [0, 10**8])
+def test_order_over_files_of_unequal_length(spark, tmp_path, limit):
+    """A short file before longer ones: their rows stay in the order of the listing."""
+    source = tmp_path / "s" / "a.parquet"
+    source.mkdir(parents=True)
+    seq = 0
+    for number, size in enumerate([200, 5_000, 30, 9_000]):
+        write_table(source / f"part-{number}.parquet", uid=pa.array([str(i % 3) for i in range(size)]),
+                    id=pa.array(["k"] * size), seq=pa.array(range(seq, seq + size)))
+        seq += size
+    write_table(tmp_path / "c.parquet", uid=pa.array(["0", "2"]), id=pa.array(["k"] * 2))
+    filter_by_cohort(spark, str(tmp_path / "s"), str(tmp_path / "c.parquet"), str(tmp_path / "out"),
+                     broadcast_limit=limit)
+    got = []
+    for part in sorted((tmp_path / "out" / "a.parquet").glob("part-*.parquet")):
+        got += [r.seq for r in spark.read.parquet(str(part)).collect()]
+    whole = spark.read.parquet(*map(str, sorted(source.glob("part-*")))).where("uid <> '1'")
+    assert got == sorted(r.seq for r in whole.collect())
+    assert len(list((tmp_path / "out" / "a.parquet").glob("part-*.parquet"))) <= 8
+
+
+def test_runs_from_another_folder(tmp_path):
+    """Executors that cannot import the package still read footers."""
+    import os
+    import subprocess
+    import sys
+
+    two_raw_files(tmp_path / "raw")
+    items = write_items(tmp_path / "items.csv")
+    code = (
+        f"import sys; sys.path.insert(0, {str(os.getcwd())!r})\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false')"
+        f".config('spark.sql.warehouse.dir', {str(tmp_path / 'wh')!r}).getOrCreate()\n"
+        "from assaykit.plans import split_by_item\n"
+        f"print('ROWS', split_by_item(spark, {str(tmp_path / 'raw')!r}, {items!r}, {str(tmp_path / 'out')!r}).count())\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "PYSPARK_GATEWAY_PORT", "PYSPARK_GATEWAY_SECRET")}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True)
+    assert "ROWS 3" in done.stdout, done.stderr[-2000:]
+
+
 def test_bad_inputs(spark, folders, tmp_path):
     source, cohort, out = folders
     write_table(tmp_path / "none.parquet", uid=pa.array([None, "a"]), id=pa.array(["b", None]))
@@ -132,8 +173,8 @@ def test_bad_inputs(spark, folders, tmp_path):
     with pytest.raises(ValueError, match="differ"):
         filter_by_cohort(spark, source, cohort, source)
     (tmp_path / "near").mkdir()
-    near = str(tmp_path / "near" / "a.parquet")
-    write_table(near, uid=pa.array(["u1"]), id=pa.array(["i1"]))
+    near = str(tmp_path / "near" / "iron.parquet")
+    write_table(near, uid=pa.array(["p7"]), id=pa.array(["spring"]))
     with pytest.raises(ValueError, match="overlaps"):
         filter_by_cohort(spark, source, near, str(tmp_path / "near"), overwrite=True)
     write_table(f"{source}/z.parquet", uid=pa.array([b"\xff"]), id=pa.array([b"i"]))
@@ -193,5 +234,5 @@ def test_small_cohort_needs_no_shuffle_of_the_data(spark, folders):
     plan = retained_rows(rows, cohort, origin, small=True)._jdf.queryExecution().executedPlan()
     assert plan.toString().count("Exchange hashpartitioning") == 1
     assert "hashpartitioning(pair" in plan.toString()
-    assert "rangepartitioning" not in plan.toString()
+    assert plan.toString().count("Exchange rangepartitioning") == 1
     assert "LeftSemi, BuildRight" in plan.toString()

@@ -85,4 +85,4 @@ def test_hot_item_becomes_many_files(spark, hot, tmp_path):
     assert [row["rows"] for row in summary.collect()] == [N // 3, N - N // 3]
     for name in ("hot__A", "rest__B1"):
         parts = list((tmp_path / "out" / f"{name}.parquet").glob("part-*.parquet"))
-        assert len(parts) > 3
+        assert len(parts) >= 3

@@ -75,10 +75,10 @@ def test_listing_is_flat_and_sorted(spark, tmp_path):
     two_raw_files(tmp_path / "raw")
     (tmp_path / "raw" / "deep").mkdir()
     write_table(tmp_path / "raw" / "deep" / "z.parq", x=pa.array([1]))
-    (tmp_path / "raw" / ".a.parq.crc").write_bytes(b"")
+    (tmp_path / "raw" / ".north.parq.crc").write_bytes(b"")
     (tmp_path / "raw" / "_SUCCESS").write_bytes(b"")
     found = list_sources(spark, str(tmp_path / "raw"), "*.parq")
-    assert [entry.name for entry in found] == ["a.parq", "b.parq"]
+    assert [entry.name for entry in found] == ["north.parq", "south.parq"]
     with pytest.raises(ValueError, match="subdirectories"):
         list_sources(spark, str(tmp_path / "raw"), "deep/*.parq")
     write_table(tmp_path / "raw" / "_c.parq", x=pa.array([1]))

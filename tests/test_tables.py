@@ -13,7 +13,7 @@ from assaykit.plans import (
     load_parquet,
 )
 from assaykit.schema import ITEM_TABLE
-from assaykit.sinks.tables import convert_table, load_jdbc, load_table
+from assaykit.sinks.tables import bucketing, convert_table, load_jdbc, load_table
 from assaykit.sources.tables import read_jdbc
 from conftest import rows
 from test_convert import lab
@@ -25,7 +25,11 @@ def table():
 
 
 SCHEMA = "uid string, id string, value string, count bigint, score double, active boolean"
-DATA = [("u1", "i1", "中文", 1, 0.5, True), ("u2", "i2", None, 2, float("nan"), False)]
+DATA = [("p4", "noon", "阴性", 31, 2.25, False), ("p6", "dusk", None, 47, float("nan"), True)]
+
+
+def own_tables(spark, table):
+    return sorted(t.name for t in spark.catalog.listTables() if t.name.startswith(table))
 
 
 def test_load(spark, table, tmp_path):
@@ -34,8 +38,8 @@ def test_load(spark, table, tmp_path):
     assert load_parquet(spark, str(tmp_path / "d.parquet"), table) == 3
     stored = spark.table(table)
     assert stored.dtypes == df.dtypes
-    assert sorted(rows(stored))[1:] == [("u2", "i2", None, 2, None, False)] * 2
-    assert not spark.catalog.tableExists(f"{table}__loading")
+    assert sorted(rows(stored))[1:] == [("p6", "dusk", None, 47, None, True)] * 2
+    assert own_tables(spark, table) == [table]
 
 
 def test_modes(spark, table):
@@ -67,7 +71,7 @@ def test_failed_replace_keeps_the_table(spark, table):
     with pytest.raises(PySparkException):
         load_table(broken, table, "replace")
     assert spark.table(table).count() == 2
-    assert not spark.catalog.tableExists(f"{table}__loading")
+    assert own_tables(spark, table) == [table]
 
 
 def test_refused_shapes(spark, table):
@@ -89,14 +93,48 @@ def test_not_null(spark, table):
     assert load_table(df, table, not_null=["uid"]) == 2
 
 
+def test_failed_attempts_are_in_nobody_s_way(spark, table):
+    """Fail, then succeed, many times under one name, for loads and for conversions."""
+    df = spark.createDataFrame(DATA * 20, SCHEMA).repartition(8)
+    for _ in range(20):
+        with pytest.raises(PySparkException, match="must not be NULL"):
+            load_table(df, table, "replace", not_null=["value"])
+        assert load_table(df, table, "replace") == 40
+        with pytest.raises(PySparkException):
+            convert_table(spark, table, lambda t: t.selectExpr("uid", "cast(raise_error(id) as string) as id"),
+                          keep_backup=False)
+        assert convert_table(spark, table, lambda t: t.withColumn("count", t["count"] + 1), keep_backup=False) == 40
+    assert own_tables(spark, table) == [table]
+
+
+def test_other_tables_with_such_names_stay(spark, table):
+    df = spark.createDataFrame(DATA, SCHEMA)
+    for name in ("", "__old", "__loading", "__new"):
+        load_table(df, table + name)
+    load_table(df.limit(1), table, "replace")
+    convert_table(spark, table, lambda t: t, keep_backup=False)
+    assert [spark.table(table + n).count() for n in ("", "__old", "__loading", "__new")] == [1, 2, 2, 2]
+
+
+def test_conversions_keep_buckets(spark, table):
+    load_table(lab(spark, {}, dict(id="i2")), table)
+    convert_item_keys(spark, table, buckets=4)
+    assert bucketing(spark, table) == (4, ["uid", "id"], ["uid", "id"])
+    convert_result_column(spark, table)
+    assert bucketing(spark, table) == (4, ["uid", "id"], ["uid", "id"])
+    load_table(lab(spark, {}), table + "x")
+    convert_result_column(spark, table + "x")
+    assert bucketing(spark, table + "x") is None
+
+
 def test_stepwise_conversion(spark, table):
-    load_table(lab(spark, {}, dict(id="i2", itemresult="7", usex="女")), table)
+    load_table(lab(spark, {}, dict(id="i2", itemresult="7", usex="男")), table)
     assert convert_item_keys(spark, table) == 2
     assert rows(spark.table(table).select("uid", "usex").orderBy("usex")) == [
-        ("u1", "MAN"),
-        ("u1", "WOMAN"),
+        ("p4", "MAN"),
+        ("p4", "WOMAN"),
     ]
-    assert spark.table(f"{table}__backup").first().uid == " u1 "
+    assert spark.table(f"{table}__backup").first().uid == " p4 "
     convert_result_column(spark, table)
     convert_normal_columns(spark, table)
     convert_unit_column(spark, table)
@@ -112,12 +150,11 @@ def test_conversion_gates(spark, table):
     load_table(lab(spark, dict(itemresult="1e400")), table, "replace")
     with pytest.raises(PySparkException):
         convert_result_column(spark, table)
-    load_table(lab(spark, {}, dict(uid="u1", id="i1")), table, "replace")
+    load_table(lab(spark, {}, dict(uid="p4", id="noon")), table, "replace")
     with pytest.raises(ValueError, match="unique"):
         convert_item_table(spark, table)
-    assert rows(spark.table(table).select("uid"))[0] in [(" u1 ",), ("u1",)]
-    for left in ("__new", "__backup", "__old"):
-        assert not spark.catalog.tableExists(table + left)
+    assert rows(spark.table(table).select("uid"))[0] in [(" p4 ",), ("p4",)]
+    assert own_tables(spark, table) == [table]
 
 
 def test_row_count_must_agree(spark, table):
@@ -134,7 +171,7 @@ def test_failed_swap_is_undone(spark, table, monkeypatch):
     real = tables._rename
 
     def failing(spark, old, new):
-        if old.endswith("__new"):
+        if "__new_" in old:
             raise RuntimeError("lost")
         real(spark, old, new)
 
