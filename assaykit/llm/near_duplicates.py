@@ -3,8 +3,8 @@
 Equal shingle sets become one class first. Inverted lists of the retained values give
 candidates: in each list every class is held against the list's most typical one, not against
 all others. The sketch of the union estimates the similarity and drops unlikely pairs; the
-rest are confirmed on the full sets. Lists whose other members are still in different
-components then compare those members with each other, in blocks.
+rest are confirmed on the full sets. Members of lists that then still are in different components
+are compared with each other on their full sets, in blocks.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ import math
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .arrays import SPACED, chunked, gram_hashes, lowered_words, mix, string_hashes, text_bytes, \
@@ -28,7 +27,9 @@ RETAINED = 32
 #: Chance of losing a pair that is just similar enough, by its sketches.
 MISS = 1e-7
 #: Members of a list that are compared with each other in one task.
-LIST_BLOCK = 256
+LIST_BLOCK = 512
+#: Shingles of a slice of the incidence of a block's members.
+INCIDENCE = 4096
 #: Ids that may be broadcast: 16 MB of them.
 BROADCAST_IDS = 2_000_000
 
@@ -167,53 +168,74 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, similarity: tuple[i
     return stored(both.mapInArrow(lambda batches: similar_pairs(batches, similarity), _PAIRS).distinct())
 
 
-def cross_pairs(group: pa.Table, retained: int, need: int, similarity: tuple[int, int]) -> pa.Table:
-    """Pairs of a block of a list from different components whose sketches share enough."""
-    group = group.sort_by([("node", "ascending"), ("home", "descending")])
-    node, part = group["node"].to_numpy(), group["component"].to_numpy()
-    size, home = group["n"].to_numpy(), group["home"].to_numpy(zero_copy_only=False)
-    lists = group["sketch"].combine_chunks()
-    values = lists.flatten().to_numpy()
-    row = np.repeat(np.arange(len(node)), pc.list_value_length(lists).to_numpy())
-    order = np.argsort(values, kind="stable")
-    values, row = values[order], row[order]
-    shared = np.zeros((len(node), len(node)), np.int16)
-    edges = np.flatnonzero(np.r_[True, values[1:] != values[:-1], True])
-    for a, b in zip(edges[:-1], edges[1:]):
-        if b - a > 1:
-            shared[np.ix_(row[a:b], row[a:b])] += 1
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all pairs of sets, by products of slices of their incidence."""
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count > 1
+    number = np.cumsum(shared) - 1
+    row, code = row[shared[code]], number[code[shared[code]]]
+    order = np.argsort(code, kind="stable")
+    row, code = row[order], code[order]
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    for start in range(0, int(shared.sum()), INCIDENCE):
+        a, b = np.searchsorted(code, [start, start + INCIDENCE])
+        part = np.zeros((len(sets), INCIDENCE), np.float32)
+        part[row[a:b], code[a:b] - start] = 1
+        both += part @ part.T
+    return both
+
+
+def link_block(group: pa.Table, similarity: tuple[int, int]) -> pa.Table:
+    """Links that connect what is similar among a block's members: each with the least member
+    that its links, or links of links, in the block reach. Members of one component are not
+    compared anew."""
     top, bottom = similarity
-    low, high = np.minimum.outer(size, size), np.maximum.outer(size, size)
-    least = np.where(high <= retained, -(-top * high // bottom), need)
-    fit = (shared >= least) & (bottom * low >= top * high)
-    fit &= (part[:, None] != part[None, :]) & (node[:, None] < node[None, :])
-    fit &= home[:, None] | home[None, :]
-    a, b = np.nonzero(fit)
-    return pa.table({"a": node[a], "b": node[b]})
-
-
-def open_pairs(lists, hubs, parts, classes, retained: int, similarity) -> DataFrame:
-    """Pairs that the first round left open: members of one list, in different components, neither
-    of them the list's typical one. A long list goes in blocks, each met by all others."""
-    members = (lists.join(hubs, "value").where("node <> hub").select("value", "node")
-               .join(parts, "node", "left")
-               .select("value", "node", F.coalesce("component", "node").alias("component")))
-    members = stored(members)
+    node, part = group["node"].to_numpy(), group["component"].to_numpy()
+    sets = [np.frombuffer(x, np.uint64) for x in group["shingles"].to_pylist()]
+    size = np.array([len(x) for x in sets])
+    both = overlaps(sets)
+    alike = bottom * both >= top * (size[:, None] + size[None, :] - both)
+    alike &= part[:, None] != part[None, :]
+    label = node.copy()
+    while True:
+        least = np.where(alike, label[None, :], label[:, None]).min(1)
+        if (least == label).all():
+            break
+        label = least
+    return pa.table({"a": node[label != node], "b": label[label != node]})
+
+
+def open_links(lists, hubs, parts, docs, words: int, similarity: tuple[int, int]) -> DataFrame:
+    """Links (a, b) that the first round left open, exact on full sets.
+
+    Two classes that a link may still join are in one list, and in different components. Lists
+    of one typical class have mostly the same members, so they are merged, and members of merged
+    lists that hold several components are compared, in blocks, each met by all others. Links
+    leave a block as a forest, not as all pairs.
+    """
+    members = stored(
+        lists.join(hubs, "value").where("node <> hub").select("hub", "node").distinct()
+        .join(parts, "node", "left")
+        .select("hub", "node", F.coalesce("component", "node").alias("component")))
     unsettled = stored(
-        members.groupBy("value")
+        members.groupBy("hub")
         .agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("m"))
-        .where("x <> y").select("value", F.ceil(F.col("m") / LIST_BLOCK).cast("int").alias("blocks")))
+        .where("x <> y").select("hub", F.ceil(F.col("m") / LIST_BLOCK).cast("int").alias("blocks")))
+    left = stored(members.join(unsettled, "hub"))
+    ids = left.select(F.col("node").alias("doc_id")).distinct()
+    if small_enough(ids, BROADCAST_IDS):
+        ids = F.broadcast(ids)
+    sets = stored(docs.join(ids, "doc_id", "left_semi").select("doc_id", "text")
+                  .mapInArrow(lambda batches: full_sets(batches, words), _FULL))
     blocks = (
-        members.join(unsettled, "value").join(classes.select("node", "n", "sketch"), "node")
+        left.join(sets, "node")
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("value", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                (F.col("block") <= F.col("other")).alias("home"), "node", "component", "n", "sketch"))
-    need = least_common(retained, similarity[0] / similarity[1], MISS)
-    return stored(
-        blocks.groupBy("value", "i", "j")
-        .applyInArrow(lambda group: cross_pairs(group, retained, need, similarity), _PAIRS)
-        .distinct())
+        .select("hub", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                "node", "component", "shingles"))
+    return stored(blocks.groupBy("hub", "i", "j")
+                  .applyInArrow(lambda group: link_block(group, similarity), _PAIRS).distinct())
 
 
 def several_texts(sets: DataFrame, classes: DataFrame) -> DataFrame:
@@ -257,11 +279,10 @@ def near_duplicates(
     links = confirmed(likely, docs, words, similarity).select(F.col("a").alias("u"), F.col("b").alias("v"))
     links = links.unionByName(several_texts(sets, classes))
     parts = stored(component_of(links))
-    rest = open_pairs(lists, hubs, parts, classes, retained, similarity)
+    rest = open_links(lists, hubs, parts, docs, words, similarity)
     if not rest.isEmpty():
-        more = confirmed(rest, docs, words, similarity).select(F.col("a").alias("u"), F.col("b").alias("v"))
-        if not more.isEmpty():
-            parts = stored(component_of(links.unionByName(more)))
+        more = rest.select(F.col("a").alias("u"), F.col("b").alias("v"))
+        parts = stored(component_of(links.unionByName(more)))
     placed = classes.join(parts, "node", "left").select(
         "key_a", "key_b", F.coalesce("component", "node").alias("component_id"))
     return (
