@@ -213,6 +213,21 @@ def test_missing_and_coverage(spark):
     ]
 
 
+@pytest.mark.parametrize("small", [False, True])
+def test_small_cohort_cuts_the_tables_at_the_scan(spark, tmp_path, small):
+    spark.range(1000).selectExpr("cast(id % 50 as string) as uid", "'v' as id", "'t' as table").write.parquet(
+        str(tmp_path / "t"))
+    data = spark.read.parquet(str(tmp_path / "t"))
+    cohort = frame(spark, [("1", "v"), ("2", "v"), ("77", "v")])
+    missing = missing_from(cohort, data, broadcast_keys=small)
+    counts = coverage(cohort, data, frame(spark, [("t",)], "table string"), broadcast_keys=small)
+    assert rows(missing) == [("77", "v")] and rows(counts) == [("t", 2)]
+    for df in (missing, counts):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert ("strategy=broadcast" in plan) is small
+        assert "collect_set" not in plan
+
+
 def test_file_summary_lists_every_file(spark):
     data = frame(spark, [("a", "1", "f1"), ("a", None, "f1"), ("b", "2", "f2"), ("a", "1", "f3"),
                          ("c", "3", "f3"), ("a", "1", "f1")], "uid string, id string, f string")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from assaykit.operators.cohort import file_summary, keep_cohort
-from assaykit.operators.wide import label_wide
+from assaykit.operators.wide import label_wide, sized_label_wide
 from assaykit.plans import split_by_item
 
 SETTINGS = {
@@ -71,6 +71,41 @@ def test_repeated_base_pairs_are_split(spark, hot):
         assert ("skew=true" in final_plan(wide)) is flag
 
 
+def typed(rows, *more):
+    return rows.selectExpr(
+        "uid", "id", "5D as itemresult", "1D as normallowvalue", "9D as normalhighvalue", *more)
+
+
+def test_hot_pair_of_an_item_table_is_split(spark, hot):
+    """Measured with the default limit: the base is small and unique, one item table repeats.
+
+    Its rows are a few bytes each once compressed, so partitions count as large much earlier here.
+    """
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1k")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k")
+    pairs = hot.select("uid", "id").distinct()
+    base = pairs.where("uid = 'hot' or uid like '%7'").selectExpr(
+        "uid", "id", "1L as hospid", "'MAN' as usex", "1D as examage", "'a' as image_path_1",
+        "'b' as image_path_2", "'train' as split",
+    )
+    wide = sized_label_wide(base, [(typed(hot), "a"), (typed(pairs), "b")])
+    rows = wide.collect()
+    assert len(rows) == hot.where("uid = 'hot' or uid like '%7'").count()
+    assert {(r.a, r.b) for r in rows} == {(0, 0)}
+    assert "skew=true" in final_plan(wide)
+
+
+def test_small_base_with_repeats_is_split(spark, hot):
+    base = hot.selectExpr(
+        "uid", "id", "1L as hospid", "'MAN' as usex", "1D as examage", "payload as image_path_1",
+        "payload as image_path_2", "file as split",
+    )
+    item = typed(hot.select("uid", "id").distinct())
+    wide = sized_label_wide(base, [(item, "a"), (item, "b")])
+    assert len(wide.collect()) == N
+    assert "skew=true" in final_plan(wide)
+
+
 def test_hot_item_becomes_many_files(spark, hot, tmp_path):
     hot.selectExpr(
         "encode(case when uid = 'hot' then 'A' else concat('B', id) end, 'utf-8') as itemcode",
