@@ -22,7 +22,7 @@ from .token_counts import rows_batch
 
 LENGTH = 100
 ANCHOR = 32
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 SHARD_BYTES = 16 << 20
 #: Bytes that are hashed at a time; a longer text alone.
 SLICE_BYTES = 1 << 20
@@ -317,7 +317,7 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def cut_texts(batches, text_col: str, length: int):
     """The rows with what is left of the text, as bytes, and the spans that are gone."""
     names = [f.strip().split(" ")[0] for f in _KEPT.split(",")]
-    for batch in with_fields(batches, text=text_col):
+    for batch in chunked(with_fields(batches, text=text_col), "text"):
         rows = []
         for ranges, copy, text in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4))):
             data = (text or "").encode()
