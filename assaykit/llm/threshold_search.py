@@ -18,7 +18,8 @@ SCALE = 1024
 #: Candidates in a block, and queries that go to the tasks at a time.
 BLOCK_ROWS = 16_384
 QUERY_BATCH = 20_000
-#: List entries that a query reads in each dimension before it looks at the bound again.
+#: List entries that a query reads in each dimension before it first looks at the bound; each
+#: next time it reads twice as many.
 STEP = 64
 
 _HITS = "query_id long, vec_id long, score long"
@@ -50,24 +51,30 @@ def threshold_search(query: np.ndarray, vectors: np.ndarray, ids: np.ndarray, li
     weights = query[used]
     met = np.zeros(n, bool)
     best_ids, best = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    depth = 0
+    depth, step = 0, STEP
     while depth < n:
-        upto = min(n, depth + STEP)
+        upto = min(n, depth + step)
         ranks = np.arange(depth, upto)
+        fresh = np.zeros(n, bool)
         if len(used):
-            rows = np.where(weights[:, None] > 0, lists[used[:, None], n - 1 - ranks],
-                            lists[used[:, None], ranks])
-            fresh = np.unique(rows)
+            fresh[np.where(weights[:, None] > 0, lists[used[:, None], n - 1 - ranks],
+                           lists[used[:, None], ranks])] = True
         else:
-            fresh = ranks
-        fresh = fresh[~met[fresh]]
-        met[fresh] = True
-        fresh = fresh[ids[fresh] != own]
-        best_ids = np.concatenate([best_ids, ids[fresh]])
-        best = np.concatenate([best, vectors[fresh] @ query])
+            fresh[ranks] = True
+        fresh &= ~met
+        met |= fresh
+        rows = np.flatnonzero(fresh)
+        rows = rows[ids[rows] != own]
+        scores = (vectors[rows] @ query).astype(np.int64)
+        if len(best) == k:
+            rows, scores = rows[scores >= best[-1]], scores[scores >= best[-1]]
+        best_ids = np.concatenate([best_ids, ids[rows]])
+        best = np.concatenate([best, scores])
         order = np.lexsort((best_ids, -best))[:k]
         best_ids, best = best_ids[order], best[order]
-        depth = upto
+        depth, step = upto, step * 2
+        if met.all():
+            break
         if len(used) and len(best) == k and depth < n:
             edge = np.where(weights > 0, lists[used, n - depth], lists[used, depth - 1])
             if int(weights @ vectors[edge, used]) < best[-1]:
@@ -75,15 +82,24 @@ def threshold_search(query: np.ndarray, vectors: np.ndarray, ids: np.ndarray, li
     return best_ids, best
 
 
+def exact_floats(vectors: np.ndarray, queries: list) -> bool:
+    """Whether all inner products, and their partial sums, are whole numbers that doubles hold."""
+    top = max((int(np.abs(q).max()) for _, q in queries), default=0)
+    return top * int(np.abs(vectors).max(initial=0)) * vectors.shape[1] < 1 << 53
+
+
 def search_block(group: pa.Table, queries: dict, k: int) -> pa.Table:
     """The best of a block for every query of the same width, with ties to the smaller id."""
     width = int(group["width"][0].as_py())
     vectors = as_matrix(group["vector"], width)
     ids = group["vec_id"].to_numpy()
     lists = np.argsort(vectors, axis=0, kind="stable").T.copy()
+    asked = queries.get(width, [])
+    kind = np.float64 if exact_floats(vectors, asked) else np.int64
+    vectors = vectors.astype(kind)
     found = []
-    for name, query in queries.get(width, []):
-        near, scores = threshold_search(query, vectors, ids, lists, k, name)
+    for name, query in asked:
+        near, scores = threshold_search(query.astype(kind), vectors, ids, lists, k, name)
         found.append((np.full(len(near), name), near, scores))
     parts = [np.concatenate(x) for x in zip(*found)] if found else [np.zeros(0, np.int64)] * 3
     return pa.table(dict(zip(("query_id", "vec_id", "score"), parts)))
