@@ -376,22 +376,26 @@ def remove_repeats(
     long_enough = F.octet_length("text") >= length
     digests = docs.where(long_enough).select("doc_id", "mark", F.unhex(F.sha2("text", 256)).alias("sha"))
     originals = digests.groupBy("sha").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
-    copies = stored(
-        digests.join(stored(originals.where("n > 1").drop("n")), "sha").where("doc_id > least")
-        .select("doc_id", "mark").distinct())
-    few = F.broadcast(copies) if small_enough(copies, BROADCAST_IDS) else copies
-    sources = docs.where(long_enough).select("doc_id", "mark", "text").join(
-        few, ["doc_id", "mark"], "left_anti")
+    # Rows of one id and text are one document, of which one row is read; copies of other ids are not.
+    alike = stored(
+        digests.join(stored(originals.where("n > 1").drop("n")), "sha").groupBy("doc_id", "mark")
+        .agg(F.max(F.col("doc_id") > F.col("least")).alias("copy"), F.count("*").alias("n"))
+        .where("copy or n > 1").drop("n"))
+    few = F.broadcast(alike) if small_enough(alike, BROADCAST_IDS) else alike
+    texts = docs.where(long_enough).select("doc_id", "mark", "text")
+    pair = ["doc_id", "mark"]
+    repeated = stored(texts.join(few.where("not copy"), pair, "left_semi").dropDuplicates(pair))
+    sources = texts.join(few, pair, "left_anti").unionByName(repeated)
+    copies = alike.where("copy")
 
     parts = shards(docs, "text", SHARD_BYTES)
     asked = sources.mapInArrow(lambda batches: ask(batches, parts, length), _ASKED)
     found = asked.groupBy("shard").applyInArrow(repeated_anchors, _FOUND)
-    shared = stored(found.groupBy("block").applyInArrow(per_document, _SHARED)
-                    .dropDuplicates(["doc_id", "mark"]))
+    shared = stored(found.groupBy("block").applyInArrow(per_document, _SHARED))
     anchors = shared.agg(F.coalesce(F.sum(F.octet_length("numbers")), F.lit(0))).first()[0]
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                   -(-anchors * 131 // BUCKET_BYTES))
-    runs = sources.join(shared.hint("merge"), ["doc_id", "mark"]).select(
+    runs = sources.join(shared.hint("merge"), pair).select(
         "doc_id", "mark", "text", "numbers", "spread")
     settled = stored(
         runs.mapInArrow(lambda batches: send_runs(batches, buckets, length), _RUNS)

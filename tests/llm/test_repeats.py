@@ -29,6 +29,22 @@ def test_null_ids_come_first(spark):
     assert sorted(r[2] for r in got if r[0] is None) == [0, removed([(1, text)], 100)[0][2]]
 
 
+@pytest.mark.parametrize("block", [1, 1 << 20])
+@pytest.mark.parametrize("parts", [1, 6])
+@pytest.mark.parametrize("given", [7, None])
+def test_repeated_rows_are_one_document(spark, monkeypatch, given, parts, block):
+    """Rows of one id and text keep it, in one block and in several; later ids lose it."""
+    monkeypatch.setattr(repeats, "BLOCK_BYTES", block)
+    rng = random.Random(3)
+    text, other = ("".join(rng.choice("abcdefgh ") for _ in range(400)) for _ in range(2))
+    rows = [(given, text)] * 3 + [(given, other), (8, "x" + text), (9, text), (9, text), (10, other + "y")]
+    # A null id comes first; the texts of one id share nothing, so that their order does not matter.
+    want = [(given if r[0] == -5 else r[0], *r[1:]) for r in
+            removed([(-5 if d is None else d, t) for d, t in rows], 100)]
+    assert [r[2] for r in want[:4]] == [0] * 4
+    assert digest(frame(spark, rows).coalesce(1).repartition(parts), 100) == ordered(want)
+
+
 def passages(seed, n):
     rng = random.Random(seed)
     shared = ["".join(rng.choice("abcd ") for _ in range(rng.randrange(30, 150))) for _ in range(6)]
