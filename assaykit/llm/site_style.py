@@ -32,8 +32,12 @@ BLOCKS = set(
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements of which nothing is text of the page.
 SILENT = set(
-    "audio button canvas datalist embed head iframe input map math meter noframes noscript object "
-    "option output picture progress script select style svg template textarea title video".split())
+    "audio button canvas datalist embed head iframe input map meter noframes noscript object picture "
+    "progress script select style svg template textarea title video".split())
+#: What may stand in a head; anything else ends it, as its closing tag may be left out.
+IN_HEAD = set("base head html link meta noframes noscript script style template title".split())
+#: Silent elements that no closing tag of an outer element ends.
+SEALED = set("object select svg template".split())
 RAW = set("script style textarea title noframes iframe xmp".split())
 NOISE_TAGS = set("aside dialog footer form menu nav search".split())
 NOISE_ROLES = set(
@@ -94,7 +98,9 @@ def blocks_of(page: str):
     """The page's text blocks in order, as (element, text), and its block elements in order."""
     root = Element("", "", False, "")
     stack, elements, blocks, words = [root], [root], [], []
-    at, silent = 0, 0
+    at = 0
+    # The open silent element and the silent elements and blocks that are open inside it.
+    silent: list[str] = []
 
     def flush():
         text = " ".join("".join(words).split())
@@ -108,8 +114,10 @@ def blocks_of(page: str):
 
     while at < len(page):
         m = TOKEN.search(page, at)
+        piece = page[at : m.start() if m else len(page)]
+        if silent == ["head"] and piece.strip():
+            silent.clear()
         if not silent:
-            piece = page[at : m.start() if m else len(page)]
             if piece:
                 words.append(entities.unescape(piece) if "&" in piece else piece)
         if not m:
@@ -119,18 +127,32 @@ def blocks_of(page: str):
         if not tag:
             continue
         closing, attributes = m[1] or m[4], m[3] or m[6] or ""
+        if silent == ["head"] and not closing and tag not in IN_HEAD:
+            silent.clear()
         if tag in RAW and not closing:
             end = re.compile(rf"</{tag}\b[^>]*>|\Z", re.I).search(page, at)
             at = end.end()
             if tag in SILENT or silent:
                 words.append(" ")
                 continue
-        if tag in SILENT and tag not in VOID and not attributes.endswith("/"):
-            silent = max(0, silent + (-1 if closing else 1))
+        if silent and tag == "body" and not closing:
+            silent.clear()
+        if closing and tag in silent:
+            while silent.pop() != tag:
+                pass
             continue
-        if silent and tag != "body":
+        if tag in SILENT and tag not in VOID:
+            if not closing and not attributes.endswith("/") and not (silent and tag == "head"):
+                silent.append(tag)
             continue
-        silent = 0
+        if silent:
+            if not closing:
+                if tag in BLOCKS and tag not in VOID and not attributes.endswith("/"):
+                    silent.append(tag)
+                continue
+            if SEALED.intersection(silent) or tag == "p" or all(e.tag != tag for e in stack):
+                continue
+            silent.clear()
         if tag == "br":
             words.append(" ")
         if tag not in BLOCKS:

@@ -36,6 +36,21 @@ def test_blocks(html, blocks):
     assert text_of(html) == blocks
 
 
+@pytest.mark.parametrize("html,blocks", [
+    ("<select><option>A<option>B</select><article><p>t</article>", ["t"]),
+    ("<select><optgroup><option>A<optgroup><option>B</select><p>t", ["t"]),
+    ("<datalist><option>A<option>B</datalist><p>t</p><select><option>A</option></select><p>u", ["t", "u"]),
+    ("<html><head><meta charset=utf-8><title>x</title><p>t<p>u", ["t", "u"]),
+    ("<head><title>x</title><noscript><p>no</noscript><style>p{}</style>plain", ["plain"]),
+    ("<head><title>x</title></head><body><p>t", ["t"]),
+    ("<div><button>press<p>no</div><p>t", ["t"]),
+    ("<div><canvas><div>no</div>no</canvas>t</div>", ["t"]),
+    ("<article><p>so <math><mi>a</mi><mo>=</mo><mn>1</mn></math> is <output>7</output></article>", ["so a=1 is 7"]),
+])
+def test_text_after_and_in_silent_elements(html, blocks):
+    assert text_of(html) == blocks
+
+
 def test_what_all_pages_share_goes(spark):
     """A box without a telling style is noise where it reads alike on all pages of a host."""
     rows = []
