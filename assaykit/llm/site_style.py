@@ -43,14 +43,16 @@ NOISE_TAGS = set("aside dialog footer form menu nav search".split())
 NOISE_ROLES = set(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search "
     "toolbar".split())
+#: Whole class names or ids. Those that also name ordinary content are not among them.
 NOISE_WORDS = set(
-    "ad ads adbox adslot advert advertisement advertising adverts alert aside banner breadcrumb "
-    "breadcrumbs comment comments consent cookie cookies copyright dialog discussion disqus footer form "
-    "gdpr legal login masthead menu modal nav navbar navigation newsletter notice notices notification "
-    "outbrain pager pagination paywall popup promo promoted promotion recommended related replies reply "
-    "respond search share sharing sidebar signup social sponsor sponsored subscribe subscription taboola "
-    "toolbar topbar widget widgets".split())
+    "ad ads adbox adslot advert advertisement advertising adverts aside banner breadcrumb "
+    "breadcrumbs comment comments consent cookie cookies copyright dialog disqus footer form "
+    "gdpr login masthead menu modal nav navbar navigation newsletter "
+    "outbrain pager pagination paywall popup promo promoted promotion sidebar signup "
+    "sponsor sponsored subscribe subscription taboola toolbar topbar".split())
 MAIN_TAGS = ("article", "main")
+#: Elements that hold the page or its text, whatever their names say.
+UNNAMED = {"html", "body", *MAIN_TAGS}
 #: An element of the key ends the open elements of the value, up to the nearest one of the third.
 IMPLIED_END = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}),
@@ -81,10 +83,10 @@ def opened(parent: Element, tag: str, attributes: str) -> Element:
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)} \
         if attributes else {}
     classes = found.get("class", "").lower()
-    names = set(WORD.findall(f"{classes} {found.get('id', '').lower()}"))
+    names = set() if tag in UNNAMED else {*classes.split(), found.get("id", "").lower()}
     inside = parent.main
     noise = parent.noise or tag in NOISE_TAGS or bool(names & NOISE_WORDS) \
-        or found.get("role", "").lower() in NOISE_ROLES
+        or (found.get("role", "").lower() in NOISE_ROLES and tag not in UNNAMED)
     if (tag == "header" or "header" in names) and not inside:
         noise = True
     main = tag if tag in MAIN_TAGS else "main" if found.get("role", "").lower() == "main" else ""
@@ -192,9 +194,9 @@ def code(text: str) -> int:
 
 
 def kept_blocks(blocks) -> list:
-    """The blocks that no noise style hides; of a page with an article only those in it, else those
-    of its main part, if it has one."""
-    left = [b for b in blocks if not b[0].noise]
+    """The blocks that no noise style hides, or all if it hides every one; of a page with an article
+    only those in it, else those of its main part, if it has one."""
+    left = [b for b in blocks if not b[0].noise] or blocks
     for part in MAIN_TAGS:
         inside = [b for b in left if b[0].main == part]
         if inside:

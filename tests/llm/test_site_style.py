@@ -51,6 +51,18 @@ def test_text_after_and_in_silent_elements(html, blocks):
     assert text_of(html) == blocks
 
 
+@pytest.mark.parametrize("html,blocks", [
+    ("<body class='single no-sidebar'><p>t", ["t"]), ("<body class='has-header'><nav>n</nav><p>t", ["t"]),
+    ("<body class='sidebar'><article class='post category-legal'><p>t</article>", ["t"]),
+    ("<main class='comment' id='footer'><p>t</main>", ["t"]),
+    ("<nav>n</nav><div id='content' class='with-nav'><p>t</div>", ["t"]),
+    ("<div class='legal'><p>t</div><div class='notice'><p>u</div><div class='sidebar x'>no</div>", ["t", "u"]),
+    ("<form id='aspnetForm'><div class='menu'><p>t</div></form>", ["t"]),
+])
+def test_names_do_not_empty_a_page(html, blocks):
+    assert text_of(html) == blocks
+
+
 def test_what_all_pages_share_goes(spark):
     """A box without a telling style is noise where it reads alike on all pages of a host."""
     rows = []
