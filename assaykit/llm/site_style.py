@@ -4,8 +4,10 @@ The pages of a host are merged into one tree of presentation styles: a node is t
 block elements from the body, each with its tag and classes. A node's importance joins the
 entropy of its presentations over the host's pages with that of its contents: what looks and
 reads alike on all pages is noise. Only (host, node, feature) counts travel; a host's
-pages are never brought together. Branches of low importance, and branches whose own style names
-them as navigation, advert, form, comment or the like, are removed from each page.
+pages are never brought together. The tree is built from whole pages; names only lower a node's
+importance in it. Branches of low importance are removed from each page, and blocks of important
+nodes are kept. What the tree leaves open, as too few pages have it, is decided by names and by
+article and main.
 """
 
 from __future__ import annotations
@@ -23,6 +25,10 @@ LEAST_PAGES = 8
 LOW_IMPORTANCE = 0.2
 #: Share of the contents, against the presentations, in a node's importance.
 CONTENT_SHARE = 0.9
+#: What is left of the importance of a node named as noise, and of one with a word of such names.
+NAMED, HINTED = 0.15, 0.5
+#: Weight of text in article or main against other text that the tree leaves open.
+MAIN_WEIGHT = 4
 BROADCAST_HOSTS = 100_000
 
 BLOCKS = set(
@@ -50,6 +56,10 @@ NOISE_WORDS = set(
     "gdpr login masthead menu modal nav navbar navigation newsletter "
     "outbrain pager pagination paywall popup promo promoted promotion sidebar signup "
     "sponsor sponsored subscribe subscription taboola toolbar topbar".split())
+#: Words in class names and ids that make noise more likely.
+HINT_WORDS = NOISE_WORDS | set(
+    "alert discussion legal notice notices notification recommended related replies reply respond "
+    "search share sharing social widget widgets".split())
 MAIN_TAGS = ("article", "main")
 #: Elements that hold the page or its text, whatever their names say.
 UNNAMED = {"html", "body", *MAIN_TAGS}
@@ -68,7 +78,7 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"(?<![^\s\"'/])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 WORD = re.compile(r"[a-z]+")
 
-_NODES = "host string, node long, content long, style long, page long"
+_NODES = "host string, node long, content long, style long, page long, weight double"
 _TEXTS = "page_id long, url string, text string, n_chars long"
 
 
@@ -85,14 +95,16 @@ def opened(parent: Element, tag: str, attributes: str) -> Element:
     classes = found.get("class", "").lower()
     names = set() if tag in UNNAMED else {*classes.split(), found.get("id", "").lower()}
     inside = parent.main
-    noise = parent.noise or tag in NOISE_TAGS or bool(names & NOISE_WORDS) \
+    named = tag in NOISE_TAGS or bool(names & NOISE_WORDS) \
         or (found.get("role", "").lower() in NOISE_ROLES and tag not in UNNAMED)
     if (tag == "header" or "header" in names) and not inside:
-        noise = True
+        named = True
+    noise = parent.noise or named
     main = tag if tag in MAIN_TAGS else "main" if found.get("role", "").lower() == "main" else ""
     if inside == "article" or not main or noise:
         main = inside
-    style = ".".join([tag, *sorted(set(WORD.findall(classes)))])
+    hinted = any(HINT_WORDS.intersection(WORD.findall(name)) for name in names)
+    style = ".".join([tag, *sorted(set(WORD.findall(classes)))]) + ("!" if named else "?" if hinted else "")
     return Element(tag, f"{parent.path}/{style}", noise, main)
 
 
@@ -193,14 +205,18 @@ def code(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
-def kept_blocks(blocks) -> list:
-    """The blocks that no noise style hides, or all if it hides every one; of a page with an article
-    only those in it, else those of its main part, if it has one."""
+def size(blocks) -> int:
+    return sum(len(text) for _, text in blocks)
+
+
+def kept_blocks(blocks, important=frozenset()) -> list:
+    """The blocks that no noise style hides, or all if it hides every one. Text in article or main
+    weighs more than other text: unless that outweighs it, only it and what lies on important paths
+    is kept."""
     left = [b for b in blocks if not b[0].noise] or blocks
-    for part in MAIN_TAGS:
-        inside = [b for b in left if b[0].main == part]
-        if inside:
-            return inside
+    inside = [b for b in left if b[0].main]
+    if inside and MAIN_WEIGHT * size(inside) >= size(left) - size(inside):
+        return [b for b in left if b[0].main or b[0].path in important]
     return left
 
 
@@ -210,9 +226,8 @@ def style_nodes(batches):
         rows = []
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             blocks, elements = blocks_of(page or "")
-            kept = kept_blocks(blocks)
             under: dict[str, list[str]] = {}
-            for element, text in kept:
+            for element, text in blocks:
                 path = element.path
                 while path:
                     under.setdefault(path, []).append(text)
@@ -221,15 +236,18 @@ def style_nodes(batches):
             for element in elements:
                 if element.path in under:
                     looks.setdefault(element.path, []).append(">".join(dict.fromkeys(element.kids)))
-            whole = code("\n".join(text for _, text in kept))
+            # Pages that differ in noise alone count once in the nodes of their text.
+            whole = code("\n".join(text for _, text in kept_blocks(blocks)))
             for path, texts in under.items():
                 look = "|".join(dict.fromkeys(looks.get(path, ())))
-                rows.append((host, code(path), code("\n".join(texts)), code(look), whole))
+                weight = NAMED if "!" in path else HINTED if "?" in path else 1.0
+                rows.append((host, code(path), code("\n".join(texts)), code(look), whole, weight))
         yield rows_batch(rows, _NODES)
 
 
-def low_nodes(pages: DataFrame) -> DataFrame:
-    """(host, node) of branches that look and read alike on the host's pages.
+def judged_nodes(pages: DataFrame) -> DataFrame:
+    """(host, node, low, alike) of nodes on enough of the host's pages: whether its importance is
+    low, and whether it is so without regard to names, as it looks and reads alike on the pages.
 
     Pages of one content count once. With m pages, a content found on c of them has the entropy
     log c / log m; the contents' mean taken from 1 is the content's importance. The entropy of
@@ -237,7 +255,7 @@ def low_nodes(pages: DataFrame) -> DataFrame:
     """
     seen = stored(pages.mapInArrow(style_nodes, _NODES).distinct())
     per = ["host", "node"]
-    pages_of = seen.groupBy(*per).agg(F.count("*").alias("m")).where(F.col("m") >= LEAST_PAGES)
+    pages_of = seen.groupBy(*per).agg(F.count("*").alias("m"), F.min("weight").alias("weight")).where(F.col("m") >= LEAST_PAGES)
     contents = seen.groupBy(*per, "content").agg(F.count("*").alias("c")).groupBy(*per).agg(
         F.avg(F.log("c")).alias("spread"))
     styles = seen.groupBy(*per, "style").agg(F.count("*").alias("c")).groupBy(*per).agg(
@@ -246,24 +264,35 @@ def low_nodes(pages: DataFrame) -> DataFrame:
     content = 1 - F.col("spread") / F.log("m")
     style = 1 - F.col("bound") / (F.col("m") * F.log("m"))
     importance = CONTENT_SHARE * content + (1 - CONTENT_SHARE) * style
-    return both.where(importance < LOW_IMPORTANCE).select(*per)
+    return both.select(*per, (importance * F.col("weight") < LOW_IMPORTANCE).alias("low"),
+                       (importance < LOW_IMPORTANCE).alias("alike"))
+
+
+def without_branches(blocks, low: set[int]) -> list:
+    """The blocks that lie in none of the branches."""
+    known: dict[str, bool] = {}
+
+    def dull(path: str) -> bool:
+        if path not in known:
+            known[path] = bool(path) and (code(path) in low or dull(path.rpartition("/")[0]))
+        return known[path]
+
+    return [b for b in blocks if not dull(b[0].path)]
 
 
 def page_texts(batches):
     for batch in batches:
         rows = []
-        for page_id, url, page, low in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            blocks = kept_blocks(blocks_of(page or "")[0])
-            if low:
-                low, known = set(low), {}
-
-                def dull(path: str) -> bool:
-                    if path not in known:
-                        known[path] = bool(path) and (code(path) in low or dull(path.rpartition("/")[0]))
-                    return known[path]
-
-                blocks = [b for b in blocks if not dull(b[0].path)]
-            text = "\n\n".join(text for _, text in blocks)
+        for page_id, url, page, judged in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            blocks = blocks_of(page or "")[0]
+            important = frozenset()
+            if judged:
+                left = without_branches(blocks, {r["node"] for r in judged if r["low"]})
+                # Names alone leave no page without a text.
+                blocks = left or without_branches(blocks, {r["node"] for r in judged if r["alike"]})
+                high = {r["node"] for r in judged if not r["low"]}
+                important = {path for path in {b[0].path for b in blocks} if code(path) in high}
+            text = "\n\n".join(text for _, text in kept_blocks(blocks, important))
             rows.append((page_id, url, text, len(text)))
         yield rows_batch(rows, _TEXTS)
 
@@ -281,9 +310,10 @@ def main_text(
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^[^/?#]*//([^/?#]*)", 1))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
                         F.col(html_col).alias("html"), host.alias("host"))
-    low = stored(low_nodes(rows.select("host", "html")))
-    lists = stored(low.groupBy("host").agg(F.collect_list("node").alias("low")))
-    if small_enough(low, BROADCAST_HOSTS):
+    judged = stored(judged_nodes(rows.select("host", "html")))
+    lists = stored(judged.groupBy("host").agg(
+        F.collect_list(F.struct("node", "low", "alike")).alias("judged")))
+    if small_enough(judged, BROADCAST_HOSTS):
         lists = F.broadcast(lists)
-    return rows.join(lists, "host", "left").select("page_id", "url", "html", "low").mapInArrow(
+    return rows.join(lists, "host", "left").select("page_id", "url", "html", "judged").mapInArrow(
         page_texts, _TEXTS)

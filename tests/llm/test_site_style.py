@@ -74,6 +74,29 @@ def test_what_all_pages_share_goes(spark):
     assert got == {**{i: f"story number {i}" for i in range(12)}, 50: "Read our terms today\n\nstory number 0"}
 
 
+@pytest.mark.parametrize("html,blocks", [
+    ("<main><h1>T</h1><p>lead</p><article><p>t</p></article></main><footer>f</footer>", ["T", "lead", "t"]),
+    ("<main><p>" + "long " * 99 + "</p><article>teaser</article></main>", [("long " * 99).strip(), "teaser"]),
+    ("<div><p>" + "long " * 99 + "</p><article>teaser</article></div>", [("long " * 99).strip(), "teaser"]),
+])
+def test_a_small_article_hides_nothing(html, blocks):
+    assert text_of(html) == blocks
+
+
+def test_the_tree_decides_on_whole_pages(spark):
+    """What varies from page to page beside an article is kept, what reads alike within it goes, and
+    a name takes effect by lowering importance."""
+    rows = []
+    for i in range(12):
+        rows.append((i, "http://a.example/p", f"<body><nav>menu {i}</nav><div class='lead'>lead {i}</div><article>"
+                     f"<p>story number {i} which is long</p><div class='cta'>Tell friends</div></article>"
+                     f"<div class='related-x'>teaser {i // 6}</div><div class='end'>note {i // 6}</div></body>"))
+    rows += [(20 + i, "http://b.example/p", f"<form><div class='menu'>story {i}</div></form>") for i in range(12)]
+    got = {r.page_id: r.text for r in main_text(pages(spark, rows)).collect()}
+    assert got == {**{i: f"lead {i}\n\nstory number {i} which is long\n\nnote {i // 6}" for i in range(12)},
+                   **{20 + i: f"story {i}" for i in range(12)}}
+
+
 def test_copies_of_a_page_keep_their_text(spark):
     rows = [(i, "http://a.example/", "<article><h1>same</h1><p>text</p></article>") for i in range(30)]
     assert {r.text for r in main_text(pages(spark, rows)).collect()} == {"same\n\ntext"}
