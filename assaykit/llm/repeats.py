@@ -1,10 +1,11 @@
-"""Removal of repeated byte strings by longest-previous-factor arrays over suffix buckets.
+"""Removal of repeated byte strings by equal prefixes of suffixes in anchored buckets.
 
 A string of `length` bytes is found through its anchor: the place of its least hash of ANCHOR
 consecutive bytes. Equal strings have equal anchors, so strings can only repeat where an anchor's
 hash occurs twice. Each anchor owns a run of neighbouring string starts. Runs whose anchor
-repeats are dealt into buckets by that hash; a bucket sorts the suffixes of its runs, and the
-previous smaller position in suffix order tells which strings start earlier elsewhere.
+repeats are dealt into buckets by that hash; a bucket ranks the suffixes of its runs by their
+first `length` bytes, and all but the first of equal ranks start earlier elsewhere. Lengths of
+longest previous factors are not worked out: only whether they reach `length` counts.
 Copies of whole documents, and equal runs within a block of documents, are settled before
 anything travels. An anchor with very many runs is spread over several buckets; what stays open
 there is settled by one more aggregation over the strings themselves.
@@ -250,12 +251,8 @@ def suffix_ranks(text: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
 
 
 def previous_factors(rank: np.ndarray) -> np.ndarray:
-    """For positions 0, 1, ... with ranks of their suffixes: the earlier position that the suffix
-    matches in full rank, or -1.
-
-    Suffix order puts equal suffixes in order of position, so that the previous smaller position
-    is the neighbour before, and the next smaller one never has an equal rank.
-    """
+    """For positions 0, 1, ... with ranks of their suffixes: the last earlier position of equal
+    rank, or -1."""
     order = np.argsort(rank, kind="stable")
     earlier = np.full(len(rank), -1, np.int64)
     same = rank[order[1:]] == rank[order[:-1]]
