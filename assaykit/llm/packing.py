@@ -2,7 +2,8 @@
 
 Tokens come from a lower-casing tokenizer that drops white space. Its pieces of a text are, in
 order, those of the text's parts between blanks and between ASCII letters, digits and
-punctuation, so each distinct lower-cased part is cut once. Only lengths decide the places. Pieces are dealt by hash into shards of a few thousand; within a shard each
+punctuation, so each distinct lower-cased part is cut once. Only lengths decide the places. Pieces are numbered by task and place and dealt by the
+hash of that number into shards of a few thousand; within a shard each
 goes, longest first, where the squared counts of open sequences per residual gap sum to the least.
 """
 
@@ -16,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .arrays import LOWER, SPACED, chunked, distinct_spans, from_ragged, text_bytes
+from .tables import stored
 from .token_counts import byte_classes, holding, rows_batch, special_strings, tokenizer_at
 
 BLOCK_BYTES = 4 << 20
@@ -24,7 +26,8 @@ SHARD_PIECES = 4096
 #: Distinct words of which a task keeps the ids.
 CACHED_WORDS = 400_000
 
-_PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
+_PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary, " \
+    "place long"
 _PLACES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary, " \
     "sequence_id long, offset long"
 
@@ -99,13 +102,17 @@ def token_blocks(batches, path: str, end_id: int, text_col: str):
 
 def pieces_of(batches, path: str, most: int, end_id: int, with_ids: bool):
     """The pieces of every document: all of at most `most` tokens, cut only if longer."""
+    from pyspark import TaskContext
+
+    place = TaskContext.get().partitionId() << 32
     for batch, ids, at in token_blocks(batches, path, end_id, "text"):
         rows = []
         for doc, (a, b) in zip(batch.column(0).to_pylist(), zip(at[:-1].tolist(), at[1:].tolist())):
             for number, start in enumerate(range(a, b, most)):
                 own = ids[start : min(start + most, b)].tobytes()
                 rows.append((doc, number, start - a, len(own) // 4, zlib.crc32(own),
-                             own if with_ids else None))
+                             own if with_ids else None, place))
+                place += 1
         yield rows_batch(rows, _PIECES)
 
 
@@ -148,8 +155,9 @@ def sum_of_squares(lengths: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarr
 
 def pack_shard(key: tuple, group: pa.Table, most: int) -> pa.Table:
     group = group.drop_columns(["shard"]).sort_by(
-        [("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending")]
-    )
+        [("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"),
+         ("place", "ascending")]
+    ).drop_columns(["place"])
     sequence, offset = sum_of_squares(group["length"].to_numpy(), most)
     sequence += key[0].as_py() << 32
     return group.append_column("sequence_id", pa.array(sequence)).append_column(
@@ -171,13 +179,13 @@ def pack_documents(
     at the end of a shard are all that sharding costs.
     """
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    count = max(1, -(-docs.count() // shard_pieces))
-    pieces = chosen.mapInArrow(
+    # Stored, as only the cut texts tell the number of pieces, and texts are cut once.
+    pieces = stored(chosen.mapInArrow(
         lambda batches: pieces_of(batches, tokenizer_path, most, end_id, with_ids), _PIECES
-    )
-    dealt = F.xxhash64("doc_id", "piece", "ids_crc32", "length")
+    ))
+    count = max(1, -(-pieces.count() // shard_pieces))
     return (
-        pieces.withColumn("shard", F.pmod(dealt, F.lit(count)))
+        pieces.withColumn("shard", F.pmod(F.xxhash64("place"), F.lit(count)))
         .groupBy("shard")
         .applyInArrow(lambda key, group: pack_shard(key, group, most), _PLACES)
     )

@@ -47,6 +47,16 @@ def test_ids_are_those_of_the_digest(spark):
         assert zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length <= 4 * 64
 
 
+def test_shards_of_repeated_rows_and_of_long_texts(spark):
+    rows = [(None, "")] * 700 + [(i, "word") for i in range(300)] + [(1000, "a b " * 1000)]
+    got = pack_documents(frame(spark, rows), PATH, most=2, shard_pieces=100).collect()
+    check(got, expected(rows, 2), 2)
+    shards = defaultdict(int)
+    for r in got:
+        shards[r.sequence_id >> 32] += 1
+    assert len(got) > 1900 and max(shards.values()) <= 160
+
+
 def test_empty_table(spark):
     assert pack_documents(frame(spark, []), PATH).collect() == []
 
