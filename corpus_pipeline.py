@@ -52,8 +52,8 @@ def without_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents and their places in sequences of 4096 tokens."""
-    return pack_documents(docs, vocabulary("word_bpe_49k.json"), with_ids=False).drop("ids")
+    """Pieces of the documents with their token ids, and their places in sequences of 4096 tokens."""
+    return pack_documents(docs, vocabulary("word_bpe_49k.json"))
 
 
 STAGES = [

@@ -91,6 +91,11 @@ def test_all_that_is_left_is_packed(steps):
     assert ordered(got) == ordered(want)
 
 
+def test_packed_pieces_hold_their_ids(steps):
+    for r in steps[4][1]:
+        assert len(r["ids"]) == 4 * r["length"] and zlib.crc32(r["ids"]) == r["ids_crc32"]
+
+
 def test_run_is_all_stages(spark, steps):
     got = pipeline.run(spark, SMALL)
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
