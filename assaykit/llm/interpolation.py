@@ -34,7 +34,7 @@ FOLDS = 5
 _BLOCKS = "block long, teaches boolean, ids binary, no_id binary, train binary, starts binary, " \
     "codes binary, words binary"
 _ASKED = "shard int, block long, level int, hashes binary, seen binary"
-_GIVEN = "block long, level int, hashes binary, counts binary"
+_GIVEN = "block long, level int, hashes binary, counts binary, words long, plain long, teaching long"
 _CELLS = "cell long, n long"
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, " \
     "base_score double, score double"
@@ -132,14 +132,14 @@ def give_counts(group: pa.Table) -> pa.Table:
             total[:, code[done : done + len(own)]] += unpack(r["seen"]).reshape(2, -1)
             done += len(own)
         if level == 0:
-            sizes = np.array([(total.sum(0) > 0).sum(), *total.sum(1)])
-            out.append((-1, -1, None, pack(sizes)))
+            out.append((-1, -1, None, None, int((total.sum(0) > 0).sum()), *total.sum(1).tolist()))
         done = 0
         for r, own in zip(held, hashes):
             mine = code[done : done + len(own)]
             done += len(own)
             # The shard is a range of hashes: rows go back together by their first hash.
-            out.append((r["block"], level, pack_sorted(own[:1]), pack(total[:, mine].ravel())))
+            out.append((r["block"], level, pack_sorted(own[:1]), pack(total[:, mine].ravel()),
+                        None, None, None))
     return pa.Table.from_batches([rows_batch(out, _GIVEN)])
 
 
@@ -230,7 +230,7 @@ def score_block(rows: list[dict], order: int, total: int, vocabulary: int, weigh
     for k, estimate in enumerate(found):
         p = p + mixture[:, k + 1] * estimate
     once = counts[0][block.place[0]]
-    base = np.log10((once + 1.0) / ((total + 1.0) * (vocabulary + 1.0)))
+    base = np.log10((once + 1.0) / (total + vocabulary + 1.0))
     n = len(block.train)
     ids = pa.array(np.frombuffer(rows[0]["ids"], np.int64), mask=unpack(rows[0]["no_id"]) > 0)
 
@@ -284,8 +284,8 @@ def score_texts(
     parts = 2 * shards(chosen, "text", SHARD_BYTES)
     asked = blocks.mapInArrow(lambda batches: ask_counts(batches, order, parts), _ASKED)
     given = stored(asked.groupBy("shard").applyInArrow(give_counts, _GIVEN))
-    sizes = [unpack(r.counts) for r in given.where("block < 0").select("counts").collect()]
-    vocabulary, plain, teaching = np.sum(sizes, axis=0).tolist() if sizes else (0, 0, 0)
+    sizes = [F.coalesce(F.sum(name), F.lit(0)) for name in ("words", "plain", "teaching")]
+    vocabulary, plain, teaching = given.where("block < 0").agg(*sizes).first()
 
     given = given.where("block >= 0")
     taught = with_counts(blocks.where("teaches"), given.where("block % 2 = 1"))

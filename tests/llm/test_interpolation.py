@@ -9,7 +9,7 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 
 from assaykit.llm import interpolation, queries
-from assaykit.llm.interpolation import BUCKETS, learn_weights, rounded, score_texts
+from assaykit.llm.interpolation import learn_weights, score_texts
 from assaykit.llm.tables import crc_fold
 
 
@@ -17,6 +17,32 @@ def crc(doc, folds):
     return None if doc is None else zlib.crc32(str(doc).encode()) % folds
 
 
+BUCKETS, STEPS, ROUNDS = 16, 4, 40
+
+
+def rounded(p):
+    """0 for no probability, else 1 and the steps of a quarter octave below 1, 254 at most."""
+    return min(round(-math.log2(p) * STEPS), 254) + 1 if p else 0
+
+
+def mixture(cells, order, vocabulary):
+    """Weights per bucket by expectation-maximisation over (bucket, rounded estimates) counts."""
+    def probabilities(steps):
+        return [1 / (vocabulary + 1), *(2.0 ** (-(s - 1) / STEPS) if s else 0.0 for s in steps)]
+
+    even = [1 / (order + 1)] * (order + 1)
+    buckets = {b for b, _ in cells}
+    weights = dict.fromkeys(buckets, even)
+    for _ in range(ROUNDS):
+        sums = {b: [0.01] * (order + 1) for b in buckets}
+        for (b, steps), n in cells.items():
+            share = [w * p for w, p in zip(weights[b], probabilities(steps))]
+            for k, x in enumerate(share):
+                sums[b][k] += n * x / sum(share)
+        weights = {b: [x / sum(s) for x in s] for b, s in sums.items()}
+    return lambda b: weights.get(b, even)
+
+
 def expected(rows, order=2):
     """(id, held_out, n_tokens, n_known, train_tokens, base, score) by plain counting."""
     docs = [(d, [*words(t), None]) for d, t in rows]
@@ -44,14 +70,12 @@ def expected(rows, order=2):
     cells = Counter()
     for own, (_, w) in zip(teaches, docs):
         for bucket, found in tokens(w, plain, rest) if own else ():
-            for p in found:
-                bucket = bucket * 256 + int(rounded(np.array([p]))[0])
-            cells[bucket] += 1
-    weights = learn_weights(np.array(list(cells), np.int64), np.array(list(cells.values())), order, vocabulary)
+            cells[bucket, tuple(map(rounded, found))] += 1
+    weights = mixture(cells, order, vocabulary)
     out = []
     for t, (d, w) in zip(train, docs):
-        base = sum(math.log10((counts[(x,)] + 1) / ((total + 1) * (vocabulary + 1))) for x in w)
-        score = sum(math.log10(weights[b][0] / (vocabulary + 1) + sum(x * p for x, p in zip(weights[b][1:], f)))
+        base = sum(math.log10((counts[(x,)] + 1) / (total + 1 * (vocabulary + 1))) for x in w)
+        score = sum(math.log10(weights(b)[0] / (vocabulary + 1) + sum(x * p for x, p in zip(weights(b)[1:], f)))
                     for b, f in tokens(w, counts, total))
         out.append((d, not t, len(w), sum(counts[(x,)] > 0 for x in w), total, base, score))
     return out
@@ -87,7 +111,20 @@ def test_whole_table(spark):
     got = queries.op7_interpolation(spark, SMALL).collect()
     compare(got, docs)
     held = [r for r in got if r.held_out]
-    assert sum(r.score for r in held) > 0.6 * sum(r.base_score for r in held)
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_base_probabilities_sum_to_one(spark):
+    """Over every training token once, and one token never seen."""
+    corpus = [(d, t) for d, t in HARD if d is not None]
+    known = sorted({w for d, t in corpus if crc(d, 7) != 2 for w in words(t)})
+    probe = [(10_000 + i, w) for i, w in enumerate(["neverseenbefore", *known])]
+    docs = frame(spark, corpus + probe)
+    train = (F.col("doc_id") < 10_000) & (crc_fold("doc_id", 7) != 2)
+    got = {r.doc_id: r.base_score for r in score_texts(docs, train).collect()}
+    end = got[2]  # a null text is the end alone
+    total = 10 ** end + sum(10 ** (got[d] - end) for d, _ in probe)
+    assert total == pytest.approx(1)
 
 
 def test_weights_prefer_what_predicts():
