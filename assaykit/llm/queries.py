@@ -10,6 +10,7 @@ from .repeats import remove_repeats, repeats_digest
 from .tables import crc_fold, table
 from .rule_ensemble import score_quality
 from .site_style import main_text
+from .source_mix import mix_sources
 from .threshold_search import top_k
 from .token_counts import count_tokens
 from .toxicity import score_toxicity
@@ -64,6 +65,11 @@ def op10_near_duplicates(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_cube_mix(spark, sf_dir):
+    names = ["doc_id", "size", "source_size", "target", "taken"]
+    return mix_sources(table(spark, sf_dir, "documents")).select(*names)
+
+
 def queries() -> dict:
     return {
         "op1_rule_ensemble": op1_rule_ensemble,
@@ -76,6 +82,7 @@ def queries() -> dict:
         "op8_repeats": op8_repeats,
         "op9_site_style": op9_site_style,
         "op10_near_duplicates": op10_near_duplicates,
+        "op13_cube_mix": op13_cube_mix,
     }
 
 
