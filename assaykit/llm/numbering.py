@@ -14,11 +14,12 @@ def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     range, and moved on by the sizes of the ranges before. Equal rows are numbered in any order.
     The driver sees nothing; the sizes, one a range, are broadcast.
     """
-    ranged = df.repartitionByRange(*order).withColumn("__range", F.spark_partition_id())
-    inside = Window.partitionBy("__range").orderBy(*order)
-    placed = stored(ranged.withColumn("__place", F.row_number().over(inside).cast("long") - 1))
-    sizes = placed.groupBy("__range").agg(F.count("*").alias("n"))
+    # The id holds the partition above bit 33 and the place in it below.
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = stored(ranged.withColumn("__at", F.monotonically_increasing_id()))
+    place = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = placed.groupBy(F.shiftright("__at", 33).alias("__range")).agg(F.count("*").alias("n"))
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("__range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
-    return placed.join(F.broadcast(starts), "__range").withColumn(
-        name, F.col("__start") + F.col("__place")).drop("__range", "__place", "__start")
+    moved = placed.withColumn("__range", F.shiftright("__at", 33)).join(F.broadcast(starts), "__range")
+    return moved.withColumn(name, F.col("__start") + place).drop("__range", "__at", "__start")

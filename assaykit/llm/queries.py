@@ -6,6 +6,7 @@ from .fm_index import contamination_digest, find_contamination
 from .interpolation import score_texts
 from .near_duplicates import near_duplicates
 from .packing import pack_documents
+from .prefix_trie import prefix_trie
 from .repeats import remove_repeats, repeats_digest
 from .tables import crc_fold, table
 from .rule_ensemble import score_quality
@@ -65,6 +66,10 @@ def op10_near_duplicates(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_cube_mix(spark, sf_dir):
     names = ["doc_id", "size", "source_size", "target", "taken"]
     return mix_sources(table(spark, sf_dir, "documents")).select(*names)
@@ -82,6 +87,7 @@ def queries() -> dict:
         "op8_repeats": op8_repeats,
         "op9_site_style": op9_site_style,
         "op10_near_duplicates": op10_near_duplicates,
+        "op12_prefix_trie": op12_prefix_trie,
         "op13_cube_mix": op13_cube_mix,
     }
 
