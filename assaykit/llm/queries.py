@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .collocations import collocations
 from .fm_index import contamination_digest, find_contamination
 from .interpolation import score_texts
 from .near_duplicates import near_duplicates
@@ -66,6 +67,10 @@ def op10_near_duplicates(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark, sf_dir):
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_prefix_trie(spark, sf_dir):
     return prefix_trie(table(spark, sf_dir, "conversations"))
 
@@ -87,6 +92,7 @@ def queries() -> dict:
         "op8_repeats": op8_repeats,
         "op9_site_style": op9_site_style,
         "op10_near_duplicates": op10_near_duplicates,
+        "op11_collocations": op11_collocations,
         "op12_prefix_trie": op12_prefix_trie,
         "op13_cube_mix": op13_cube_mix,
     }
