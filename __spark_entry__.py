@@ -24,6 +24,7 @@ from assaykit.functions.text import (  # noqa: E402
 )
 from assaykit.operators import cohort as cohorts  # noqa: E402
 from assaykit.operators import convert, items as splitting, profile, wide  # noqa: E402
+from assaykit.operators.coverage import inner_rows  # noqa: E402
 from assaykit.plans import (  # noqa: E402
     convert_item_table,
     export_labels,
@@ -78,8 +79,8 @@ def label_export(spark, sf_dir):
 def label_dataset(spark, sf_dir):
     """The export written, checked, published and read back."""
     output = f"{scratch(spark)}/wide.parquet"
-    expected = label_export(spark, sf_dir).count()
-    export_labels(*label_inputs(spark, sf_dir), output, expected_rows=expected)
+    base, items = label_inputs(spark, sf_dir)
+    export_labels(base, items, output, expected_rows=inner_rows([base, *[item for item, _ in items]]))
     return spark.read.parquet(output)
 
 

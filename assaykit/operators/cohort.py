@@ -7,9 +7,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from assaykit.operators.bloom import thinned
+from assaykit.operators.coverage import TABLE, key_matrix, missing_pairs, numbered_keys, table_coverage
 from assaykit.schema import KEYS
 from assaykit.sizing import BROADCAST_LIMIT, fits_broadcast, hint_broadcast, text_bytes
 from assaykit.sources.cohort import distinct_keys, key_columns, key_rows
+from assaykit.sources.local import local_frame
 
 
 def distinct_pairs(cohort: DataFrame) -> DataFrame:
@@ -22,14 +25,20 @@ def distinct_pairs(cohort: DataFrame) -> DataFrame:
     return pairs.select(*[F.col(f"pair.{name}").alias(name) for name in KEYS])
 
 
-def keep_cohort(df: DataFrame, cohort: DataFrame, broadcast_keys: bool = False) -> DataFrame:
+def keep_cohort(
+    df: DataFrame, cohort: DataFrame, broadcast_keys: bool = False, bloom_keys: int | None = None
+) -> DataFrame:
     """Rows whose whole (uid, id) pair is a cohort key; columns and bytes untouched.
 
     ``broadcast_keys`` is for a key set whose size was measured. Without it Spark
-    decides, and in a shuffled join AQE splits a hot pair on the data side.
+    decides, and in a shuffled join AQE splits a hot pair on the data side. ``bloom_keys``, the
+    measured number of distinct keys, puts a Bloom filter of that size before such a
+    join, so that few rows beyond the kept ones are shuffled.
     """
     temporary = [f"__key_{name}" for name in KEYS]
     keyed = df.withColumns(dict(zip(temporary, key_columns(df))))
+    if bloom_keys and not broadcast_keys:
+        keyed = thinned(keyed, [F.col(t) for t in temporary], key_rows(cohort).dropna(), bloom_keys)
     keys = distinct_pairs(cohort)
     wanted = keys.select(*[F.col(name).alias(t) for name, t in zip(KEYS, temporary)])
     kept = keyed.join(hint_broadcast(wanted, broadcast_keys), temporary, "left_semi")
@@ -45,13 +54,11 @@ def missing_from(cohort: DataFrame, item: DataFrame, broadcast_keys: bool = Fals
     """Cohort keys for which the item table has no row.
 
     ``broadcast_keys`` is for a cohort whose size was measured: it cuts the item
-    table down where it is read. Repeats are dropped before the shuffle, as an anti
-    join cannot split them.
+    table down where it is read. Both sides meet in one aggregation.
     """
-    wanted = distinct_keys(cohort)
     if broadcast_keys:
-        item = key_rows(item).join(F.broadcast(wanted), KEYS, "left_semi")
-    return wanted.join(distinct_keys(item), KEYS, "left_anti")
+        item = key_rows(item).join(F.broadcast(distinct_keys(cohort)), KEYS, "left_semi")
+    return missing_pairs(key_matrix(cohort, numbered_keys([item]), 1))
 
 
 def tag_tables(tables: Sequence[tuple[str, DataFrame]]) -> DataFrame:
@@ -67,19 +74,18 @@ def coverage(
 ) -> DataFrame:
     """``table, count``: cohort keys that have a row in each listed item table.
 
-    ``present`` holds ``table, uid, id`` of all item tables. Cohort pairs are kept
-    first, at the scan if the cohort was measured to be small; repeats are dropped
-    by hash, on the map side too, and what is left is counted.
+    ``present`` holds ``table, uid, id`` of all item tables, ``listed`` the names, which the driver
+    sees. One aggregation gives every pair a bit per table; a cohort measured to be small
+    cuts the rows at the scan before it.
     """
-    wanted = hint_broadcast(distinct_pairs(cohort), broadcast_keys)
-    matched = present.select("table", *KEYS).join(wanted, KEYS, "left_semi").distinct()
-    found = matched.groupBy("table").agg(F.count("*").alias("found"))
-    return (
-        listed.select("table")
-        .join(found, "table", "left")
-        .select("table", F.coalesce("found", F.lit(0)).cast("bigint").alias("count"))
-        .orderBy("table")
-    )
+    names = sorted({row["table"] for row in listed.select("table").collect()})
+    numbers = local_frame(
+        cohort.sparkSession, {"table": names, TABLE: range(len(names))}, f"table string, {TABLE} int")
+    pairs = [col.alias(name) for name, col in zip(KEYS, key_columns(present))]
+    keys = present.select("table", *pairs).dropna().join(F.broadcast(numbers), "table").select(*KEYS, TABLE)
+    if broadcast_keys:
+        keys = keys.join(F.broadcast(distinct_pairs(cohort)), KEYS, "left_semi")
+    return table_coverage(key_matrix(cohort, keys, len(names)), names)
 
 
 def key_stats(cohort: DataFrame) -> DataFrame:

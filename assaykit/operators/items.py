@@ -80,6 +80,26 @@ def item_counts(df: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
+def item_chunks(df: DataFrame, items: DataFrame, number: str, step: int) -> DataFrame:
+    """``line, chunk, rows``: listed items' rows among each ``step`` consecutive row numbers.
+
+    Reads the code column, and decodes every code strictly, listed or not. Counted before the
+    shuffle: a task sends one row per code and chunk that it reads.
+    """
+    chunk = F.floor(F.col(number) / F.lit(step)).cast("bigint").alias("chunk")
+    counts = df.select(code_text(df).alias("itemcode"), chunk).groupBy("itemcode", "chunk").count()
+    wanted = items.select("itemcode", "line")
+    return counts.join(wanted, "itemcode").select("line", "chunk", F.col("count").alias("rows"))
+
+
+def counts_of(chunks: DataFrame, items: DataFrame) -> DataFrame:
+    """``item_counts`` from the counts of chunks."""
+    rows = chunks.groupBy("line").agg(F.sum("rows").alias("found"))
+    return items.join(rows, "line", "left").select(
+        "line", "itemname", "itemcode", F.coalesce("found", F.lit(0)).cast("bigint").alias("rows"), "filename"
+    ).orderBy("line")
+
+
 def total_rows(summary: DataFrame) -> DataFrame:
     """All rows over all items or files."""
     return summary.agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("rows"))

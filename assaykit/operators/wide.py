@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from assaykit.functions.labels import range_label
-from assaykit.operators.cohort import key_stats
+from assaykit.operators.heavy import HEAVY_ROWS, SALT, measure, salted, without
 from assaykit.schema import BASE_COLUMNS, KEYS, SPLIT_COLUMN, require_columns, require_double
 from assaykit.sizing import BROADCAST_LIMIT, fits_broadcast
 from assaykit.sources.cohort import distinct_keys
@@ -39,8 +39,7 @@ def label_wide(
     base: DataFrame,
     items: Sequence[tuple[DataFrame, str]],
     broadcast_base: bool = False,
-    repeated_keys: bool = False,
-    repeated_items: Sequence[str] = (),
+    dealt: dict[int, tuple[int, int]] | None = None,
 ) -> DataFrame:
     """Base rows present in every item table, with their labels, ordered by key.
 
@@ -51,10 +50,9 @@ def label_wide(
     ``broadcast_base``: the base's keys were measured to be small. They first cut
     every item table down where it is read, and only matching rows are shuffled.
 
-    ``repeated_keys``: a base pair may occur many times. Labels are then worked
-    out once per distinct pair and joined back in a join that AQE can split.
-    ``repeated_items`` names the labels whose tables repeat pairs: they are joined
-    after the others, each in a join of its own that AQE can split.
+    ``dealt`` names heavy pairs by hash, as ``Measured.dealt`` does (table 0 is the base). Their
+    rows are joined apart from the others: the table with the most rows of a pair deals them
+    over several tasks, and the other tables repeat theirs for each.
     """
     names = [name for _, name in items]
     require_label_names(names)
@@ -62,17 +60,14 @@ def label_wide(
     require_columns(base.columns, [*base_names, SPLIT_COLUMN], "base table")
     labels = [item_label(item, name) for item, name in items]
     kept = base.select(*base_names, SPLIT_COLUMN)
-    keys = distinct_keys(base)
     if broadcast_base:
+        keys = distinct_keys(base)
         labels = [label.join(F.broadcast(keys), KEYS, "left_semi") for label in labels]
-    unique = [label for name, label in zip(names, labels) if name not in repeated_items]
-    hot = [label for name, label in zip(names, labels) if name in repeated_items]
-    if repeated_keys:
-        joined = _on_keys(kept, _shuffled_apart(reduce(_on_keys, unique, keys)))
-    else:
-        joined = reduce(_on_keys, unique, kept)
-    for label in hot:
-        joined = _on_keys(_shuffled_apart(joined), label)
+    tables = [kept, *labels]
+    joined = _on([without(df, list(dealt or ())) for df in tables], KEYS)
+    if dealt:
+        apart = [salted(df, number, dealt) for number, df in enumerate(tables)]
+        joined = joined.unionByName(_on(apart, [*KEYS, SALT]).drop(SALT))
     typed = [F.col(name).cast(kind).alias(name) for name, kind in BASE_COLUMNS]
     return joined.select(*typed, *names, F.col(SPLIT_COLUMN).cast("string")).orderBy(*KEYS)
 
@@ -81,23 +76,17 @@ def sized_label_wide(
     base: DataFrame,
     items: Sequence[tuple[DataFrame, str]],
     broadcast_limit: int = BROADCAST_LIMIT,
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
-    """``label_wide`` with its choices made from the measured keys of all tables."""
-    stats = key_stats(base).first()
-    counts = [(name, key_stats(item).first()) for item, name in items]
+    """``label_wide`` with its choices made from one pass over the keys of all tables."""
+    found = measure([base, *[item for item, _ in items]], heavy_rows)
     return label_wide(
         base,
         items,
-        broadcast_base=fits_broadcast(stats["key_bytes"], broadcast_limit),
-        repeated_keys=stats["rows"] > stats["keys"],
-        repeated_items=[name for name, found in counts if found["rows"] > found["keys"]],
+        broadcast_base=fits_broadcast(found.key_bytes[0], broadcast_limit),
+        dealt=found.dealt(heavy_rows),
     )
 
 
-def _on_keys(left: DataFrame, right: DataFrame) -> DataFrame:
-    return left.join(right, KEYS, "inner")
-
-
-def _shuffled_apart(rows: DataFrame) -> DataFrame:
-    """The same rows, rebalanced so that the next join shuffles them itself."""
-    return rows.hint("rebalance")
+def _on(tables: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    return reduce(lambda left, right: left.join(right, list(keys), "inner"), tables)

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from assaykit.operators.cohort import keep_cohort, key_stats
+from assaykit.operators.digest import observed_digest, require_same_content
+from assaykit.operators.place import in_ranges
 from assaykit.sinks.publish import (
     fill_empty,
     parquet_writer,
@@ -18,9 +20,10 @@ from assaykit.sinks.publish import (
     staging,
     write_csv,
 )
-from assaykit.sizing import BROADCAST_LIMIT, fits_broadcast
+from assaykit.sizing import BROADCAST_LIMIT, fits_broadcast, partitions_for
 from assaykit.sources.cohort import key_columns, read_cohort
 from assaykit.sources.directory import (
+    NUMBER,
     SOURCE,
     Origin,
     list_sources,
@@ -48,9 +51,11 @@ def filter_by_cohort(
 ) -> DataFrame:
     """Write each source's cohort rows under its own name and the summary; return the summary.
 
-    A key set measured to fit is broadcast and cuts the rows at the scan; a larger
-    one is joined by shuffle. Either way the kept rows are ranged into input order,
-    so that a source's files are few and in order.
+    A key set measured to fit is broadcast and cuts the rows at the scan. A larger
+    one is joined by shuffle, behind a Bloom filter of its keys at the scan. Either way the
+    kept rows go into ranges of their row numbers, known from footers, so that a source's
+    files are few and in order without sampling. What was written is read back and
+    compared by its digest.
 
     Sources may differ in schema and each keeps its own. ``report`` is given the
     cohort's counts: rows, distinct pairs, and rows that repeat one or lack a part.
@@ -78,20 +83,23 @@ def filter_by_cohort(
 
     directory = storage.qualify(source_dir)
     with staging(spark, target_dir) as stage:
-        # Every footer is opened once: what they say is kept per source and schema.
+        # Every footer is opened once: what they say is kept.
         name = source_name(directory, F.col("path")).alias("filename")
-        counts = read_footers(spark, sources).groupBy(name, "schema").agg(F.sum("rows").alias("rows"))
-        counts.write.parquet(f"{stage}/footers")
-        counts = spark.read.parquet(f"{stage}/footers")
+        read_footers(spark, sources).write.parquet(f"{stage}/footers")
+        footers = spark.read.parquet(f"{stage}/footers")
+        counts = footers.groupBy(name, "schema").agg(F.sum("rows").alias("rows"))
         groups = _schema_groups(counts, sources)
         staged, stored = {}, []
         for number, group in enumerate(groups):
             rows = scan(spark, group)
             key_columns(rows, source_dir)
-            origin = Origin.of(group, directory)
+            origin = Origin.of(group, directory, footers)
             data = f"{stage}/data-{number}"
-            kept = retained_rows(rows, cohort, origin, small)
+            kept = retained_rows(rows, cohort, origin, small, stats["keys"])
+            kept, seen = observed_digest(kept, kept.columns)
             parquet_writer(kept, compression).partitionBy(SOURCE).save(data)
+            back = spark.read.schema(kept.schema).parquet(data)
+            require_same_content(seen, back, kept.columns, target_dir)
             found = {
                 origin.name_of(child.name.split("=", 1)[1]): child.path
                 for child in storage.children(data, f"{SOURCE}=*")
@@ -116,12 +124,12 @@ def filter_by_cohort(
 
 
 def retained_rows(
-    rows: DataFrame, cohort: DataFrame, origin: Origin, small: bool
+    rows: DataFrame, cohort: DataFrame, origin: Origin, small: bool, keys: int | None = None
 ) -> DataFrame:
     """Cohort rows in input order, with their source."""
-    kept = keep_cohort(origin.add(rows), cohort, broadcast_keys=small)
-    kept = kept.repartitionByRange(*origin.order())
-    return kept.sortWithinPartitions(*origin.order()).drop(*origin.columns[1:])
+    kept = keep_cohort(origin.add(rows), cohort, broadcast_keys=small, bloom_keys=keys)
+    partitions = partitions_for(rows.sparkSession, origin.size, origin.rows)
+    return in_ranges(kept, NUMBER, origin.rows, partitions).drop(NUMBER)
 
 
 def read_filter_summary(spark: SparkSession, path: str) -> DataFrame:

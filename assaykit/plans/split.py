@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assaykit.operators.items import item_counts, output_columns, prune_codes, select_items
+from assaykit.operators.digest import observed_digest, require_same_content
+from assaykit.operators.items import counts_of, item_chunks, output_columns, prune_codes, select_items
+from assaykit.operators.place import in_groups, ranks
 from assaykit.schema import RAW_REQUIRED, require_columns
 from assaykit.sinks.publish import (
     fill_empty,
@@ -17,13 +19,25 @@ from assaykit.sinks.publish import (
     write_csv,
 )
 from assaykit.sources.dictionary import read_items
-from assaykit.sources.directory import Origin, list_sources, require_same_schema, scan
+from assaykit.sizing import ROW_OVERHEAD, fits_broadcast, hint_broadcast, partitions_for
+from assaykit.sources.directory import (
+    NUMBER,
+    SOURCE,
+    Origin,
+    list_sources,
+    read_footers,
+    require_same_schema,
+    scan,
+)
 from assaykit.sources.local import local_frame
 from assaykit.storage import Storage
 
 SUMMARY = "export_summary.csv"
 SUMMARY_SCHEMA = "itemname string, itemcode string, rows bigint, filename string"
 ITEM = "__item"
+# Most pairs of an item and a chunk of rows that are counted apart, and chunks a partition.
+MOST_CHUNKS = 1_000_000
+CHUNKS_PER_PARTITION = 4
 
 
 def split_by_item(
@@ -38,11 +52,12 @@ def split_by_item(
 ) -> DataFrame:
     """Write one dataset per item and the summary; return the summary.
 
-    The code column is read once to count (and strictly decode) every code, then
-    the needed columns are read with the codes pushed to the scan. Rows are ranged
-    by item and input order, so that an item's files, and the rows in them, are in
-    input order and a hot item is cut into several files. Spark samples the ranges
-    from one more read of the source.
+    The code column is read once to count (and strictly decode) every code, per chunk
+    of the input; then the needed columns are read with the codes pushed to the scan.
+    Footers number all rows, and the counts say which partition a numbered row of an item
+    falls in: an item's files, and the rows in them, are in input order, and a hot item is
+    cut into several files of the session's advisory size, without sampling. What was
+    written is read back and compared by its digest.
     """
     require_codec(compression)
     storage = Storage(spark)
@@ -62,40 +77,56 @@ def split_by_item(
     refuse_overlap([*targets, summary_target], [entry.path for entry in sources])
     refuse_existing(spark, target_dir, [*filenames, SUMMARY], overwrite)
 
-    require_same_schema(spark, sources)
-    origin = Origin.of(sources, storage.qualify(input_dir))
-    counted = item_counts(raw, items).collect()
-    with staging(spark, target_dir) as stage:
-        found = [row for row in counted if row.rows]
-        data = f"{stage}/data"
-        if found:
-            selected = selected_rows(raw, origin, [(r.itemcode, r.line) for r in found])
-            order = [F.col(ITEM), *origin.order()]
-            placed = selected.repartitionByRange(*order)
-            writer = parquet_writer(
-                placed.sortWithinPartitions(*order).drop(*origin.columns), compression
-            )
-            if max_rows_per_file:
-                writer = writer.option("maxRecordsPerFile", max_rows_per_file)
-            writer.partitionBy(ITEM).save(data)
-            _require_counts(spark, data, {row.line: row for row in found})
-
-        staged = {row.line: f"{data}/{ITEM}={row.line}" for row in found}
-        empty = {row.line: f"{stage}/empty-{row.line}" for row in counted if not row.rows}
-        fill_empty(spark, raw.select(*output_columns(raw)), list(empty.values()), compression)
-        staged.update(empty)
-
-        names = ["itemname", "itemcode", "rows", "filename"]
-        report = {name: [row[name] for row in counted] for name in names}
-        summary = local_frame(spark, report, SUMMARY_SCHEMA)
-        write_csv(summary.coalesce(1), f"{stage}/summary")
-        moves = [(staged[row.line], target) for row, target in zip(counted, targets)]
-        publish(spark, stage, [*moves, (f"{stage}/summary", summary_target)])
+    footers = read_footers(spark, sources).persist()
+    try:
+        require_same_schema(footers)
+        origin = Origin.of(sources, storage.qualify(input_dir), footers)
+        numbered = origin.add(raw)
+        wished = partitions_for(spark, origin.size, origin.rows)
+        chunks = min(CHUNKS_PER_PARTITION * wished, max(1, MOST_CHUNKS // len(filenames)))
+        step = max(1, -(-origin.rows // chunks))
+        with staging(spark, target_dir) as stage:
+            item_chunks(numbered, items, NUMBER, step).write.parquet(f"{stage}/chunks")
+            spread = spark.read.parquet(f"{stage}/chunks")
+            counted = counts_of(spread, items).collect()
+            found = [row for row in counted if row.rows]
+            data = f"{stage}/data"
+            if found:
+                rows = sum(row.rows for row in found)
+                partitions = partitions_for(spark, origin.size * rows // origin.rows, rows)
+                ranked = ranks(spread.withColumnRenamed("line", ITEM), ITEM)
+                small = fits_broadcast(ROW_OVERHEAD * len(found) * chunks)
+                selected = selected_rows(raw, origin, [(r.itemcode, r.line) for r in found])
+                placed = in_groups(
+                    selected, ITEM, NUMBER, hint_broadcast(ranked, small), step, rows, partitions
+                ).drop(SOURCE, NUMBER)
+                placed, seen = observed_digest(placed, placed.columns)
+                writer = parquet_writer(placed, compression)
+                if max_rows_per_file:
+                    writer = writer.option("maxRecordsPerFile", max_rows_per_file)
+                writer.partitionBy(ITEM).save(data)
+                _require_counts(spark, data, {row.line: row for row in found})
+                back = spark.read.schema(placed.schema).parquet(data)
+                require_same_content(seen, back, placed.columns, target_dir)
+
+            staged = {row.line: f"{data}/{ITEM}={row.line}" for row in found}
+            empty = {row.line: f"{stage}/empty-{row.line}" for row in counted if not row.rows}
+            fill_empty(spark, raw.select(*output_columns(raw)), list(empty.values()), compression)
+            staged.update(empty)
+
+            names = ["itemname", "itemcode", "rows", "filename"]
+            report = {name: [row[name] for row in counted] for name in names}
+            summary = local_frame(spark, report, SUMMARY_SCHEMA)
+            write_csv(summary.coalesce(1), f"{stage}/summary")
+            moves = [(staged[row.line], target) for row, target in zip(counted, targets)]
+            publish(spark, stage, [*moves, (f"{stage}/summary", summary_target)])
+    finally:
+        footers.unpersist()
     return summary
 
 
 def selected_rows(raw: DataFrame, origin: Origin, codes: list[tuple[str, int]]) -> DataFrame:
-    """Decoded rows of the given codes with their item number and origin.
+    """Decoded rows of the given codes with their item number, source and row number.
 
     Every code was decoded strictly when it was counted, so the scan may compare
     stored bytes and skip row groups.

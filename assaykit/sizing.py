@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Estimated bytes in memory up to which a measured key set is broadcast.
 BROADCAST_LIMIT = 128 * 1024 * 1024
@@ -25,3 +25,20 @@ def fits_broadcast(size: int, limit: int = BROADCAST_LIMIT) -> bool:
 def hint_broadcast(df: DataFrame, fits: bool) -> DataFrame:
     """Broadcast a frame whose size was checked, else leave the join to AQE."""
     return F.broadcast(df) if fits else df
+
+
+# Rows below which a task of its own does not pay.
+TASK_ROWS = 50_000
+
+
+def advisory_bytes(spark: SparkSession) -> int:
+    """The session's size of a partition, which is that of an output file too."""
+    value = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(value)
+
+
+def partitions_for(spark: SparkSession, size: int, rows: int) -> int:
+    """Partitions for so many bytes and rows: of the advisory size, or one a core for less."""
+    by_size = -(-size // advisory_bytes(spark))
+    by_cores = min(spark.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+    return max(1, by_size, by_cores)

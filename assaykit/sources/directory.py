@@ -6,10 +6,10 @@ import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from assaykit.functions.text import decode_path
-from assaykit.sizing import BROADCAST_LIMIT, ROW_OVERHEAD, fits_broadcast, hint_broadcast
+from assaykit.sizing import BROADCAST_LIMIT, fits_broadcast, hint_broadcast, text_bytes
 from assaykit.sources.local import local_frame
 from assaykit.storage import Entry, Storage, literal_path
 
@@ -17,6 +17,7 @@ from assaykit.storage import Entry, Storage, literal_path
 SOURCE = "__source"
 FILE = "__file"
 ROW = "__row"
+FIRST = "__first"
 NUMBER = "__number"
 
 
@@ -55,55 +56,57 @@ def source_name(directory: str, file_path: Column) -> Column:
 
 @dataclass(frozen=True)
 class Origin:
-    """Where rows come from, as columns that sort into input order.
+    """Where rows come from, as one number that counts all rows in input order.
 
-    A source is carried as its number in the listing, looked up by name; a listing
-    of checked size is broadcast for that. The file is added only where a source is
-    a directory of several files.
+    Footers say how many rows each file has, so the number of a file's first row is a sum
+    over the files before it and no data is read or sampled to order rows. The files' table
+    (path, source, first number) is broadcast when its measured size allows.
     """
 
     sources: Sequence[Entry]
-    directory: str
+    files: DataFrame
+    rows: int
+    size: int
     small: bool
-    nested: bool
     encoded: bool
 
     @classmethod
     def of(
-        cls, sources: Sequence[Entry], directory: str, limit: int = BROADCAST_LIMIT
+        cls, sources: Sequence[Entry], directory: str, footers: DataFrame,
+        limit: int = BROADCAST_LIMIT,
     ) -> Origin:
-        size = sum(len(entry.name.encode()) + ROW_OVERHEAD for entry in sources)
-        return cls(
-            sources,
-            directory,
-            small=fits_broadcast(size, limit),
-            nested=any(entry.is_dir for entry in sources),
-            encoded=any(re.search(r"[^\w.\-]", entry.name) for entry in sources),
+        """``footers`` as ``read_footers`` gives them, stored; those of other sources are ignored."""
+        spark = footers.sparkSession
+        listed = local_frame(
+            spark,
+            {"filename": [e.name for e in sources], SOURCE: range(len(sources))},
+            f"filename string, {SOURCE} int",
         )
-
-    @property
-    def columns(self) -> list[str]:
-        return [SOURCE, FILE, ROW] if self.nested else [SOURCE, ROW]
+        named = footers.withColumn("filename", source_name(directory, F.col("path")))
+        # As rows spell their file, but for percent signs, which odd names alone need.
+        path = F.replace("path", F.lit("file:///"), F.lit("file:/")).alias("path")
+        known = named.join(listed, "filename").select(path, SOURCE, "rows", "bytes")
+        before = Window.orderBy(SOURCE, "path").rowsBetween(Window.unboundedPreceding, -1)
+        files = known.select(
+            F.col("path").alias(FILE), SOURCE, F.coalesce(F.sum("rows").over(before), F.lit(0)).alias(FIRST))
+        facts = known.agg(
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
+            F.coalesce(F.sum(text_bytes("path")), F.lit(0)).alias("held"),
+            F.count_if(F.col("path").rlike(r"[^\w.\-/:=]")).alias("odd"),
+        ).first()
+        small = fits_broadcast(facts["held"], limit)
+        return cls(sources, files, facts["rows"], facts["bytes"], small, facts["odd"] > 0)
 
     def add(self, df: DataFrame) -> DataFrame:
-        plain = decode_path if self.encoded else (lambda col: col)
-        path, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
-        if self.nested:
-            name = source_name(self.directory, path)
-        carried = [plain(name).alias(SOURCE), F.col("_metadata.row_index").alias(ROW)]
-        if self.nested:
-            carried.append(plain(path).alias(FILE))
-        located = df.select("*", *carried)
-        numbers = local_frame(
-            df.sparkSession,
-            {SOURCE: [e.name for e in self.sources], NUMBER: range(len(self.sources))},
-            f"{SOURCE} string, {NUMBER} int",
-        )
-        joined = located.join(hint_broadcast(numbers, self.small), SOURCE).drop(SOURCE)
-        return joined.withColumnRenamed(NUMBER, SOURCE)
-
-    def order(self) -> list[Column]:
-        return [F.col(name) for name in self.columns]
+        """The rows with their source and their number; a file that was not listed is an error."""
+        path = F.replace(F.col("_metadata.file_path"), F.lit("file:///"), F.lit("file:/"))
+        path = decode_path(path) if self.encoded else path
+        located = df.select("*", path.alias(FILE), F.col("_metadata.row_index").alias(ROW))
+        joined = located.join(hint_broadcast(self.files, self.small), FILE, "left")
+        unknown = F.raise_error(F.concat(F.lit("not among the listed files: "), FILE)).cast("bigint")
+        number = F.coalesce(F.col(FIRST), unknown) + F.col(ROW)
+        return joined.withColumn(NUMBER, number).drop(FILE, ROW, FIRST)
 
     def name_of(self, directory_value: str) -> str:
         """The source behind a ``partitionBy`` directory's value."""
@@ -119,7 +122,7 @@ class Origin:
         return counts.join(names, SOURCE).drop(SOURCE)
 
 
-FOOTERS = "path string, rows bigint, schema string"
+FOOTERS = "path string, bytes bigint, rows bigint, schema string"
 
 
 def _footers(batches: Iterator) -> Iterator:
@@ -146,16 +149,17 @@ def _footers(batches: Iterator) -> Iterator:
                 )
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(paths, pa.string()),
+                batch.column(0),
+                batch.column(1),
                 pa.array(rows, pa.int64()),
                 pa.array(schemas, pa.string()),
             ],
-            names=["path", "rows", "schema"],
+            names=["path", "bytes", "rows", "schema"],
         )
 
 
 def read_footers(spark: SparkSession, sources: Sequence[Entry]) -> DataFrame:
-    """Path, row count and schema text of every file, from footers alone.
+    """Path, size, row count and schema text of every file, from footers alone.
 
     The listing comes from the ``binaryFile`` source with its content column
     pruned, so Spark packs many files into each task and no file body is read.
@@ -165,17 +169,16 @@ def read_footers(spark: SparkSession, sources: Sequence[Entry]) -> DataFrame:
         .option("pathGlobFilter", "[!_.]*")
         .option("recursiveFileLookup", "true")
         .load([literal_path(entry.path) for entry in sources])
-        .select("path")
+        .select("path", F.col("length").alias("bytes"))
     )
     tasks = spark.sparkContext.defaultParallelism * 4
     return listing.coalesce(tasks).mapInArrow(_footers, FOOTERS)
 
 
-def require_same_schema(spark: SparkSession, sources: Sequence[Entry]) -> None:
+def require_same_schema(footers: DataFrame) -> None:
     """Every file must have exactly the first file's schema, names, types and order."""
     first_files = (
-        read_footers(spark, sources)
-        .groupBy("schema")
+        footers.groupBy("schema")
         .agg(F.min("path").alias("path"))
         .orderBy("path")
         .limit(2)

@@ -8,6 +8,7 @@ from assaykit.operators.cohort import coverage, file_summary, keep_cohort, key_s
 from assaykit.operators.convert import duplicate_keys
 from assaykit.operators.items import item_counts
 from assaykit.operators.profile import invalid_normal_values, profile_normals, profile_result
+from assaykit.operators.heavy import measure
 from assaykit.operators.wide import label_wide
 from conftest import rows
 
@@ -137,7 +138,7 @@ def test_wide(spark, base_keys, one, two):
         for q in two
         if q[:2] == key
     ]
-    for options in ({}, {"broadcast_base": True}, {"repeated_keys": True}):
+    for options in ({}, {"broadcast_base": True}, {"dealt": measure([base, *[i for i, _ in items]], 1).dealt(1)}):
         wide = label_wide(base, items, **options).select("uid", "id", "x", "y", "split")
         got = rows(wide)
         assert by_repr(got) == by_repr(expected)

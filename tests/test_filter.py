@@ -11,9 +11,10 @@ from assaykit.operators.cohort import (
     missing_from,
     tag_tables,
 )
+from assaykit.operators.coverage import inner_rows
 from assaykit.plans.filter import retained_rows
 from assaykit.sources.cohort import read_cohort
-from assaykit.sources.directory import Origin, list_sources, scan
+from assaykit.sources.directory import Origin, list_sources, read_footers, scan
 from assaykit.storage import Storage
 from conftest import rows
 from lab_files import two_raw_files, write_items, write_table
@@ -204,6 +205,8 @@ def test_missing_and_coverage(spark):
     one = frame(spark, [("a", "1"), ("a", "1"), ("b", "9"), ("c", "3")])
     none = frame(spark, [("x", "1")])
     assert rows(missing_from(cohort, one)) == [("b", "2")]
+    assert inner_rows([cohort, one]) == cohort.join(one, ["uid", "id"]).count() == 4
+    assert inner_rows([cohort, one, none]) == 0
     tables = [("one", one), ("none", none), ("all", cohort)]
     listed = frame(spark, [(name,) for name, _ in tables], "table string")
     assert rows(coverage(cohort, tag_tables(tables), listed)) == [
@@ -224,10 +227,25 @@ def test_small_cohort_cuts_the_tables_at_the_scan(spark, tmp_path, small):
     assert rows(missing) == [("77", "v")] and rows(counts) == [("t", 2)]
     for df in (missing, counts):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
-        assert ("strategy=broadcast" in plan) is small
+        assert ("LeftSemi" in plan) is small
         assert "collect_set" not in plan
 
 
+def test_coverage_of_many_tables_in_one_aggregate(spark):
+    """More tables than a word has bits; pairs with a null part count nowhere."""
+    present = spark.range(4000).selectExpr(
+        "concat('t', id % 130) as table", "if(id % 10 = 9, null, concat('u', id % 7)) as uid", "'v' as id")
+    cohort = frame(spark, [("u1", "v"), ("u2", "v"), ("u9", "v"), ("u1", "v"), (None, "v")])
+    listed = spark.range(131).selectExpr("concat('t', id) as table")
+    got = coverage(cohort, present, listed)
+    pairs = {(r.table, r.uid) for r in present.collect()}
+    assert rows(got) == sorted(
+        (f"t{n}", sum((f"t{n}", u) in pairs for u in ("u1", "u2", "u9"))) for n in range(131))
+    for df in (got, missing_from(cohort, present)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan.replace("BroadcastHashJoin", "")
+
+
 def test_file_summary_lists_every_file(spark):
     data = frame(spark, [("a", "1", "f1"), ("a", None, "f1"), ("b", "2", "f2"), ("a", "1", "f3"),
                          ("c", "3", "f3"), ("a", "1", "f1")], "uid string, id string, f string")
@@ -244,10 +262,12 @@ def test_file_summary_lists_every_file(spark):
 def test_small_cohort_needs_no_shuffle_of_the_data(spark, folders):
     source, cohort_path, _ = folders
     found = list_sources(spark, source, "*.parquet")
-    origin = Origin.of(found, Storage(spark).qualify(source))
+    origin = Origin.of(found, Storage(spark).qualify(source), read_footers(spark, found))
     rows, cohort = scan(spark, found), read_cohort(spark, cohort_path)
     plan = retained_rows(rows, cohort, origin, small=True)._jdf.queryExecution().executedPlan()
     assert plan.toString().count("Exchange hashpartitioning") == 1
     assert "hashpartitioning(pair" in plan.toString()
-    assert plan.toString().count("Exchange rangepartitioning") == 1
+    # The kept rows go to ranges of their numbers; nothing is sampled.
+    assert plan.toString().count("REPARTITION_BY_NUM") == 1
+    assert "rangepartitioning" not in plan.toString()
     assert "LeftSemi, BuildRight" in plan.toString()

@@ -100,11 +100,22 @@ def test_footers_and_origin(spark, tmp_path):
         ("c.parquet", 0),
     ]
     for limit in (0, 10**8):
-        origin = Origin.of(found, Storage(spark).qualify(str(folder)), limit)
+        origin = Origin.of(found, Storage(spark).qualify(str(folder)), read_footers(spark, found), limit)
+        assert origin.rows == 3 and origin.size == sum(p.stat().st_size for p in folder.iterdir())
         df = origin.add(scan(spark, found))
-        assert df.count() == 3
-        counted = origin.with_names(df.groupBy("__source").agg(F.max("__row").alias("last")))
+        assert sorted(rows(df.select("x", "__number"))) == [(1, 0), (2, 1), (3, 2)]
+        counted = origin.with_names(df.groupBy("__source").agg(F.max("__number").alias("last")))
         assert sorted(rows(counted.select("filename", "last"))) == [
             ("a*1.parquet", 1),
-            ("b?%20.parquet", 0),
+            ("b?%20.parquet", 2),
         ]
+
+
+def test_rows_of_files_that_were_not_listed(spark, tmp_path):
+    for name in ("a", "b"):
+        write_table(tmp_path / f"{name}.parquet", x=pa.array([1, 2]))
+    found = list_sources(spark, str(tmp_path), "*.parquet")
+    origin = Origin.of(found[:1], Storage(spark).qualify(str(tmp_path)), read_footers(spark, found))
+    assert origin.rows == 2
+    with pytest.raises(PySparkException, match="not among the listed files"):
+        origin.add(scan(spark, found)).collect()
