@@ -18,12 +18,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from .arrays import LOWER, SPACED, chunked, distinct_spans, from_ragged, text_bytes
 from .tables import stored
-from .token_counts import byte_classes, holding, rows_batch, special_strings, tokenizer_at
+from .token_counts import byte_classes, holding, rows_batch, special_strings, tokenizer_at, worker_cache
 
 BLOCK_BYTES = 4 << 20
 #: Pieces of a shard on average: sequences left open at its end are few against those it fills.
 SHARD_PIECES = 4096
-#: Distinct words of which a task keeps the ids.
+#: Distinct words of which a Python worker keeps the ids.
 CACHED_WORDS = 400_000
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary, " \
@@ -74,7 +74,7 @@ def part_spans(low: np.ndarray, offsets: np.ndarray, whole: np.ndarray):
 
 def token_blocks(batches, path: str, end_id: int, text_col: str):
     """Slices of the input with the ids of their texts, each ended by `end_id`, and offsets."""
-    cache: dict = {}
+    cache = worker_cache("words", path)
     special = special_strings(tokenizer_at(path))
     for batch in chunked(batches, text_col, BLOCK_BYTES):
         raw, offsets = text_bytes(batch.column(batch.schema.get_field_index(text_col)))

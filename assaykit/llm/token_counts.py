@@ -64,20 +64,29 @@ def pre_token_starts(raw: np.ndarray, offsets: np.ndarray, whole: np.ndarray) ->
     return np.flatnonzero(cut)
 
 
-#: Filled on the executors; lives as long as a task's copy of this module.
-_LOADED: dict = {}
+def worker_cache(*key) -> dict:
+    """A dictionary that lives as long as the Python worker, over all of its tasks.
+
+    This module travels with every task by value, so what it holds itself is gone with the task.
+    """
+    import sys
+    import types
+
+    name = "_assaykit_worker"
+    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__.setdefault(repr(key), {})
 
 
 def tokenizer_at(path: str):
-    """The tokenizer of a file, read once in each task; it runs on one thread."""
+    """The tokenizer of a file, read once by each Python worker; it runs on one thread."""
     import os
 
-    if path not in _LOADED:
+    held = worker_cache("tokenizer")
+    if path not in held:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _LOADED[path] = Tokenizer.from_file(path)
-    return _LOADED[path]
+        held[path] = Tokenizer.from_file(path)
+    return held[path]
 
 
 def holding(raw: np.ndarray, offsets: np.ndarray, strings: list[bytes]) -> np.ndarray:
