@@ -1,11 +1,11 @@
-"""Removal of repeated byte strings by equal prefixes of suffixes in anchored buckets.
+"""Removal of repeated byte strings by longest previous factors in anchored buckets.
 
 A string of `length` bytes is found through its anchor: the place of its least hash of ANCHOR
 consecutive bytes. Equal strings have equal anchors, so strings can only repeat where an anchor's
 hash occurs twice. Each anchor owns a run of neighbouring string starts. Runs whose anchor
-repeats are dealt into buckets by that hash; a bucket ranks the suffixes of its runs by their
-first `length` bytes, and all but the first of equal ranks start earlier elsewhere. Lengths of
-longest previous factors are not worked out: only whether they reach `length` counts.
+repeats are dealt into buckets by that hash. A bucket puts the suffixes of its runs in order; the
+nearest ones before and after a suffix that lie further to the front give its longest previous
+factor, up to `length` bytes. Where that is reached, the string starts earlier elsewhere.
 Copies of whole documents, and equal runs within a block of documents, are settled before
 anything travels. An anchor with very many runs is spread over several buckets; what stays open
 there is settled by one more aggregation over the strings themselves.
@@ -23,12 +23,16 @@ from .token_counts import rows_batch
 
 LENGTH = 100
 ANCHOR = 32
-BLOCK_BYTES = 4 << 20
-SHARD_BYTES = 16 << 20
+BLOCK_BYTES = 2 << 20
+SHARD_BYTES = 8 << 20
 #: Bytes that are hashed at a time; a longer text alone.
-SLICE_BYTES = 1 << 20
-#: Bytes of the runs of a bucket, on average, and runs of one anchor in a bucket at most.
-BUCKET_BYTES = 1 << 20
+SLICE_BYTES = 256 << 10
+#: Bytes that are compared at a time.
+COMPARED_BYTES = 4 << 20
+#: Bytes of the runs that one task takes together, of those that it puts in order at a time (a
+#: bucket), on average, and runs of one anchor in a bucket at most.
+GROUP_BYTES = 8 << 20
+BUCKET_BYTES = 512 << 10
 BUCKET_RUNS = 8_192
 #: Ids of copies that may be broadcast: 32 MB of them.
 BROADCAST_IDS = 2_000_000
@@ -36,7 +40,7 @@ BROADCAST_IDS = 2_000_000
 _ASKED = "shard int, block long, doc_ids binary, marks binary, hashes binary, owners binary, numbers binary"
 _FOUND = "block long, doc_ids binary, marks binary, owners binary, numbers binary, spread binary"
 _SHARED = "doc_id long, mark long, numbers binary, spread binary"
-_RUNS = "bucket int, doc_ids binary, marks binary, starts binary, sizes binary, runs binary, " \
+_RUNS = "part int, buckets binary, doc_ids binary, marks binary, starts binary, sizes binary, runs binary, " \
     "spread binary, gone_ids binary, gone_marks binary, gone_from binary, gone_to binary"
 _SETTLED = "doc_id long, mark long, first long, last long, key_a long, key_b long"
 _KEPT = "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long, spans binary"
@@ -166,8 +170,8 @@ def edges(values: np.ndarray) -> tuple[list[int], list[int]]:
     return cuts[:-1], cuts[1:]
 
 
-def send_runs(batches, buckets: int, length: int):
-    """Runs with a repeated anchor, per bucket: of equal runs in a block only the first in
+def send_runs(batches, parts: int, length: int):
+    """Runs with a repeated anchor, per part, with their buckets in it: of equal runs in a block only the first in
     document order; the others are gone at once."""
     for batch in chunked(batches, "text", BLOCK_BYTES):
         raw, offsets = text_bytes(batch.column(2))
@@ -187,16 +191,18 @@ def send_runs(batches, buckets: int, length: int):
         later[order[1:]] = codes[order[1:]] == codes[order[:-1]]
         salt = np.where(spread > 1, mix(ids.view(np.uint64)) % np.maximum(spread, 1).astype(np.uint64),
                         np.uint64(0)).astype(np.uint64)
-        bucket = (mix(hashes + salt * np.uint64(MULTIPLIER)) % np.uint64(buckets)).astype(np.int64)
+        dealt = mix(hashes + salt * np.uint64(MULTIPLIER))
+        part = (dealt % np.uint64(parts)).astype(np.int64)
+        bucket = (dealt // np.uint64(parts) % np.uint64(GROUP_BYTES // BUCKET_BYTES)).astype(np.int64)
         sizes = last - first + length
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        order = np.argsort(part, kind="stable")
+        cuts = np.searchsorted(part[order], np.arange(parts + 1))
         rows = []
         for s in np.flatnonzero(np.diff(cuts)):
             own = order[cuts[s] : cuts[s + 1]]
             gone, sent = own[later[own]], own[~later[own]]
             rows.append((
-                int(s), ids[sent].tobytes(), marks[sent].tobytes(), pack(starts[sent]),
+                int(s), pack(bucket[sent]), ids[sent].tobytes(), marks[sent].tobytes(), pack(starts[sent]),
                 pack(sizes[sent]), raw[from_ragged(sizes[sent], first[sent])].tobytes(),
                 pack(spread[sent]), ids[gone].tobytes(), marks[gone].tobytes(), pack(starts[gone]),
                 pack(starts[gone] + sizes[gone] - length)))
@@ -250,18 +256,51 @@ def suffix_ranks(text: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     return found
 
 
-def previous_factors(rank: np.ndarray) -> np.ndarray:
-    """For positions 0, 1, ... with ranks of their suffixes: the last earlier position of equal
-    rank, or -1."""
-    order = np.argsort(rank, kind="stable")
-    earlier = np.full(len(rank), -1, np.int64)
-    same = rank[order[1:]] == rank[order[:-1]]
-    earlier[order[1:][same]] = order[:-1][same]
-    return earlier
+def common_prefixes(text: np.ndarray, one: np.ndarray, two: np.ndarray, length: int) -> np.ndarray:
+    """How many of the first `length` bytes at places `one` and `two` agree."""
+    found = np.zeros(len(one), np.int64)
+    step = max(1, COMPARED_BYTES // length)
+    inside = np.arange(length)
+    for i in range(0, len(one), step):
+        differ = text[one[i : i + step, None] + inside] != text[two[i : i + step, None] + inside]
+        found[i : i + step] = np.where(differ.any(1), differ.argmax(1), length)
+    return found
+
 
+def previous_factors(text: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """Longest previous factors, up to `length`: for each of the places `at`, in their order, how
+    many bytes from there on also start at an earlier one. `length` bytes follow every place.
 
-def settle_bucket(group: pa.Table, length: int) -> pa.Table:
-    """Starts of strings that also start earlier, as ranges; the open strings of spread anchors."""
+    The suffixes are taken in order with the bytes that neighbours share. A suffix stays open
+    until one that lies further to the front comes (its next smaller position), or one that shares
+    no more with it than it does with its previous smaller position.
+    """
+    order = np.argsort(suffix_ranks(text, at, length), kind="stable")
+    shared = np.zeros(len(order) + 1, np.int64)
+    shared[1:-1] = common_prefixes(text, at[order[:-1]], at[order[1:]], length)
+    factors = [0] * len(order)
+    open_: list[tuple[int, int]] = []
+    # The last one lies before all others and closes them.
+    for position, common in zip([*order.tolist(), -1], shared.tolist()):
+        while open_:
+            top, before = open_[-1]
+            if position < top:
+                factors[top] = before if before > common else common
+                common = before if before < common else common
+            elif common <= before:
+                factors[top] = before
+            else:
+                break
+            open_.pop()
+        open_.append((position, common))
+    return np.array(factors, np.int64)
+
+
+def settle_part(group: pa.Table, length: int) -> pa.Table:
+    """Starts of strings that also start earlier, as ranges; the open strings of spread anchors.
+
+    The buckets of a part are put in order one after the other.
+    """
     rows = group.to_pylist()
     gone = [np.concatenate([np.frombuffer(r["gone_ids"], np.int64) for r in rows]),
             np.concatenate([np.frombuffer(r["gone_marks"], np.int64) for r in rows]),
@@ -269,38 +308,43 @@ def settle_bucket(group: pa.Table, length: int) -> pa.Table:
             np.concatenate([unpack(r["gone_to"]) for r in rows])]
     ids = np.concatenate([np.frombuffer(r["doc_ids"], np.int64) for r in rows])
     marks = np.concatenate([np.frombuffer(r["marks"], np.int64) for r in rows])
-    starts, sizes, spread = (
-        np.concatenate([unpack(r[name]) for r in rows]) for name in ("starts", "sizes", "spread"))
+    starts, sizes, spread, bucket = (
+        np.concatenate([unpack(r[name]) for r in rows]) for name in ("starts", "sizes", "spread", "buckets"))
     text = np.frombuffer(b"".join(r["runs"] for r in rows), np.uint8)
+    del rows, group
+    begins = np.cumsum(sizes) - sizes
+    order = np.lexsort((starts, marks, ids, bucket))
+    none = pa.nulls(len(gone[0]), pa.int64())
+    names = [f.strip().split(" ")[0] for f in _SETTLED.split(",")]
+    found = [pa.table([*map(pa.array, gone), none, none], names=names)]
+    for a, b in zip(*edges(bucket[order])):
+        own = order[a:b]
+        runs = text[from_ragged(sizes[own], begins[own])]
+        found.extend(pa.table(list(map(pa.array, columns)), names=names) for columns in settle_bucket(
+            ids[own], marks[own], starts[own], sizes[own], spread[own], runs, length))
+    return pa.concat_tables([t.cast(found[0].schema) for t in found])
+
+
+def settle_bucket(ids, marks, starts, sizes, spread, text: np.ndarray, length: int):
+    """One bucket's runs, in document order: ranges that are gone, and open strings with hashes."""
     begins = np.cumsum(sizes) - sizes
-    order = np.lexsort((starts, marks, ids))
-    ids, marks, starts = ids[order], marks[order], starts[order]
-    sizes, spread, begins = sizes[order], spread[order], begins[order]
     windows = sizes - length + 1
     at = from_ragged(windows, begins)
     run = np.repeat(np.arange(len(ids)), windows)
     start = from_ragged(windows, starts)
-    removed = np.zeros(0, bool)
-    if len(at):
-        removed = previous_factors(suffix_ranks(text, at, length)) >= 0
+    removed = previous_factors(text, at, length) >= length
     hit = np.flatnonzero(removed)
-    breaks = np.r_[True, (run[hit][1:] != run[hit][:-1]) | (hit[1:] != hit[:-1] + 1)] if len(hit) \
-        else np.zeros(0, bool)
+    breaks = np.r_[True, (run[hit][1:] != run[hit][:-1]) | (hit[1:] != hit[:-1] + 1)][: len(hit)]
     a = hit[breaks]
     b = hit[np.r_[np.flatnonzero(breaks)[1:], len(hit)] - 1] if len(hit) else hit
-    settled = [np.concatenate(x) for x in zip(
-        gone, (ids[run[a]], marks[run[a]], start[a], start[b]))]
-    open_ = np.flatnonzero(~removed & (spread[run] > 1)) if len(run) else hit
-    keys = [np.zeros(0, np.int64)] * 2
+    none = np.ma.masked_all(len(a), np.int64)
+    yield ids[run[a]], marks[run[a]], start[a], start[b], none, none
+    open_ = np.flatnonzero(~removed & (spread[run] > 1))
     if len(open_):
         flat = text[from_ragged(np.full(len(open_), length), at[open_])]
         cuts = np.arange(len(open_) + 1) * length
         keys = [segment_hashes(flat, cuts, seed).view(np.int64) for seed in (1, 2)]
-    none = pa.nulls(len(settled[0]), pa.int64())
-    names = [f.strip().split(" ")[0] for f in _SETTLED.split(",")]
-    first = pa.table([pa.array(x) for x in settled] + [none, none], names=names)
-    left = [ids[run[open_]], marks[run[open_]], start[open_], start[open_], *keys]
-    return pa.concat_tables([first, pa.table([pa.array(x) for x in left], names=names)])
+        yield ids[run[open_]], marks[run[open_]], start[open_], start[open_], *keys
 
 
 def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -390,13 +434,12 @@ def remove_repeats(
     found = asked.groupBy("shard").applyInArrow(repeated_anchors, _FOUND)
     shared = stored(found.groupBy("block").applyInArrow(per_document, _SHARED))
     anchors = shared.agg(F.coalesce(F.sum(F.octet_length("numbers")), F.lit(0))).first()[0]
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                  -(-anchors * 131 // BUCKET_BYTES))
+    taken = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-anchors * 131 // GROUP_BYTES))
     runs = sources.join(shared.hint("merge"), pair).select(
         "doc_id", "mark", "text", "numbers", "spread")
     settled = stored(
-        runs.mapInArrow(lambda batches: send_runs(batches, buckets, length), _RUNS)
-        .groupBy("bucket").applyInArrow(lambda group: settle_bucket(group, length), _SETTLED))
+        runs.mapInArrow(lambda batches: send_runs(batches, taken, length), _RUNS)
+        .groupBy("part").applyInArrow(lambda group: settle_part(group, length), _SETTLED))
 
     left = settled.where("key_a is not null")
     place = F.struct("doc_id", "mark", "first")

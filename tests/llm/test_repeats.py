@@ -6,7 +6,8 @@ from cases import HARD, frame, ordered, removed
 from conftest import SMALL
 
 from assaykit.llm import queries, repeats
-from assaykit.llm.repeats import remove_repeats, repeats_digest, suffix_ranks, without_repeats
+from assaykit.llm.repeats import (
+    common_prefixes, previous_factors, remove_repeats, repeats_digest, suffix_ranks, without_repeats)
 
 
 def digest(docs, length):
@@ -102,3 +103,22 @@ def test_ranks(length):
     prefixes = [text[i : i + length].tobytes() for i in at]
     order = {p: i for i, p in enumerate(sorted(set(prefixes)))}
     assert suffix_ranks(text, at, length).tolist() == [order[p] for p in prefixes]
+
+
+@pytest.mark.parametrize("letters, length", [("a", 9), ("ab", 12), ("abc", 40), ("abcdefgh", 100)])
+def test_longest_previous_factors_against_all_pairs(monkeypatch, letters, length):
+    monkeypatch.setattr(repeats, "COMPARED_BYTES", 7 * length)
+    rng = random.Random(length)
+    part = "".join(rng.choice(letters) for _ in range(60))
+    data = (part * 3 + "".join(rng.choice(letters) for _ in range(150)) + part[:50] * 2).encode()
+    text = np.frombuffer(data, np.uint8)
+    at = np.array(sorted(rng.sample(range(len(data) - length + 1), 150)))
+
+    def agree(i, j):
+        return next((k for k in range(length) if data[i + k] != data[j + k]), length)
+
+    want = [max((agree(i, j) for j in at[:n].tolist()), default=0) for n, i in enumerate(at.tolist())]
+    assert previous_factors(text, at, length).tolist() == want
+    assert common_prefixes(text, at[1:], at[:-1], length).tolist() == [
+        agree(i, j) for i, j in zip(at[1:].tolist(), at[:-1].tolist())]
+    assert previous_factors(text, at[:1], length).tolist() == [0]
