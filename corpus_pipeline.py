@@ -21,6 +21,17 @@ from assaykit.llm.tables import small_enough, stored, table
 BROADCAST_IDS = 2_000_000
 
 
+#: Rows of a batch between Spark and Python: whole texts travel in them, on both sides at once.
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the memory of batches of whole documents, for this session; results do not change."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def counted(docs: DataFrame) -> DataFrame:
     """The documents with n_chars as their texts now have."""
     return docs.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
@@ -28,12 +39,14 @@ def counted(docs: DataFrame) -> DataFrame:
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule ensemble accepts (a score of 0.3 or more)."""
+    small_batches(spark)
     scored = score_quality(docs, table(spark, sf_dir, "labels"), carry=True)
     return scored.where("predicted = 1").select("row.*")
 
 
 def first_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that of the least id."""
+    small_batches(spark)
     gone = stored(near_duplicates(docs).where("not kept").select("doc_id"))
     if small_enough(gone, BROADCAST_IDS):
         gone = F.broadcast(gone)
@@ -42,17 +55,20 @@ def first_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def first_occurrences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the long byte strings that an earlier document, or place, already has."""
+    small_batches(spark)
     return counted(without_repeats(docs))
 
 
 def without_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts of contaminated documents without the passages of the test set."""
+    small_batches(spark)
     found = find_contamination(docs, table(spark, sf_dir, "benchmark"))
     return counted(without_items(found, docs.columns))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their token ids, and their places in sequences of 4096 tokens."""
+    small_batches(spark)
     return pack_documents(docs, vocabulary("word_bpe_49k.json"))
 
 
