@@ -9,20 +9,23 @@ occurrences are located from sampled suffix positions and merged into removal sp
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .arrays import (
-    ALNUM, LOWER, chunked, distinct_spans, from_ragged, text_bytes, with_fields, word_spans,
+    ALNUM, LOWER, chunked, distinct_spans, from_ragged, string_hashes, text_bytes, with_fields,
+    word_spans,
 )
-from .token_counts import rows_batch
+from .phrases import BLOCK_WORDS, phrase_blocks, phrase_set
+from .tables import stored
 
 BLOCK_BYTES = 8 << 20
 SAMPLE_RATE = 8
 
-_SPANS = "doc_id long, n_words long, n_hit long, item_ids string, spans binary"
+_SPANS = "doc_id long, n_words long, n_hit long, item_ids array<string>, spans binary, runs binary"
 
 
 class WaveletTree:
@@ -117,33 +120,6 @@ class FmIndex:
         return found
 
 
-def phrase_set(items: list[tuple[str, list[bytes]]], size: int) -> dict:
-    """Distinct windows of `size` words over the items' own vocabulary, and each one's items."""
-    vocabulary = sorted({w for _, words in items for w in words})
-    code = {w: i + 1 for i, w in enumerate(vocabulary)}
-    windows: dict[tuple, set] = {}
-    for number, (_, words) in enumerate(items):
-        codes = [code[w] for w in words]
-        for i in range(max(1, len(codes) - size + 1) if codes else 0):
-            windows.setdefault(tuple(codes[i : i + size]), set()).add(number)
-    phrases = np.zeros((len(windows), size), np.int64)
-    for i, window in enumerate(windows):
-        phrases[i, : len(window)] = window
-    degrees = np.array([len(v) for v in windows.values()], np.int64)
-    owners = np.array([x for v in windows.values() for x in sorted(v)], np.int64)
-    return {
-        "vocabulary": vocabulary, "phrases": phrases,
-        "lengths": np.array([len(w) for w in windows], np.int64),
-        "degrees": degrees, "owners": owners, "names": [name for name, _ in items],
-    }
-
-
-def words_of(text: str) -> list[bytes]:
-    raw = LOWER[np.frombuffer(text.encode(), np.uint8)]
-    starts, ends, _ = word_spans(raw, np.array([0, len(raw)]), ALNUM)
-    return [raw[a:b].tobytes() for a, b in zip(starts, ends)]
-
-
 def kept_runs(symbols: np.ndarray, shortest: int) -> tuple[np.ndarray, np.ndarray]:
     """The runs of at least `shortest` symbols above 0, each closed by a separator, with the
     place of every entry; the separator is the symbol 1, so that 0 stays the end."""
@@ -159,36 +135,46 @@ def kept_runs(symbols: np.ndarray, shortest: int) -> tuple[np.ndarray, np.ndarra
     return text, place
 
 
-def search_blocks(batches, sets: dict, rate: int, id_col: str, text_col: str):
-    """Each document with its counts of words, hit words, items and the spans to remove."""
-    vocabulary = pa.array(sets["vocabulary"], pa.large_binary())
-    phrases, lengths = sets["phrases"], sets["lengths"]
-    names = np.array(sets["names"], dtype=object)
-    for batch in chunked(with_fields(batches, doc_id=id_col, text=text_col), "text", BLOCK_BYTES):
+def known_words(hashes: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
+    """1 and more: the word's place in the vocabulary; 0: not one of them."""
+    if not len(vocabulary):
+        return np.zeros(len(hashes), np.int64)
+    at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
+    return np.where(vocabulary[at] == hashes, at + 1, 0)
+
+
+def search_blocks(batches, sets: dict | None, rate: int, only_hit: bool = False):
+    """Rows with a struct that holds doc_id and text (or, of the whole row, the fields so named):
+    counts of words and hit words, the items, and the hit spans by bytes and by words."""
+    for batch in chunked(batches, "text", BLOCK_BYTES):
         raw, offsets = text_bytes(batch.column(2))
-        starts, ends, first = word_spans(LOWER[raw], offsets, ALNUM)
+        low = LOWER[raw]
+        starts, ends, first = word_spans(low, offsets, ALNUM)
         n_docs, n_words = batch.num_rows, np.diff(first)
         hit = np.zeros(len(starts) + 1, np.int64)
-        pairs = np.zeros(0, np.int64)
-        if len(starts) and len(phrases):
-            codes, words = distinct_spans(LOWER[raw], starts, ends)
-            known = pc.fill_null(pc.index_in(words, vocabulary), -1).to_numpy(
-                zero_copy_only=False).astype(np.int64) + 1
+        pairs, names = np.zeros(0, np.int64), []
+        if len(starts) and sets:
+            names, phrases, lengths = sets["names"], sets["phrases"], sets["lengths"]
+            codes, words = distinct_spans(low, starts, ends)
+            known = known_words(string_hashes(words), sets["vocabulary"])
             # One place more after each document keeps runs apart.
             owner = np.searchsorted(first, np.arange(len(starts)), "right") - 1
             spread = np.zeros(len(starts) + n_docs, np.int64)
             spread[np.arange(len(starts)) + owner] = known[codes]
             text, place = kept_runs(spread, int(lengths.min()))
             if len(text):
-                index = FmIndex(text, len(vocabulary) + 2, rate)
-                low, high = index.search(np.where(phrases > 0, phrases + 1, 0), lengths)
-                size = high - low
+                index = FmIndex(text, len(sets["vocabulary"]) + 2, rate)
+                begin, end = index.search(np.where(phrases > 0, phrases + 1, 0), lengths)
+                size = end - begin
                 phrase = np.repeat(np.arange(len(phrases)), size)
-                at = place[index.locate(from_ragged(size, low))]
+                at = place[index.locate(from_ragged(size, begin))]
                 doc = np.searchsorted(first[:-1] + np.arange(n_docs), at, "right") - 1
                 at = at - doc
                 hit += np.bincount(at, minlength=len(hit))
                 hit -= np.bincount(at + lengths[phrase], minlength=len(hit))
+                # A phrase that occurs many times in a document names its items once.
+                met = np.unique(doc * len(phrases) + phrase)
+                doc, phrase = met // len(phrases), met % len(phrases)
                 begins = np.cumsum(sets["degrees"]) - sets["degrees"]
                 many = sets["degrees"][phrase]
                 item = sets["owners"][from_ragged(many, begins[phrase])]
@@ -196,63 +182,128 @@ def search_blocks(batches, sets: dict, rate: int, id_col: str, text_col: str):
         covered = np.cumsum(hit)[:-1] > 0
         n_hit = np.diff(np.concatenate([[0], np.cumsum(covered)])[first])
         item_at = np.searchsorted(pairs, np.arange(n_docs + 1) * max(1, len(names)))
-        rows = []
-        for i, doc in enumerate(batch.column(1).cast(pa.int64()).to_pylist()):
-            spans, found = None, ""
-            if n_hit[i]:
-                own = np.r_[False, covered[first[i] : first[i + 1]], False]
-                edges = np.flatnonzero(own[1:] != own[:-1])
-                a = starts[first[i] + edges[::2]] - offsets[i]
-                b = ends[first[i] + edges[1::2] - 1] - offsets[i]
-                spans = np.stack([a, b], 1).astype("<i8").tobytes()
-                held = names[pairs[item_at[i] : item_at[i + 1]] % len(names)]
-                found = ",".join(sorted(set(held)))
-            rows.append((doc, int(n_words[i]), int(n_hit[i]), found, spans))
-        out = rows_batch(rows, _SPANS)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), *out.columns], names=["row", *out.schema.names])
+        found, spans, runs = [[] for _ in range(n_docs)], [None] * n_docs, [None] * n_docs
+        for i in np.flatnonzero(n_hit).tolist():
+            own = np.r_[False, covered[first[i] : first[i + 1]], False]
+            edges = np.flatnonzero(own[1:] != own[:-1]).reshape(-1, 2)
+            a = starts[first[i] + edges[:, 0]] - offsets[i]
+            b = ends[first[i] + edges[:, 1] - 1] - offsets[i]
+            spans[i] = np.stack([a, b], 1).astype("<i8").tobytes()
+            runs[i] = edges.astype("<i8").tobytes()
+            # Names are in order and occur once, so their numbers are too.
+            found[i] = [names[x] for x in (pairs[item_at[i] : item_at[i + 1]] % len(names)).tolist()]
+        out = search_batch(batch, n_words, n_hit, found, spans, runs)
+        yield out.filter(pa.array(n_hit > 0)) if only_hit else out
+
+
+def search_batch(batch: pa.RecordBatch, n_words, n_hit, found, spans, runs) -> pa.RecordBatch:
+    columns = [
+        batch.column(1).cast(pa.int64()), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()),
+        pa.array(found, pa.list_(pa.string())), pa.array(spans, pa.binary()), pa.array(runs, pa.binary()),
+    ]
+    names = [field.strip().split(" ")[0] for field in _SPANS.split(",")]
+    return pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["row", *names])
+
+
+def merged_spans(spans: list[bytes], runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Spans of one document from several searches, made one where their words overlap or touch."""
+    pairs, words = (np.concatenate([np.frombuffer(x, "<i8").reshape(-1, 2) for x in part])
+                    for part in (spans, runs))
+    order = np.argsort(words[:, 0], kind="stable")
+    pairs, words = pairs[order], words[order]
+    # Bytes and words of spans end in the same order.
+    last, last_byte = (np.maximum.accumulate(x[:, 1]) for x in (words, pairs))
+    opens = np.flatnonzero(np.r_[True, words[1:, 0] > last[:-1]])
+    closes = np.r_[opens[1:], len(words)] - 1
+    return (np.stack([pairs[opens, 0], last_byte[closes]], 1),
+            np.stack([words[opens, 0], last[closes]], 1))
+
+
+def merge_blocks(batches):
+    """The rows of a search from what several searches found: lists of items, spans and runs."""
+    for batch in chunked(batches, "text", BLOCK_BYTES):
+        raw, offsets = text_bytes(batch.column(2))
+        _, _, first = word_spans(LOWER[raw], offsets, ALNUM)
+        n_docs = batch.num_rows
+        n_hit = np.zeros(n_docs, np.int64)
+        items, spans, runs = [[] for _ in range(n_docs)], [None] * n_docs, [None] * n_docs
+        for i, parts in enumerate(zip(*(batch.column(c).to_pylist() for c in (3, 4, 5)))):
+            if parts[1]:
+                pairs, words = merged_spans(parts[1], parts[2])
+                n_hit[i] = int((words[:, 1] - words[:, 0]).sum())
+                items[i] = sorted(set(parts[0]))
+                spans[i], runs[i] = (x.astype("<i8").tobytes() for x in (pairs, words))
+        yield search_batch(batch, np.diff(first), n_hit, items, spans, runs)
 
 
 def find_contamination(
     docs: DataFrame, items: DataFrame, size: int = 13, id_col: str = "doc_id",
     text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
-    most_item_bytes: int = 64 << 20, rate: int = SAMPLE_RATE,
+    block_words: int = BLOCK_WORDS, rate: int = SAMPLE_RATE,
 ) -> DataFrame:
-    """One row per input row: row (all of it), doc_id, n_words, n_hit, item_ids, spans, contaminated.
+    """One row per input row: row (all of it), doc_id, n_words, n_hit, item_ids, spans, runs,
+    contaminated.
 
     Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` after lower-casing A-Z. A phrase is a
-    window of `size` consecutive words of an item, or all words of a shorter one. `item_ids` joins
-    the ids with occurring phrases by commas, sorted as text; `spans` holds the merged byte
-    ranges to remove (pairs of little-endian 64-bit numbers), or null. A document counts
-    as contaminated with a twentieth of its words hit, or more. Texts that are null or empty have no
-    words; items with a null id or text, or no words, take no part; repeated items count once by
-    id; repeated documents are searched each. No items: nothing is hit.
-
-    The test set goes to every task, so its size is checked first; a larger one is refused and has
-    to be searched in parts.
+    window of `size` consecutive words of an item, or all words of a shorter one. `item_ids` lists
+    the ids with occurring phrases, sorted as text; `spans` holds the merged byte ranges to
+    remove and `runs` their words, from 0 (pairs of little-endian 64-bit numbers), or null. A document
+    counts as contaminated with a twentieth of its words hit, or more. Texts that are null or
+    empty have no words; items with a null id or text, or no words, take no part; repeated items
+    count once by id; repeated documents are searched each. No items: nothing is hit.
+
+    The test set may be of any size: its phrases are searched in blocks of about `block_words`
+    words, one broadcast after the other. What the blocks find in a document is put together before
+    words and items are counted. The driver holds the phrases of one block, as hashes, and the ids
+    of its items.
     """
     spark = docs.sparkSession
-    listed = items.select(F.col(item_col).cast("string").alias("id"),
-                          F.col(item_text).alias("text")).dropna()
-    held = listed.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    if held > most_item_bytes:
-        raise ValueError(f"{held} bytes of test items; search at most {most_item_bytes} at a time")
-    parsed = [(r.id, words_of(r.text)) for r in listed.collect()]
-    sets = spark.sparkContext.broadcast(phrase_set(parsed, size))
-    chosen = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    schema = T.StructType([chosen.schema["row"], *T.DataType.fromDDL(_SPANS).fields])
-    found = chosen.mapInArrow(
-        lambda batches: search_blocks(batches, sets.value, rate, id_col, text_col), schema)
+    listed = items.select(F.col(item_col).cast("string").alias("id"), F.col(item_text).alias("text"))
+    blocks = phrase_blocks(listed, size, block_words)
+    numbers = sorted(r.block for r in blocks.select("block").collect())
+
+    def searched(rows: DataFrame, number: int | None, only_hit: bool, id_name: str, text_name: str):
+        sets = spark.sparkContext.broadcast(None if number is None else phrase_set(blocks, number, size))
+        schema = T.StructType([rows.schema["row"], *T.DataType.fromDDL(_SPANS).fields])
+        return rows.mapInArrow(
+            lambda batches: search_blocks(
+                with_fields(batches, doc_id=id_name, text=text_name), sets.value, rate, only_hit), schema)
+
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    if len(numbers) <= 1:
+        found = searched(whole, numbers[0] if numbers else None, False, id_col, text_col)
+    else:
+        mark = F.unhex(F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256))
+        keyed = docs.select(F.struct(
+            F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+            mark.alias("mark")).alias("row"))
+        # Every search is stored, so that its broadcast has served when the next one begins.
+        hits = reduce(DataFrame.unionByName, [
+            stored(searched(keyed, number, True, "doc_id", "text")
+                   .select("doc_id", F.col("row.mark").alias("mark"), "item_ids", "spans", "runs")
+                   .dropDuplicates(["doc_id", "mark"])) for number in numbers])
+        gathered = stored(hits.groupBy(F.col("doc_id").alias("hit_id"), "mark").agg(
+            F.flatten(F.collect_list("item_ids")).alias("items"),
+            F.collect_list("spans").alias("span_lists"), F.collect_list("runs").alias("run_lists")))
+        key = mark.alias("own_mark")
+        carried = docs.select(
+            F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+            F.col(id_col).cast("long").alias("doc_id"), key)
+        joined = carried.join(
+            gathered, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("own_mark") == F.col("mark")),
+            "left").select("row", "doc_id", F.col(f"row.`{text_col}`").cast("string").alias("text"),
+                           "items", "span_lists", "run_lists")
+        schema = T.StructType([joined.schema["row"], *T.DataType.fromDDL(_SPANS).fields])
+        found = joined.mapInArrow(merge_blocks, schema)
     hit = (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
     return found.withColumn("contaminated", hit)
 
 
 def contamination_digest(found: DataFrame) -> DataFrame:
     """The counts and a digest of the item ids instead of texts and spans."""
-    items = F.when(F.col("item_ids") == "", 0).otherwise(F.size(F.split("item_ids", ",")))
     return found.select(
-        "doc_id", "n_words", "n_hit", items.cast("long").alias("n_items"),
-        F.sha2("item_ids", 256).alias("items_sha256"), "contaminated",
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated",
     )
 
 

@@ -2,7 +2,7 @@ import numpy as np
 from cases import HARD, STORY, contaminated, frame, ordered
 from conftest import SMALL
 
-from assaykit.llm import fm_index, queries
+from assaykit.llm import fm_index, phrases, queries
 from assaykit.llm.fm_index import FmIndex, contamination_digest, find_contamination, without_items
 
 ITEMS = [
@@ -64,8 +64,38 @@ def test_whole_table(spark):
     assert found[0].__fields__ == ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
 
 
-def test_refuses_large_test_sets(spark):
-    import pytest
-
-    with pytest.raises(ValueError, match="bytes of test items"):
-        find_contamination(frame(spark, HARD), items_frame(spark, ITEMS), most_item_bytes=10)
+def test_items_in_blocks_of_any_size(spark, monkeypatch):
+    long_item = " ".join(f"w{i % 97} w{i % 89}" for i in range(400))
+    rows = [*HARD, (20, f"{STORY} {long_item}"), (21, long_item[200:900]), (21, long_item[200:900]),
+            (22, f"nothing {STORY} then one two three"), (23, "owls watch from an old oak tree one two")]
+    items = [*ITEMS, (6, long_item), (7, STORY + " " + long_item), (8, "old oak tree one")]
+    expected = ordered(contaminated(rows, items))
+    monkeypatch.setattr(phrases, "PIECE_PHRASES", 20)
+    monkeypatch.setattr(phrases, "TASK_BYTES", 1000)
+    docs, tests = frame(spark, rows), items_frame(spark, items)
+    spans = []
+    for words in (1 << 18, 100, 15):
+        found = find_contamination(docs, tests, block_words=words)
+        assert ordered(contamination_digest(found).collect()) == expected
+        spans.append(ordered(found.select("doc_id", "spans", "runs", "item_ids").collect()))
+    assert spans[0] == spans[1] == spans[2]
+
+
+def test_ids_with_commas_and_without_text(spark):
+    items = spark.createDataFrame([("a,b", "one two three"), ("", "lazy dog"), (None, "fox")],
+                                  "item_id string, text string")
+    rows = [(1, "one two three"), (2, "a lazy dog"), (3, "one two three, lazy dog"), (4, "fox")]
+    found = contamination_digest(find_contamination(frame(spark, rows), items)).collect()
+    assert {r.doc_id: (r.n_items, r.n_hit) for r in found} == {1: (1, 3), 2: (1, 2), 3: (2, 5), 4: (0, 0)}
+
+
+def test_blocks_hold_a_bounded_number_of_words(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "PIECE_PHRASES", 50)
+    items = spark.createDataFrame(
+        [(str(i), " ".join(f"t{i}x{j}" for j in range(i * 40))) for i in range(12)], "id string, text string")
+    blocks = phrases.phrase_blocks(items, 13, 100)
+    numbers = [r.block for r in blocks.select("block").collect()]
+    sets = [phrases.phrase_set(blocks, number, 13) for number in numbers]
+    assert len(numbers) > 10 and max(len(s["vocabulary"]) for s in sets) <= 100 + 50 + 12
+    windows = sum(max(0, i * 40 - 12) for i in range(1, 12))
+    assert sum(len(s["phrases"]) for s in sets) == windows
