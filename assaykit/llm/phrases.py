@@ -85,7 +85,8 @@ def phrase_blocks(items: DataFrame, size: int, block_words: int) -> DataFrame:
     """The blocks of the items (id, text), as a stored table; repeated items count once."""
     listed = items.dropna().dropDuplicates()
     held = listed.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    dealt = listed.repartition(max(1, -(-held // TASK_BYTES)), "id", "text")
+    # Tasks of about TASK_BYTES: each may leave one block that is not full.
+    dealt = listed.coalesce(max(1, -(-held // TASK_BYTES)))
     return stored(dealt.mapInArrow(lambda batches: build_blocks(batches, size, block_words), _BLOCK))
 
 
