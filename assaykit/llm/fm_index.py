@@ -25,7 +25,8 @@ from .tables import stored
 BLOCK_BYTES = 8 << 20
 SAMPLE_RATE = 8
 
-_SPANS = "doc_id long, n_words long, n_hit long, item_ids array<string>, spans binary, runs binary"
+_SPANS = "doc_id long, n_words long, n_hit long, item_ids array<string>, spans binary, " \
+    "runs binary, left string"
 
 
 class WaveletTree:
@@ -192,14 +193,27 @@ def search_blocks(batches, sets: dict | None, rate: int, only_hit: bool = False)
             runs[i] = edges.astype("<i8").tobytes()
             # Names are in order and occur once, so their numbers are too.
             found[i] = [names[x] for x in (pairs[item_at[i] : item_at[i + 1]] % len(names)).tolist()]
-        out = search_batch(batch, n_words, n_hit, found, spans, runs)
+        out = search_batch(batch, raw, offsets, n_words, n_hit, found, spans, runs)
         yield out.filter(pa.array(n_hit > 0)) if only_hit else out
 
 
-def search_batch(batch: pa.RecordBatch, n_words, n_hit, found, spans, runs) -> pa.RecordBatch:
+def cut(data: bytes, spans: bytes) -> str:
+    """What is left of a text without its hit spans."""
+    left, at = [], 0
+    for a, b in np.frombuffer(spans, "<i8").reshape(-1, 2).tolist():
+        left.append(data[at:a])
+        at = b
+    return b"".join([*left, data[at:]]).decode("utf-8", "replace")
+
+
+def search_batch(batch, raw, offsets, n_words, n_hit, found, spans, runs) -> pa.RecordBatch:
+    left = [None] * len(spans)
+    for i in np.flatnonzero((n_hit > 0) & (20 * n_hit >= n_words)).tolist():
+        left[i] = cut(raw[offsets[i] : offsets[i + 1]].tobytes(), spans[i])
     columns = [
         batch.column(1).cast(pa.int64()), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()),
         pa.array(found, pa.list_(pa.string())), pa.array(spans, pa.binary()), pa.array(runs, pa.binary()),
+        pa.array(left, pa.string()),
     ]
     names = [field.strip().split(" ")[0] for field in _SPANS.split(",")]
     return pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["row", *names])
@@ -233,7 +247,7 @@ def merge_blocks(batches):
                 n_hit[i] = int((words[:, 1] - words[:, 0]).sum())
                 items[i] = sorted(set(parts[0]))
                 spans[i], runs[i] = (x.astype("<i8").tobytes() for x in (pairs, words))
-        yield search_batch(batch, np.diff(first), n_hit, items, spans, runs)
+        yield search_batch(batch, raw, offsets, np.diff(first), n_hit, items, spans, runs)
 
 
 def find_contamination(
@@ -242,13 +256,14 @@ def find_contamination(
     block_words: int = BLOCK_WORDS, rate: int = SAMPLE_RATE,
 ) -> DataFrame:
     """One row per input row: row (all of it), doc_id, n_words, n_hit, item_ids, spans, runs,
-    contaminated.
+    left, contaminated.
 
     Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` after lower-casing A-Z. A phrase is a
     window of `size` consecutive words of an item, or all words of a shorter one. `item_ids` lists
     the ids with occurring phrases, sorted as text; `spans` holds the merged byte ranges to
     remove and `runs` their words, from 0 (pairs of little-endian 64-bit numbers), or null. A document
-    counts as contaminated with a twentieth of its words hit, or more. Texts that are null or
+    counts as contaminated with a twentieth of its words hit, or more; `left` is its text without the
+    spans, and null for others. Texts that are null or
     empty have no words; items with a null id or text, or no words, take no part; repeated items
     count once by id; repeated documents are searched each. No items: nothing is hit.
 
@@ -307,22 +322,6 @@ def contamination_digest(found: DataFrame) -> DataFrame:
     )
 
 
-def cut_batches(batches):
-    """Texts without the spans of contaminated documents, and their new lengths."""
-    for batch in with_fields(batches, text="text"):
-        texts = []
-        for spans, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            if spans:
-                data, left, at = text.encode(), [], 0
-                for a, b in np.frombuffer(spans, "<i8").reshape(-1, 2).tolist():
-                    left.append(data[at:a])
-                    at = b
-                text = b"".join([*left, data[at:]]).decode("utf-8", "replace")
-            texts.append(text)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(texts, pa.string())], names=["row", "text"])
-
-
 def without_items(found: DataFrame, columns: list[str]) -> DataFrame:
     """The searched documents, columns and all, without the hit words of contaminated ones.
 
@@ -330,7 +329,5 @@ def without_items(found: DataFrame, columns: list[str]) -> DataFrame:
     stay as they are. `columns` has to hold `text`.
     """
     rest = found.where(~F.col("contaminated") | (F.col("n_hit") < F.col("n_words")))
-    chosen = rest.select("row", F.when(F.col("contaminated"), F.col("spans")).alias("spans"))
-    schema = T.StructType([chosen.schema["row"], T.StructField("text", T.StringType())])
-    return chosen.mapInArrow(cut_batches, schema).select(
-        *("text" if c == "text" else F.col(f"row.`{c}`") for c in columns))
+    text = F.when(F.col("contaminated"), F.col("left")).otherwise(F.col("row.text")).alias("text")
+    return rest.select(*(text if c == "text" else F.col(f"row.`{c}`") for c in columns))

@@ -383,28 +383,19 @@ def cut_texts(batches, text_col: str, length: int):
 
 
 def readable(batches):
-    """Rows with what is left as text, without characters that were cut in two."""
+    """Rows of which anything is left, with that as text, without characters that were cut in two."""
     for batch in with_fields(batches, text="text"):
-        texts = [text if kept is None else kept.decode("utf-8", "ignore")
-                 for kept, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+        size, gone = (batch.column(batch.schema.get_field_index(name)).to_numpy()
+                      for name in ("n_bytes", "n_removed"))
+        batch = batch.filter(pa.array((gone == 0) | (gone < size)))
+        texts = [kept.decode("utf-8", "ignore") if lost else text for kept, lost, text in zip(
+            *(batch.column(batch.schema.get_field_index(name)).to_pylist() for name in ("kept", "n_removed", "text")))]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(texts, pa.string())], names=["row", "text"])
 
 
-def remove_repeats(
-    docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
-) -> DataFrame:
-    """One row per input row: row (all of it), doc_id, kept (binary), n_bytes, n_removed, n_spans,
-    spans.
-
-    Texts are UTF-8 bytes, null counts as empty. Every byte is removed that lies in a string of
-    `length` bytes which also starts earlier: in a document of a smaller id, or in the same
-    one further to the front. Strings are judged on the input and never cross documents. `spans`
-    holds the removed byte ranges (pairs of little-endian 64-bit numbers), or null. `kept`
-    may end or begin within a character. Repeated rows with one id and text are one document;
-    different texts of one id go in the order of their hash. A row with a null id
-    comes before all others. An empty table gives no rows; other columns are only carried.
-    """
+def repeated_ranges(docs: DataFrame, length: int, id_col: str, text_col: str) -> DataFrame:
+    """Each row of the input as a struct, its id, the ranges of starts that go, and whether it is a copy."""
     spark = docs.sparkSession
     # Null ids sort first; the mark tells the texts of one id apart.
     lowest = F.lit(-(1 << 63))
@@ -453,10 +444,27 @@ def remove_repeats(
         .withColumn("copy", F.lit(False))
         .unionByName(copies.select("doc_id", "mark", F.lit(None).cast(
             "array<struct<first:bigint,last:bigint>>").alias("ranges"), F.lit(True).alias("copy"))))
-    joined = docs.select("row", "given", "doc_id", "mark").join(
+    return docs.select("row", "given", "doc_id", "mark").join(
         ranges.hint("merge"), ["doc_id", "mark"], "left").select("row", "given", "ranges", "copy")
-    schema = T.StructType([joined.schema["row"], *T.DataType.fromDDL(_KEPT).fields])
-    return joined.mapInArrow(lambda batches: cut_texts(batches, text_col, length), schema)
+
+
+def remove_repeats(
+    docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """One row per input row: row (all of it), doc_id, kept (binary), n_bytes, n_removed, n_spans,
+    spans.
+
+    Texts are UTF-8 bytes, null counts as empty. Every byte is removed that lies in a string of
+    `length` bytes which also starts earlier: in a document of a smaller id, or in the same
+    one further to the front. Strings are judged on the input and never cross documents. `spans`
+    holds the removed byte ranges (pairs of little-endian 64-bit numbers), or null. `kept`
+    may end or begin within a character. Repeated rows with one id and text are one document;
+    different texts of one id go in the order of their hash. A row with a null id
+    comes before all others. An empty table gives no rows; other columns are only carried.
+    """
+    ranges = repeated_ranges(docs, length, id_col, text_col)
+    schema = T.StructType([ranges.schema["row"], *T.DataType.fromDDL(_KEPT).fields])
+    return ranges.mapInArrow(lambda batches: cut_texts(batches, text_col, length), schema)
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -465,11 +473,11 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     Texts that lose nothing stay as they are; a character cut in two goes, and so does a document
     of which nothing is left.
     """
-    kept = remove_repeats(docs, length)
-    rest = kept.where("n_removed = 0 or n_removed < n_bytes").select(
-        "row", F.when(F.col("n_removed") > 0, F.col("kept")).alias("kept"))
-    schema = T.StructType([rest.schema["row"], T.StructField("text", T.StringType())])
-    return rest.mapInArrow(readable, schema).select(
+    ranges = repeated_ranges(docs, length, "doc_id", "text")
+    schema = T.StructType([ranges.schema["row"], T.StructField("text", T.StringType())])
+    # One Python step for both: a second one in the stage would be a second worker a task.
+    return ranges.mapInArrow(
+        lambda batches: readable(cut_texts(batches, "text", length)), schema).select(
         *("text" if c == "text" else F.col(f"row.`{c}`") for c in docs.columns))
 
 
