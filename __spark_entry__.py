@@ -31,9 +31,15 @@ from assaykit.plans import (  # noqa: E402
     filter_by_cohort,
     split_by_item,
 )
+from assaykit.plans.export import verify_export  # noqa: E402
 from assaykit.plans.split import SUMMARY, SUMMARY_SCHEMA  # noqa: E402
-from assaykit.schema import ITEM_TABLE  # noqa: E402
-from assaykit.sinks.publish import fill_empty  # noqa: E402
+from assaykit.schema import ITEM_TABLE, require_columns  # noqa: E402
+from assaykit.sinks.publish import (  # noqa: E402
+    CODECS,
+    fill_empty,
+    parquet_writer,
+    refuse_existing,
+)
 from assaykit.sinks.tables import load_table  # noqa: E402
 from assaykit.sources.dictionary import item_problems  # noqa: E402
 from assaykit.sources.directory import (  # noqa: E402
@@ -381,6 +387,48 @@ def table_convert(spark, sf_dir):
     return spark.table(target)
 
 
+def refused(action: Callable[[], object]) -> bool:
+    try:
+        action()
+    except (ValueError, FileExistsError):
+        return True
+    return False
+
+
+def write_rules(spark, sf_dir):
+    """Orders written with every codec, verified, and loaded as a table; what a reordered or lacking
+    frame, an unknown codec and an existing target are refused; the rows stored after each."""
+    rows = lab.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    folder, target = scratch(spark), f"{new_database(spark)}.orders"
+    turned = rows.select(*reversed(rows.columns))
+    found = []
+
+    def attempt(name: str, action: Callable[[], object], stored: Callable[[], int]) -> None:
+        found.append((name, refused(action), stored()))
+
+    def verified(codec: str) -> int:
+        count, first = verify_export(spark, f"{folder}/{codec}")
+        return count if (first is not None) == (count > 0) else -1
+
+    def loaded() -> int:
+        return spark.table(target).count()
+
+    for codec in CODECS:
+        attempt(f"codec {codec}", lambda: parquet_writer(rows, codec).save(f"{folder}/{codec}"),
+                lambda: verified(codec))
+    attempt("codec unknown", lambda: parquet_writer(rows, "lzma").save(f"{folder}/lzma"),
+            lambda: int(Storage(spark).exists(f"{folder}/lzma")))
+    for overwrite in (False, True):
+        attempt(f"target exists, overwrite {str(overwrite).lower()}",
+                lambda: refuse_existing(spark, folder, ["snappy"], overwrite), lambda: verified("snappy"))
+    attempt("columns there", lambda: require_columns(rows.columns, ["o_custkey"], "orders"), rows.count)
+    attempt("columns lacking", lambda: require_columns(rows.columns, ["o_clerk"], "orders"), rows.count)
+    attempt("load", lambda: load_table(rows, target), loaded)
+    attempt("append reordered", lambda: load_table(turned, target, if_exists="append"), loaded)
+    attempt("append", lambda: load_table(rows, target, if_exists="append"), loaded)
+    return spark.createDataFrame(found, "attempt string, refused boolean, stored_rows long")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     if llm is None:
         return lab_queries()
@@ -434,6 +482,7 @@ def lab_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         dictionary_problems,
         table_load,
         table_convert,
+        write_rules,
     ]
     return {query.__name__: query for query in listed}
 
@@ -665,4 +714,12 @@ def lab_oracles() -> dict[str, str]:
             f"(select {', '.join(lab.columns(lab.NON_FINITE))}, l_linestatus from lineitem)"
         ),
         "table_convert": TYPED,
+        "write_rules": (
+            "select attempt, refused, cast(times * n as bigint) as stored_rows from (values "
+            "('codec zstd', false, 1), ('codec snappy', false, 1), ('codec none', false, 1), "
+            "('codec unknown', true, 0), ('target exists, overwrite false', true, 1), "
+            "('target exists, overwrite true', false, 1), ('columns there', false, 1), "
+            "('columns lacking', true, 1), ('load', false, 1), ('append reordered', true, 1), "
+            "('append', false, 2)) as t(attempt, refused, times), (select count(*) as n from orders)"
+        ),
     }
