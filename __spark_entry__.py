@@ -6,6 +6,7 @@ import sys
 import uuid
 from collections.abc import Callable
 from functools import reduce
+from itertools import islice
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -22,6 +23,7 @@ from assaykit.functions.text import (  # noqa: E402
     strict_utf8,
     strip_whitespace,
 )
+from assaykit.journal import Publication, UnfinishedPublication, dataset_path, recover  # noqa: E402
 from assaykit.operators import cohort as cohorts  # noqa: E402
 from assaykit.operators import convert, items as splitting, profile, wide  # noqa: E402
 from assaykit.operators.coverage import inner_rows  # noqa: E402
@@ -390,7 +392,7 @@ def table_convert(spark, sf_dir):
 def refused(action: Callable[[], object]) -> bool:
     try:
         action()
-    except (ValueError, FileExistsError):
+    except (ValueError, FileExistsError, UnfinishedPublication):
         return True
     return False
 
@@ -429,6 +431,47 @@ def write_rules(spark, sf_dir):
     return spark.createDataFrame(found, "attempt string, refused boolean, stored_rows long")
 
 
+STOPS = range(-1, 7)
+
+
+def publication_recovery(spark, sf_dir):
+    """Datasets of an earlier run replaced by those of a later one, cut off after so many renames
+    (-1: before the journal was in place): whether readers were refused until the recovery, the
+    runs that single datasets showed meanwhile, and the rows of each dataset afterwards."""
+    storage = Storage(spark)
+    folder = storage.qualify(scratch(spark))
+    rows = lab.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_returnflag", F.explode(F.lit(list(STOPS))).alias("stop"))
+    for run in (1, 2):
+        written = rows.withColumn("run", F.lit(run))
+        parquet_writer(written).partitionBy("stop", "l_returnflag").save(f"{folder}/run-{run}")
+    results = []
+    for stop in STOPS:
+        directory, stage = f"{folder}/{stop}", f"{folder}/{stop}/_stage-{stop}"
+        storage.make_dirs(directory)
+        storage.rename(f"{folder}/run-2/stop={stop}", stage)
+        old = storage.children(f"{folder}/run-1/stop={stop}")
+        names = [entry.name.split("=")[1] for entry in old]
+        for entry, name in zip(old, names):
+            storage.rename(entry.path, f"{directory}/{name}.parquet")
+        publication = Publication.plan(
+            stage, [(f"{stage}/l_returnflag={name}", f"{directory}/{name}.parquet") for name in names])
+        if stop >= 0:
+            publication.begin(storage)
+            for _ in islice(publication.steps(storage), stop):
+                pass
+        closed = refused(lambda: list_sources(spark, directory, "*.parquet"))
+        met = [spark.read.parquet(dataset_path(spark, directory, f"{n}.parquet")) for n in names]
+        met = reduce(DataFrame.unionAll, met).agg(F.min("run"), F.max("run")).first()
+        recover(spark, directory)
+        results.append(named_rows(spark, directory).groupBy("filename").agg(
+            F.min("run").alias("run"), F.max("run").alias("last_run"), F.count("*").alias("rows"),
+            F.sum("l_orderkey").alias("keys"),
+        ).select(F.lit(stop).alias("renames"), F.lit(closed).alias("refused"),
+                 F.lit(met[0]).alias("first_met"), F.lit(met[1]).alias("last_met"), "*"))
+    return reduce(DataFrame.unionAll, results)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     if llm is None:
         return lab_queries()
@@ -483,6 +526,7 @@ def lab_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         table_load,
         table_convert,
         write_rules,
+        publication_recovery,
     ]
     return {query.__name__: query for query in listed}
 
@@ -722,4 +766,12 @@ def lab_oracles() -> dict[str, str]:
             "('columns lacking', true, 1), ('load', false, 1), ('append reordered', true, 1), "
             "('append', false, 2)) as t(attempt, refused, times), (select count(*) as n from orders)"
         ),
+        "publication_recovery": (
+            "select cast(s as int) as renames, s >= 0 as refused, "
+            "cast(if(s < 0, 1, 2) as int) as first_met, cast(if(s < 0, 1, 2) as int) as last_met, "
+            "concat(l_returnflag, '.parquet') as filename, cast(if(s < 0, 1, 2) as int) as run, "
+            "cast(if(s < 0, 1, 2) as int) as last_run, count(*) as rows, "
+            "cast(sum(l_orderkey) as bigint) as keys "
+            "from lineitem, (select unnest(range(-1, 7)) as s) group by s, l_returnflag"
+        ),
     }

@@ -1,7 +1,7 @@
 """Write to a staging directory, check, then move into place.
 
-A dataset is a directory of Parquet files. Publishing is one rename per dataset
-and not atomic across several: a failed move undoes those before it.
+A dataset is a directory of Parquet files. Publishing is one rename per dataset behind a
+journal (``assaykit.journal``), which makes all of them one step for the library's readers.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
+from assaykit.journal import STAGE_PREFIX, Publication, refuse_unfinished, unfinished
 from assaykit.storage import Storage
 
 # Codec names and the zstd level.
@@ -35,8 +36,10 @@ def parquet_writer(df: DataFrame, compression: str = "zstd") -> DataFrameWriter:
 def refuse_existing(
     spark: SparkSession, directory: str, names: Sequence[str], overwrite: bool
 ) -> None:
-    """Nothing is replaced unless asked for; the message names the first ten."""
+    """Nothing is replaced unless asked for; the message names the first ten. A directory whose
+    last publication was cut off is refused in any case."""
     storage = Storage(spark)
+    refuse_unfinished(storage, directory)
     if overwrite or not storage.is_dir(directory):
         return
     there = {entry.name for entry in storage.children(directory)}
@@ -63,42 +66,40 @@ def refuse_overlap(targets: Iterable[str], sources: Iterable[str]) -> None:
 
 @contextmanager
 def staging(spark: SparkSession, directory: str) -> Iterator[str]:
-    """A fresh hidden directory next to the targets, gone afterwards in any case."""
+    """A fresh hidden directory next to the targets, gone afterwards unless a journal needs it."""
     storage = Storage(spark)
     storage.make_dirs(directory)
-    stage = f"{storage.qualify(directory)}/_stage-{uuid.uuid4().hex}"
+    parent = storage.qualify(directory).rstrip("/")
+    stage = f"{parent}/{STAGE_PREFIX}{uuid.uuid4().hex}"
     storage.make_dirs(stage)
     try:
         yield stage
     finally:
-        storage.delete(stage)
+        publication = unfinished(storage, parent)
+        if not publication or publication.staged != stage:
+            storage.delete(stage)
 
 
 def publish(spark: SparkSession, stage: str, moves: Sequence[tuple[str, str]]) -> None:
-    """Move each (staged, target) pair into place, or put everything back.
+    """Move all (staged, target) pairs into place as one step, or put everything back.
 
-    Replaced results wait beside the staging directory and are dropped only once
-    all moves succeeded; should putting them back fail too, they stay there.
+    Replaced results wait beside the staging directory until all moves are made. A failed
+    move undoes those before it; should that fail too, or the job be killed, the journal stays and
+    ``recover`` makes the moves that are left.
     """
     storage = Storage(spark)
-    aside = f"{stage}-replaced"
-    replaced, placed = [], []
+    publication = Publication.plan(stage, moves)
+    publication.begin(storage)
+    made = []
     try:
-        for index, (source, target) in enumerate(moves):
-            if storage.exists(target):
-                storage.make_dirs(aside)
-                storage.rename(target, f"{aside}/{index}")
-                replaced.append((f"{aside}/{index}", target))
-            storage.rename(source, target)
-            placed.append(target)
+        for step in publication.steps(storage):
+            made.append(step)
     except Exception:
-        for target in placed:
-            storage.delete(target)
-        for old, target in replaced:
-            storage.rename(old, target)
-        storage.delete(aside)
+        for source, target in reversed(made):
+            storage.rename(target, source)
+        publication.end(storage)
         raise
-    storage.delete(aside)
+    publication.end(storage)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

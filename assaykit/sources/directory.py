@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from assaykit.functions.text import decode_path
+from assaykit.journal import refuse_unfinished
 from assaykit.sizing import BROADCAST_LIMIT, fits_broadcast, hint_broadcast, text_bytes
 from assaykit.sources.local import local_frame
 from assaykit.storage import Entry, Storage, literal_path
@@ -25,11 +26,13 @@ def list_sources(spark: SparkSession, directory: str, pattern: str) -> list[Entr
     """Files (or dataset directories) directly under a directory, by name; never none.
 
     Spark leaves out files whose names start with ``_`` or ``.``, so a match among
-    those is an error here and not a gap in the result.
+    those is an error here and not a gap in the result. So is a directory whose publication
+    is not finished: it may hold results of two runs.
     """
     storage = Storage(spark)
     if not storage.is_dir(directory):
         raise NotADirectoryError(f"no such input directory: {directory}")
+    refuse_unfinished(storage, directory)
     entries = storage.children(directory, pattern)
     if not entries:
         raise FileNotFoundError(f"nothing in {directory} matches {pattern!r}")

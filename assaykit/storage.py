@@ -62,6 +62,23 @@ class Storage:
         fs, target = self._open(path)
         fs.mkdirs(target)
 
+    def write_text(self, path: str, text: str) -> None:
+        """A new small file; an existing one is an error."""
+        fs, target = self._open(path)
+        stream = fs.create(target, False)
+        try:
+            stream.write(bytearray(text, "utf-8"))
+        finally:
+            stream.close()
+
+    def read_text(self, path: str) -> str:
+        fs, target = self._open(path)
+        stream = fs.open(target)
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
     def rename(self, source: str, target: str) -> None:
         fs, src = self._open(source)
         if not fs.rename(src, self._jvm.org.apache.hadoop.fs.Path(target)):
