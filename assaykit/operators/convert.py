@@ -6,7 +6,9 @@ write job, so no partly converted table can appear.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F, types as T
 
 from assaykit.functions.labels import sex_code
 from assaykit.functions.numbers import finite_or_null, to_double
@@ -22,6 +24,8 @@ from assaykit.schema import (
 
 # Fixed value: the only accepted spelling of a date.
 DATE_TEXT = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
+INCOMPLETE = " or ".join(f"{name} is null" for name in KEYS)
+NUMBER = "__number"
 
 
 def non_finite_to_null(df: DataFrame) -> DataFrame:
@@ -123,13 +127,34 @@ def duplicate_keys(df: DataFrame) -> DataFrame:
     return pairs.where("rows > 1")
 
 
+def _refuse_keys(most: int, incomplete: int) -> None:
+    if most > 1:
+        raise ValueError(f"(uid, id) must be unique and not NULL; one pair occurs {most} times")
+    if incomplete:
+        raise ValueError("(uid, id) must be unique and not NULL; a part is NULL")
+
+
 def require_unique_keys(df: DataFrame) -> None:
-    """(uid, id) must be complete and unique."""
+    """(uid, id) must be complete and unique; one shuffle of the pairs."""
     pairs = df.groupBy(*KEYS).agg(F.count("*").alias("rows"))
-    bad = pairs.where("rows > 1 or uid is null or id is null").limit(1).collect()
-    if bad:
-        raise ValueError(
-            f"(uid, id) must be unique and not NULL; one pair occurs {bad[0].rows} times"
-            if bad[0].uid is not None and bad[0].id is not None
-            else "(uid, id) must be unique and not NULL; a part is NULL"
-        )
+    found = pairs.agg(
+        F.coalesce(F.max("rows"), F.lit(0)).alias("most"), F.count_if(F.expr(INCOMPLETE)).alias("incomplete")
+    ).first()
+    _refuse_keys(found["most"], found["incomplete"])
+
+
+def observed_keys(df: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
+    """The rows, and a check of their keys to make once they are written.
+
+    For rows that lie together by (uid, id): each row is numbered among the rows of its pair,
+    where the sort that the write needs as well brings them together, so the check reads nothing again and
+    shuffles nothing. Repeats of a task change no maximum.
+    """
+    seen = Observation()
+    number = F.row_number().over(Window.partitionBy(*KEYS).orderBy(*KEYS))
+    numbered = df.withColumn(NUMBER, number).observe(
+        seen,
+        F.coalesce(F.max(NUMBER), F.lit(0)).alias("most"),
+        F.count_if(F.expr(INCOMPLETE)).alias("incomplete"),
+    )
+    return numbered.drop(NUMBER), lambda: _refuse_keys(seen.get["most"], seen.get["incomplete"])

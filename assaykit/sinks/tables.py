@@ -8,7 +8,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from assaykit.operators.convert import non_finite_to_null
+from assaykit.operators.convert import non_finite_to_null, observed_keys, require_unique_keys
 from assaykit.schema import KEYS, require_flat, require_unique_names
 from assaykit.sources.tables import BATCH_ROWS, read_jdbc
 from assaykit.storage import Storage
@@ -185,11 +185,14 @@ def convert_table(
     checks: Sequence[Callable[[DataFrame], None]] = (),
     keep_backup: bool = True,
     buckets: int | None = None,
+    unique_keys: bool = False,
 ) -> int:
     """Replace a table by its converted form and return its rows.
 
-    The converted rows go to a table of this attempt's own; counts must agree and
-    every check must pass on the written rows before the swap. The original stays
+    The converted rows go to a table of this attempt's own; counts (of footers, where tables are
+    files) must agree and every check must pass on the written rows before the swap.
+    ``unique_keys`` asks for complete and unique (uid, id): rows bucketed by the pair are
+    checked while they are written, others are read once more. The original stays
     as ``<table>__backup``, and an existing backup is never overwritten. With
     ``buckets`` the new table is bucketed and sorted by (uid, id), so later joins
     on the pair need no shuffle; without it the table keeps the buckets it has.
@@ -202,8 +205,14 @@ def convert_table(
     source = spark.table(table)
     result = transform(source)
     layout = (buckets, list(KEYS), list(KEYS)) if buckets else bucketing(spark, table)
+    checks = list(checks)
     if layout:
         result = result.repartition(layout[0], *layout[1])
+    if unique_keys and layout and list(layout[1]) == list(KEYS):
+        result, check_keys = observed_keys(result)
+        checks.append(lambda _: check_keys())
+    elif unique_keys:
+        checks.append(require_unique_keys)
     writer = result.write.mode("errorifexists").format("parquet")
     if layout:
         writer = writer.bucketBy(layout[0], *layout[1])

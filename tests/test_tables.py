@@ -2,6 +2,7 @@ import uuid
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from assaykit.operators.wide import label_wide
 from assaykit.plans import (
@@ -157,6 +158,48 @@ def test_conversion_gates(spark, table):
     assert own_tables(spark, table) == [table]
 
 
+@pytest.mark.parametrize("buckets", [None, 1, 4])
+def test_keys_are_checked_with_and_without_buckets(spark, table, buckets):
+    """Repeats may come from trimming alone; a key's rows meet in one bucket, whatever their number."""
+    many = [dict(uid=" p4" + " " * (i % 3), id="noon") for i in range(7)]
+    load_table(lab(spark, dict(uid="p1"), *many, dict(uid="p9")), table)
+    with pytest.raises(ValueError, match="one pair occurs 7 times"):
+        convert_item_table(spark, table, buckets=buckets)
+    load_table(lab(spark, {}, dict(id="i2"), dict(uid="u3")), table, "replace")
+    renamed = lambda df: df.withColumn("id", F.expr("nullif(id, 'i2')"))
+    with pytest.raises(ValueError, match="a part is NULL"):
+        convert_table(spark, table, renamed, buckets=buckets, unique_keys=True)
+    assert convert_table(spark, table, renamed, buckets=buckets, keep_backup=False) == 3
+    load_table(lab(spark, {}).limit(0), table, "replace")
+    assert convert_item_table(spark, table, buckets=buckets) == 0
+    assert own_tables(spark, table) == [table, f"{table}__backup"]
+
+
+def test_a_bucketed_conversion_reads_its_table_once(spark, table, monkeypatch):
+    """No profile and no reading back; the keys are checked behind the write's only shuffle."""
+    import assaykit.plans.convert as plan
+    import assaykit.sinks.tables as tables
+
+    def forbidden(*args):
+        raise AssertionError("read again")
+
+    written, real = [], tables.observed_keys
+
+    def kept(df):
+        frame, check = real(df)
+        written.append(frame)
+        return frame, check
+
+    load_table(lab(spark, {}, dict(id="i2"), dict(uid="u2")), table)
+    monkeypatch.setattr(plan, "profile_columns", forbidden)
+    monkeypatch.setattr(tables, "require_unique_keys", forbidden)
+    monkeypatch.setattr(tables, "observed_keys", kept)
+    assert convert_item_table(spark, table, buckets=4) == 3
+    physical = written[0]._jdf.queryExecution().executedPlan().toString()
+    assert physical.count("Exchange") == 1 and physical.count("FileScan") == 1
+    assert "HashAggregate" not in physical
+
+
 def test_row_count_must_agree(spark, table):
     load_table(lab(spark, {}, dict(id="i2")), table)
     with pytest.raises(RuntimeError, match="2 rows"):
