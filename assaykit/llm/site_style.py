@@ -47,7 +47,7 @@ SEALED = set("object select svg template".split())
 RAW = set("script style textarea title noframes iframe xmp".split())
 NOISE_TAGS = set("aside dialog footer form menu nav search".split())
 NOISE_ROLES = set(
-    "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search "
+    "alert alertdialog banner comment complementary contentinfo dialog form menu menubar navigation search "
     "toolbar".split())
 #: Whole class names or ids. Those that also name ordinary content are not among them.
 NOISE_WORDS = set(
@@ -60,6 +60,12 @@ NOISE_WORDS = set(
 HINT_WORDS = NOISE_WORDS | set(
     "alert discussion legal notice notices notification recommended related replies reply respond "
     "search share sharing social widget widgets".split())
+#: Names of containers of reader comments; commentary is none.
+COMMENTS = re.compile(r"(?<![a-z])comments?(?![a-z])|comments$|(?<![a-z])commentlist")
+#: Words before a noise word that only say where on the page it is, as in site-footer.
+PLACES = set("bottom global left main mobile page primary right secondary site top".split())
+#: Words that make a name a state of its element, as in no-sidebar or comments-open.
+STATES = set("allow closed disabled enabled has hidden hide no off on open with without".split())
 MAIN_TAGS = ("article", "main")
 #: Elements that hold the page or its text, whatever their names say.
 UNNAMED = {"html", "body", *MAIN_TAGS}
@@ -89,13 +95,23 @@ class Element:
         self.tag, self.path, self.noise, self.main, self.kids = tag, path, noise, main, []
 
 
+def names_noise(name: str) -> bool:
+    """Whether a class name or id is a noise word, one at a place of the page, or says comments."""
+    if name in NOISE_WORDS:
+        return True
+    *before, last = WORD.findall(name) or [""]
+    if STATES.intersection(before) or last in STATES:
+        return False
+    return bool(COMMENTS.search(name)) or bool(before) and last in NOISE_WORDS and PLACES.issuperset(before)
+
+
 def opened(parent: Element, tag: str, attributes: str) -> Element:
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)} \
         if attributes else {}
     classes = found.get("class", "").lower()
     names = set() if tag in UNNAMED else {*classes.split(), found.get("id", "").lower()}
     inside = parent.main
-    named = tag in NOISE_TAGS or bool(names & NOISE_WORDS) \
+    named = tag in NOISE_TAGS or any(names_noise(name) for name in names) \
         or (found.get("role", "").lower() in NOISE_ROLES and tag not in UNNAMED)
     if (tag == "header" or "header" in names) and not inside:
         named = True

@@ -63,6 +63,25 @@ def test_names_do_not_empty_a_page(html, blocks):
     assert text_of(html) == blocks
 
 
+@pytest.mark.parametrize("name,kept", [
+    ("comment-list", False), ("user-comments", False), ("post__comments", False), ("usercomments", False),
+    ("commentlist", False), ("comments-area", False), ("comment_7", False), ("site-footer", False),
+    ("main-nav", False), ("page-left-sidebar", False), ("commentary", True), ("comments-open", True),
+    ("no-comments", True), ("has-sidebar", True), ("recommend", True), ("lunch-menu", True), ("", True),
+])
+@pytest.mark.parametrize("many", [3, 40])
+def test_comments_and_placed_names(spark, name, kept, many):
+    """Reader comments go though they vary, from an article and beside one, on hosts of any size."""
+    rows = [(i, "http://a.example/p", f"<article><h1>T{i}</h1><p>story {i}</p><section class='{name}'><p>note {i}"
+             "</section></article>") for i in range(many)]
+    rows += [(100 + i, "http://b.example/p", f"<div><p>story {i}</p></div><div id='{name}'><p>note {i}</div>")
+             for i in range(many)]
+    got = {r.page_id: r.text for r in main_text(pages(spark, rows)).collect()}
+    end = "\n\nnote {}" if kept else ""
+    assert got == {**{i: f"T{i}\n\nstory {i}" + end.format(i) for i in range(many)},
+                   **{100 + i: f"story {i}" + end.format(i) for i in range(many)}}
+
+
 def test_what_all_pages_share_goes(spark):
     """A box without a telling style is noise where it reads alike on all pages of a host."""
     rows = []
