@@ -31,9 +31,11 @@ from assaykit.plans import (  # noqa: E402
     convert_item_table,
     export_labels,
     filter_by_cohort,
+    profile_datasets,
     split_by_item,
 )
 from assaykit.plans.export import verify_export  # noqa: E402
+from assaykit.plans.profile import INVALID_SAMPLE, INVALID_VALUES, PROFILE  # noqa: E402
 from assaykit.plans.split import SUMMARY, SUMMARY_SCHEMA  # noqa: E402
 from assaykit.schema import ITEM_TABLE, require_columns  # noqa: E402
 from assaykit.sinks.publish import (  # noqa: E402
@@ -262,6 +264,28 @@ def normal_invalid_sample(spark, sf_dir):
     return profile.invalid_normal_sample(lab.text_lab(spark, sf_dir), stable=True)
 
 
+def run_profiles(spark: SparkSession, sf_dir: str) -> str:
+    """The reports on one dataset per item code and on one without rows; their folder."""
+    folder = scratch(spark)
+    rows = lab.text_lab(spark, sf_dir)
+    parquet_writer(rows).partitionBy("itemcode").save(f"{folder}/items")
+    fill_empty(spark, rows.drop("itemcode"), [f"{folder}/items/itemcode=none"], "zstd")
+    profile_datasets(spark, f"{folder}/items", f"{folder}/out", pattern="itemcode=*")
+    return f"{folder}/out"
+
+
+def dataset_profiles(spark, sf_dir):
+    return spark.read.parquet(f"{run_profiles(spark, sf_dir)}/{PROFILE}")
+
+
+def dataset_invalid_values(spark, sf_dir):
+    return spark.read.parquet(f"{run_profiles(spark, sf_dir)}/{INVALID_VALUES}")
+
+
+def dataset_invalid_sample(spark, sf_dir):
+    return spark.read.parquet(f"{run_profiles(spark, sf_dir)}/{INVALID_SAMPLE}")
+
+
 def numeric_flags(spark, sf_dir):
     value = F.col("itemresult")
     return (
@@ -510,6 +534,9 @@ def lab_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         normal_invalid_values,
         invalid_sample,
         normal_invalid_sample,
+        dataset_profiles,
+        dataset_invalid_values,
+        dataset_invalid_sample,
         numeric_flags,
         key_convert,
         result_to_double,
@@ -591,6 +618,27 @@ TABLES = (
 ).split()
 
 
+def bad_columns() -> dict[str, str]:
+    return {"itemresult": bad_result(), **{n: bad_normal(n) for n in profile.NORMAL_COLUMNS}}
+
+
+def bad_cells_sql(carried: str) -> str:
+    return " union all ".join(
+        f"select concat('itemcode=', itemcode) as filename, "
+        f"'{'result' if name == 'itemresult' else 'normals'}' as report, '{name}' as column_name, "
+        f"{carried} {name} as invalid_value from obs where {bad}"
+        for name, bad in bad_columns().items()
+    )
+
+
+def first_of_each_sql(order: str, source: str) -> str:
+    place = f"cast(row_number() over (partition by filename, report order by {order}) as int)"
+    return (
+        f"select * from (select *, {place} as place from {source}) "
+        "where place <= if(report = 'result', 100, 200)"
+    )
+
+
 def profile_sql(column: str, bad: str) -> str:
     numeric = NUMERIC.format(column)
     return (
@@ -706,6 +754,22 @@ def lab_oracles() -> dict[str, str]:
             f"with {OBS} select column_name, uid, id, invalid_value from ({normals_sql('uid, id,')}) "
             "order by column_name, uid, id, invalid_value limit 200"
         ),
+        "dataset_profiles": f"with {OBS} "
+        + " union all ".join(
+            f"select concat('itemcode=', itemcode) as filename, '{name}' as column_name, "
+            f"{profile_sql(name, bad)} group by itemcode union all "
+            f"select 'itemcode=none', '{name}', 0, null, null, null, null"
+            for name, bad in bad_columns().items()
+        ),
+        "dataset_invalid_values": (
+            f"with {OBS}, bad as ({bad_cells_sql('')}), counts as (select filename, report, "
+            "column_name, invalid_value, count(*) as rows_count from bad group by all) "
+            + first_of_each_sql("rows_count desc, column_name, invalid_value nulls first", "counts")
+        ),
+        "dataset_invalid_sample": (
+            f"with {OBS}, bad as ({bad_cells_sql('uid, id,')}) "
+            + first_of_each_sql("column_name, uid, id, invalid_value nulls first", "bad")
+        ),
         "numeric_flags": (
             f"with {OBS} select trim(itemresult) = '' as blank, {numeric} as numeric_text, "
             f"{bad_result()} as bad, {bad_normal('itemresult')} as bad_nullable, "

@@ -1,4 +1,4 @@
-"""The five jobs from raw files to the wide label dataset."""
+"""The jobs from raw files to the wide label dataset."""
 
 from assaykit.plans.convert import (
     convert_item_keys,
@@ -10,6 +10,7 @@ from assaykit.plans.convert import (
 from assaykit.plans.export import export_labels, verify_export
 from assaykit.plans.filter import filter_by_cohort
 from assaykit.plans.load import load_parquet
+from assaykit.plans.profile import profile_datasets
 from assaykit.plans.split import split_by_item
 
 __all__ = [
@@ -21,6 +22,7 @@ __all__ = [
     "export_labels",
     "filter_by_cohort",
     "load_parquet",
+    "profile_datasets",
     "split_by_item",
     "verify_export",
 ]
