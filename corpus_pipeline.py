@@ -3,6 +3,11 @@
 Every stage takes (spark, docs, sf_dir) and returns a frame, which is written as Parquet and
 read again as the next stage's documents. All but the last return the columns of documents.
 A stage that changes texts sets n_chars anew; a document that loses all its text goes.
+
+In every stage: rows with a null id take part and are judged by their texts; repeated rows (one id,
+one text) share one fate; null and empty texts hold nothing that could be cut and stay, but where a
+stage says otherwise; texts of any length are taken whole; an empty table gives an empty
+one; further columns, whatever their names, are carried along (the last stage returns its own).
 """
 
 from __future__ import annotations
@@ -38,14 +43,23 @@ def counted(docs: DataFrame) -> DataFrame:
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rule ensemble accepts (a score of 0.3 or more)."""
+    """Documents that the rule ensemble accepts (a score of 0.3 or more).
+
+    Null and empty texts are scored like others, by what was learned of texts without words; a
+    null text counts as an empty one. Without labels of both kinds all documents have one score, the
+    share of label 1.
+    """
     small_batches(spark)
     scored = score_quality(docs, table(spark, sf_dir, "labels"), carry=True)
     return scored.where("predicted = 1").select("row.*")
 
 
 def first_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that of the least id."""
+    """One document of each group of near duplicates: that of the least id.
+
+    Null and empty texts are in no group, and rows with a null id in none either, so they stay. Rows
+    that repeat an id are one document with several texts: all stay, or all go.
+    """
     small_batches(spark)
     gone = stored(near_duplicates(docs).where("not kept").select("doc_id"))
     if small_enough(gone, BROADCAST_IDS):
@@ -54,20 +68,32 @@ def first_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def first_occurrences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the long byte strings that an earlier document, or place, already has."""
+    """Texts without the long byte strings that an earlier document, or place, already has.
+
+    A null id comes before all others. Repeated rows are one document and lose the same. n_chars is
+    set anew for all rows, null for a null text.
+    """
     small_batches(spark)
     return counted(without_repeats(docs))
 
 
 def without_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts of contaminated documents without the passages of the test set."""
+    """Texts of contaminated documents without the passages of the test set.
+
+    Only what is contaminated by the rule of `find_contamination` is cut; other rows keep their
+    texts, n_chars is set anew for all, null for a null text.
+    """
     small_batches(spark)
     found = find_contamination(docs, table(spark, sf_dir, "benchmark"))
     return counted(without_items(found, docs.columns))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents with their token ids, and their places in sequences of 4096 tokens."""
+    """Pieces of the documents with their token ids, and their places in sequences of 4096 tokens.
+
+    A null text is packed as an empty one, which has its end token alone. Repeated rows are packed
+    as often as they occur.
+    """
     small_batches(spark)
     return pack_documents(docs, vocabulary("word_bpe_49k.json"))
 
