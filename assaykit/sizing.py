@@ -29,6 +29,8 @@ def hint_broadcast(df: DataFrame, fits: bool) -> DataFrame:
 
 # Rows below which a task of its own does not pay.
 TASK_ROWS = 50_000
+# Rows that one task sorts or groups at most, however few bytes they take in files or shuffles.
+MOST_ROWS = 1_000_000
 
 
 def advisory_bytes(spark: SparkSession) -> int:
@@ -38,7 +40,8 @@ def advisory_bytes(spark: SparkSession) -> int:
 
 
 def partitions_for(spark: SparkSession, size: int, rows: int) -> int:
-    """Partitions for so many bytes and rows: of the advisory size, or one a core for less."""
+    """Partitions for so many bytes and rows: of the advisory size and of ``MOST_ROWS`` at most,
+    or one a core for less."""
     by_size = -(-size // advisory_bytes(spark))
     by_cores = min(spark.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
-    return max(1, by_size, by_cores)
+    return max(1, by_size, by_cores, -(-rows // MOST_ROWS))
