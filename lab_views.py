@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from assaykit.sizing import partitions_for
+
 RAW = {
     "uid": "concat('u', cast(l_orderkey as string))",
     "id": "cast(l_linenumber as string)",
@@ -157,6 +159,11 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").where(COHORT_WHERE).selectExpr(*columns(BASE))
 
 
+def key_partitions(spark: SparkSession, sf_dir: str) -> int:
+    """Partitions of detail rows dealt by key, so that no task groups all rows of a large split."""
+    return partitions_for(spark, 0, table(spark, sf_dir, "lineitem").count())
+
+
 def item_table(
     spark: SparkSession, sf_dir: str, view: dict[str, str], where: str = "true"
 ) -> DataFrame:
@@ -164,6 +171,7 @@ def item_table(
     keyed = table(spark, sf_dir, "lineitem").where(where).selectExpr(
         f"{RAW['uid']} as uid", f"{RAW['id']} as id", "*"
     )
+    keyed = keyed.repartition(key_partitions(spark, sf_dir), "uid", "id")
     return keyed.groupBy("uid", "id").agg(
         *[F.expr(expression).alias(name) for name, expression in view.items()]
     )
@@ -181,6 +189,8 @@ ONE_PER_KEY = (
 
 def text_item_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A text item table with unique keys and convertible results."""
-    lineitem = table(spark, sf_dir, "lineitem")
+    lineitem = table(spark, sf_dir, "lineitem").repartition(
+        key_partitions(spark, sf_dir), "l_orderkey", "l_linenumber"
+    )
     one_per_key = spark.sql(ONE_PER_KEY.format("{lineitem}"), lineitem=lineitem)
     return one_per_key.selectExpr(*columns(CONVERTIBLE)).drop("rn")

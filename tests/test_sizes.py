@@ -3,8 +3,10 @@
 import posixpath
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+import lab_views as lab
 from assaykit import sizing
 from assaykit.storage import Storage
 from conftest import SMALL, rows
@@ -28,3 +30,25 @@ def test_sorted_datasets_get_more_files_as_rows_grow(spark, monkeypatch):
     assert [(r.filename, r.position) for r in got] == usual
     places = [(r.filename, int(r.uid[1:]), r.id) for r in got]
     assert places == sorted(places)
+
+
+def test_item_tables_are_grouped_in_tasks_of_few_rows(spark, monkeypatch):
+    """The rows are dealt by key before they are grouped, in as many parts as their number asks."""
+    usual = sorted(rows(entry.label_dataset(spark, SMALL)), key=repr)
+    lines = spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
+    monkeypatch.setattr(sizing, "MOST_ROWS", lines // 20, raising=False)
+    item = lab.item_table(spark, SMALL, lab.QUANTITY)
+    for grouped in (item, lab.text_item_table(spark, SMALL)):
+        assert grouped.rdd.getNumPartitions() >= 20
+    parts = item.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in parts) < lines // 10
+    assert sorted(rows(entry.label_dataset(spark, SMALL)), key=repr) == usual
+
+
+def test_a_null_key_and_repeats_make_one_item_row(spark, tmp_path):
+    made = [(1, 1, 5.0, 3), (1, 1, 2.0, 4), (None, 1, 7.0, 3), (None, 1, 6.0, 3), (2, 1, 9.0, 22)]
+    schema = "l_orderkey bigint, l_linenumber bigint, l_quantity double, l_suppkey bigint"
+    spark.createDataFrame(made, schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = rows(lab.item_table(spark, str(tmp_path), lab.QUANTITY))
+    assert sorted(got, key=repr) == sorted(
+        [("u1", "1", 2.0, 10.0, 30.0), (None, "1", 6.0, 10.0, 30.0), ("u2", "1", 9.0, None, 30.0)], key=repr)
