@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .arrays import chunked, distinct_spans, from_ragged, mix, segment_hashes, text_bytes, with_fields
+from .arrays import chunked, distinct_spans, from_ragged, give_back, mix, segment_hashes, text_bytes, with_fields
 from .tables import pack, pack_sorted, shards, small_enough, stored, unpack, unpack_sorted
 from .token_counts import rows_batch
 
@@ -27,12 +27,14 @@ BLOCK_BYTES = 2 << 20
 SHARD_BYTES = 8 << 20
 #: Bytes that are hashed at a time; a longer text alone.
 SLICE_BYTES = 256 << 10
-#: Bytes that are compared at a time.
-COMPARED_BYTES = 4 << 20
-#: Bytes of the runs that one task takes together, of those that it puts in order at a time (a
-#: bucket), on average, and runs of one anchor in a bucket at most.
+#: Bytes that are compared, or hashed as open strings, at a time: their indices take eight times that.
+COMPARED_BYTES = 512 << 10
+#: Bytes of the runs that one task takes together, on average, and of those that it puts in order
+#: at a time: buckets side by side, or a larger one alone. A part has so many buckets that anchors
+#: with many runs seldom share one; of one anchor, a bucket has so many runs at most.
 GROUP_BYTES = 8 << 20
-BUCKET_BYTES = 512 << 10
+BUCKET_BYTES = 256 << 10
+BUCKETS = 1 << 16
 BUCKET_RUNS = 8_192
 #: Ids of copies that may be broadcast: 32 MB of them.
 BROADCAST_IDS = 2_000_000
@@ -103,6 +105,12 @@ def numbered(owner: np.ndarray) -> np.ndarray:
     return np.arange(len(owner)) - np.searchsorted(owner, owner)
 
 
+def shard_of(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """The shard of each anchor. Anchors are least hashes and lie close to 0, so they are mixed
+    first: by their own size, most would go to the first shards."""
+    return ((mix(hashes) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
 def ask(batches, parts: int, length: int):
     """The anchors of a block's documents, per shard of their hashes."""
     from pyspark import TaskContext
@@ -115,11 +123,9 @@ def ask(batches, parts: int, length: int):
         within = numbered(owner)
         ids, marks = (batch.column(i).to_numpy().astype(np.int64).tobytes() for i in (0, 1))
         rows = [(block % parts, block, ids, marks, None, None, None)]
-        # The top bits choose the shard, so that a shard's sorted hashes stay close together.
-        order = np.argsort(hashes, kind="stable")
-        shard = np.minimum((hashes[order] >> np.uint64(32)).astype(np.float64) * parts / 2.0**32,
-                           parts - 1).astype(np.int64)
-        cuts = np.searchsorted(shard, np.arange(parts + 1))
+        shard = shard_of(hashes, parts)
+        order = np.lexsort((hashes, shard))
+        cuts = np.searchsorted(shard[order], np.arange(parts + 1))
         for s in np.flatnonzero(np.diff(cuts)):
             own = order[cuts[s] : cuts[s + 1]]
             rows.append((int(s), block, None, None, pack_sorted(hashes[own]), pack(owner[own]),
@@ -193,7 +199,7 @@ def send_runs(batches, parts: int, length: int):
                         np.uint64(0)).astype(np.uint64)
         dealt = mix(hashes + salt * np.uint64(MULTIPLIER))
         part = (dealt % np.uint64(parts)).astype(np.int64)
-        bucket = (dealt // np.uint64(parts) % np.uint64(GROUP_BYTES // BUCKET_BYTES)).astype(np.int64)
+        bucket = (dealt // np.uint64(parts) % np.uint64(BUCKETS)).astype(np.int64)
         sizes = last - first + length
         order = np.argsort(part, kind="stable")
         cuts = np.searchsorted(part[order], np.arange(parts + 1))
@@ -249,7 +255,9 @@ def suffix_ranks(text: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     for offset in step:
         wanted[places[-1] + offset] = True
     found = np.flatnonzero(wanted)
-    rank[found] = np.unique(packed[found], return_inverse=True)[1]
+    packed = packed[found]
+    rank[found] = np.unique(packed, return_inverse=True)[1]
+    del packed, wanted, found
     for step, place in zip(reversed(offsets), reversed(places)):
         found = ranked([rank[place + offset] for offset in step])
         rank[place] = found
@@ -299,7 +307,7 @@ def previous_factors(text: np.ndarray, at: np.ndarray, length: int) -> np.ndarra
 def settle_part(group: pa.Table, length: int) -> pa.Table:
     """Starts of strings that also start earlier, as ranges; the open strings of spread anchors.
 
-    The buckets of a part are put in order one after the other.
+    The buckets of a part are put in order one after the other, small ones together.
     """
     rows = group.to_pylist()
     gone = [np.concatenate([np.frombuffer(r["gone_ids"], np.int64) for r in rows]),
@@ -313,6 +321,7 @@ def settle_part(group: pa.Table, length: int) -> pa.Table:
     text = np.frombuffer(b"".join(r["runs"] for r in rows), np.uint8)
     del rows, group
     begins = np.cumsum(sizes) - sizes
+    bucket = side_by_side(bucket, sizes)
     order = np.lexsort((starts, marks, ids, bucket))
     none = pa.nulls(len(gone[0]), pa.int64())
     names = [f.strip().split(" ")[0] for f in _SETTLED.split(",")]
@@ -322,7 +331,16 @@ def settle_part(group: pa.Table, length: int) -> pa.Table:
         runs = text[from_ragged(sizes[own], begins[own])]
         found.extend(pa.table(list(map(pa.array, columns)), names=names) for columns in settle_bucket(
             ids[own], marks[own], starts[own], sizes[own], spread[own], runs, length))
-    return pa.concat_tables([t.cast(found[0].schema) for t in found])
+    settled = pa.concat_tables([t.cast(found[0].schema) for t in found])
+    give_back()
+    return settled
+
+
+def side_by_side(bucket: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Buckets numbered anew, so that small neighbours have one number: as many as begin within
+    the same `BUCKET_BYTES`."""
+    held = np.bincount(bucket, sizes).astype(np.int64)
+    return ((np.cumsum(held) - held) // BUCKET_BYTES)[bucket]
 
 
 def settle_bucket(ids, marks, starts, sizes, spread, text: np.ndarray, length: int):
@@ -339,8 +357,10 @@ def settle_bucket(ids, marks, starts, sizes, spread, text: np.ndarray, length: i
     b = hit[np.r_[np.flatnonzero(breaks)[1:], len(hit)] - 1] if len(hit) else hit
     none = np.ma.masked_all(len(a), np.int64)
     yield ids[run[a]], marks[run[a]], start[a], start[b], none, none
-    open_ = np.flatnonzero(~removed & (spread[run] > 1))
-    if len(open_):
+    every = np.flatnonzero(~removed & (spread[run] > 1))
+    step = max(1, COMPARED_BYTES // length)
+    for i in range(0, len(every), step):
+        open_ = every[i : i + step]
         flat = text[from_ragged(np.full(len(open_), length), at[open_])]
         cuts = np.arange(len(open_) + 1) * length
         keys = [segment_hashes(flat, cuts, seed).view(np.int64) for seed in (1, 2)]

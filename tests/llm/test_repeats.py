@@ -1,6 +1,10 @@
 import random
+import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
+import pyspark
 import pytest
 from cases import HARD, frame, ordered, removed
 from conftest import SMALL
@@ -8,6 +12,7 @@ from conftest import SMALL
 from assaykit.llm import queries, repeats
 from assaykit.llm.repeats import (
     common_prefixes, previous_factors, remove_repeats, repeats_digest, suffix_ranks, without_repeats)
+from assaykit.llm.tables import pack, unpack_sorted
 
 
 def digest(docs, length):
@@ -122,3 +127,59 @@ def test_longest_previous_factors_against_all_pairs(monkeypatch, letters, length
     assert common_prefixes(text, at[1:], at[:-1], length).tolist() == [
         agree(i, j) for i, j in zip(at[1:].tolist(), at[:-1].tolist())]
     assert previous_factors(text, at[:1], length).tolist() == [0]
+
+
+def letters_of(seed, n):
+    return np.random.default_rng(seed).integers(97, 123, n, dtype=np.uint8)
+
+
+def test_shards_are_even(monkeypatch):
+    """Anchors are least hashes; shards by their size would give the first one half of them."""
+    monkeypatch.setattr(pyspark, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    texts = ["".join(map(chr, letters_of(seed, 2_000))) for seed in range(200)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": range(200), "mark": [0] * 200, "text": texts})
+    held = np.zeros(50, np.int64)
+    for asked in repeats.ask(iter([batch]), 50, 100):
+        for shard, hashes in zip(asked.column(0).to_pylist(), asked.column(4).to_pylist()):
+            held[shard] += len(unpack_sorted(hashes)) if hashes else 0
+    assert held.max() < 2 * held.mean() and held.min() > held.mean() / 2
+
+
+def test_buckets_of_a_large_part_stay_small(monkeypatch):
+    """A part that holds more than its share is put in order in more steps, not in larger ones."""
+    ordered_bytes = []
+    settle = repeats.settle_bucket
+    monkeypatch.setattr(repeats, "GROUP_BYTES", 64 << 10)
+    monkeypatch.setattr(repeats, "BUCKET_BYTES", 4 << 10)
+    monkeypatch.setattr(
+        repeats, "settle_bucket", lambda *a: ordered_bytes.append(len(a[5])) or settle(*a))
+    texts = ["".join(map(chr, letters_of(seed % 50, 3_000))) for seed in range(60)]
+    raw = np.frombuffer("".join(texts).encode(), np.uint8)
+    owner = repeats.anchored_runs(raw, np.arange(0, len(raw) + 1, 3_000), 100)[3]
+    many = np.bincount(owner)
+    batch = pa.RecordBatch.from_pydict({
+        "doc_id": range(60), "mark": [0] * 60, "text": texts,
+        "numbers": [pack(np.arange(n)) for n in many], "spread": [pack(np.ones(n, np.int64)) for n in many]})
+    monkeypatch.setattr(repeats, "BLOCK_BYTES", 1)
+    sent = pa.Table.from_batches(list(repeats.send_runs(iter([batch]), 1, 100)))
+    settled = repeats.settle_part(sent, 100)
+    assert max(ordered_bytes) < 6 << 10 < 32 << 10 < sum(ordered_bytes)
+    gone = np.zeros(60, np.int64)
+    for doc_id, first, last in zip(*(settled.column(c).to_pylist() for c in ("doc_id", "first", "last"))):
+        gone[doc_id] += last - first + 1
+    assert gone.tolist() == [0] * 50 + [2_901] * 10
+
+
+def test_open_strings_are_hashed_in_slices():
+    """Hashing takes many bytes for each byte of the open strings, which overlap."""
+    n, size = 300, 168
+    tracemalloc.start()
+    try:
+        found = list(repeats.settle_bucket(
+            np.arange(n), np.zeros(n, np.int64), np.zeros(n, np.int64), np.full(n, size),
+            np.full(n, 2), letters_of(2, n * size), 100))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(len(columns[0]) for columns in found) == n * (size - 99)
+    assert len(found) > 2 and peak < 30 << 20
